@@ -6,7 +6,8 @@ Shapes used throughout:
 * daily    -- ``[series columns..., date, value]``, one row per series and day;
 * season   -- ``[series columns..., season key, year columns..., statistics]``.
 
-Every function takes and returns DataFrames and starts no job of its own.
+Functions take and return DataFrames and start no job, but for the sinks and the
+quarantine mode of the unit check.
 ``series`` is always a list of column names; it may be empty for one series.
 """
 

@@ -250,7 +250,7 @@ ORACLE["page_links"] = r"""WITH a AS (
     regexp_extract_all(
       regexp_replace(html, '(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>', '', 'g'),
       '(?i)<a\s[^>]*>'),
-    lambda x: regexp_matches(x, '(?i)\shref\s*=\s*"/[a-m]')) AS t
+    lambda x: regexp_matches(x, '(?i:\shref\s*=\s*)"/[a-m]')) AS t
   FROM pages)
 SELECT page_id, regexp_extract(t[1], '(?i)\shref\s*=\s*"([^"]*)"', 1) AS link FROM a WHERE len(t) > 0"""
 

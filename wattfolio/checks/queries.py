@@ -152,8 +152,9 @@ def last_day_dropped(spark, folder):
 
 def _season_days(spark, folder) -> DataFrame:
     days = inputs.levels(spark, folder)
-    key = dates.month_day(F.col("date"))
-    return days.withColumn("season_key", key).filter(key != fixed.LEAP_DAY)
+    return days.filter(~dates.leap_day(F.col("date"))).withColumn(
+        "season_key", dates.month_day(F.col("date"))
+    )
 
 
 @query

@@ -53,7 +53,7 @@ def fill_weeks(
     span = F.sequence(F.col(week_end), upto, F.make_dt_interval(F.lit(7)))
     return (
         weeks.select(*series, F.col(value).alias("_sum"), span.alias("_span"))
-        .select(*series, "_sum", F.posexplode("_span").alias("_gap", week_end))
+        .select(*series, "_sum", F.posexplode_outer("_span").alias("_gap", week_end))
         .select(
             *series,
             week_end,

@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from wattfolio import fixed
 from wattfolio.functions import dates
 from wattfolio.operators.windows import by_series, difference, whole_series
+from wattfolio.session import scratch_folder
 
 MODES = ("fail", "quarantine", "stop")
+BROADCAST_ROWS = 100_000
 
 
 def flow_checks(direction: str = "direction") -> dict[str, Column]:
@@ -52,13 +54,25 @@ def fail_on_unexpected(rows: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return rows.filter(F.when(unexpected(checks), error).otherwise(True))
 
 
-def without_bad_keys(rows: DataFrame, keys: Sequence[str], checks: dict[str, Column]) -> DataFrame:
+def without_bad_keys(
+    rows: DataFrame,
+    keys: Sequence[str],
+    checks: dict[str, Column],
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
     """Drop every key that holds an unexpected value.
 
-    The list of bad keys is not hinted for broadcast; Spark broadcasts it when
-    its measured size allows and else sorts and merges, splitting hot keys.
+    This is the one operator that runs a job when called: the bad keys are
+    written to the shared folder and counted. Up to ``broadcast_rows`` of them
+    are broadcast, so the raw rows stay where they are; a longer list is joined
+    by sort and merge, where Spark splits hot keys.
     """
-    bad = rows.filter(unexpected(checks)).select(*keys).distinct()
+    spark = rows.sparkSession
+    path = scratch_folder(spark, "bad-keys")
+    rows.filter(unexpected(checks)).select(*keys).distinct().write.parquet(path)
+    bad = spark.read.parquet(path)
+    if bad.count() <= broadcast_rows:
+        bad = F.broadcast(bad)
     return rows.join(bad, list(keys), "left_anti")
 
 

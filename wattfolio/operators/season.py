@@ -56,11 +56,10 @@ def seasonal_table(
 ) -> DataFrame:
     """Newest year first, then the statistics of the history, per season key.
 
-    ``history`` and ``current`` choose the rows for statistics and year cells; a
-    key of either side is kept. ``carry`` adds further aggregates.
+    ``history`` and ``current`` choose the rows for statistics and year cells;
+    ``current`` must hold rows of ``years`` only. A key of either side is kept.
+    Bounds on the date in them reach the scan. ``carry`` adds further aggregates.
     """
-    years = list(years)
-    current = current & year.isin(years)
     return (
         long.filter(history | current)
         .groupBy(*series, key)

@@ -64,7 +64,7 @@ def on_every_day(daily: DataFrame, date: str, series: Sequence[str] = ()) -> Dat
     others = [c for c in daily.columns if c not in (*series, date)]
     return (
         daily.withColumn("_span", span)
-        .select(*series, *others, F.posexplode("_span").alias("_gap", date))
+        .select(*series, *others, F.posexplode_outer("_span").alias("_gap", date))
         .select(
             *series,
             date,

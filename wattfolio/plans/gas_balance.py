@@ -57,12 +57,12 @@ def gas_balance_report(
     days = daily_use(flows, direction, value, time, offset, series, divisor)
     key = dates.on_display_year(dates.month_day(F.col("date")), span.curr_year)
     table = season.year_over_year(
-        days.withColumn(KEY, key),
+        days.filter(~dates.leap_day(F.col("date"))).withColumn(KEY, key),
         KEY,
         "diff_rolling_median",
         F.year("date"),
         offset.reference_year,
         span.years,
         series,
-    ).filter(F.col(KEY) != f"{span.curr_year}-{fixed.LEAP_DAY}")
+    )
     return season.newest_first(table, [*series, KEY], [])

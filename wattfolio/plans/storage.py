@@ -7,7 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wattfolio import fixed
 from wattfolio.functions import dates
 from wattfolio.operators import quality, season
 from wattfolio.settings import SeasonSpan
@@ -33,7 +32,7 @@ def storage_report(
     month_day = dates.month_day(F.col(date))
     history, current = season.calendar_span(date, span)
     table = season.seasonal_table(
-        judged.filter(month_day != fixed.LEAP_DAY).withColumn(
+        judged.filter(~dates.leap_day(F.col(date))).withColumn(
             KEY, dates.on_display_year(month_day, span.curr_year)
         ),
         KEY,

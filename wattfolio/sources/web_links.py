@@ -5,35 +5,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Parts of a page in which a tag is no link.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script>|<style\b.*?</style>"
-ANCHOR = r"(?i)<a\s[^>]*>"
+# An anchor tag, or a part of the page in which a tag is no link. The parts are
+# matched whole, in one pass, so that anchors inside them are passed over. A part
+# that is never closed reaches to the end of the page.
+TAGS = (
+    r"(?is)<(?:a\s[^>]*>|!--.*?(?:-->|\z)"
+    r"|script\b.*?(?:</script>|\z)|style\b.*?(?:</style>|\z))"
+)
+ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")]
+
+
+def _written(tag: Column, name: str) -> Column:
+    """An attribute's value as it is written, with its quotes; empty if absent."""
+    value = r"""("[^"]*"|'[^']*'|[^\s"'>]+)"""
+    return F.regexp_extract(tag, rf"(?i)\s{name}\s*=\s*{value}", 1)
+
+
+def _meant(written: Column) -> Column:
+    """The value without quotes and with its entities decoded."""
+    value = F.regexp_replace(written, r"""^["']|["']$""", "")
+    for entity, text in ENTITIES:
+        value = F.replace(value, F.lit(entity), F.lit(text))
+    return value
 
 
 def attribute(tag: Column, name: str) -> Column:
     """Value of an attribute in quotes, in apostrophes or bare; NULL if absent."""
-    pattern = rf"""(?i)\s{name}\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
-    groups = [F.regexp_extract(tag, pattern, i) for i in (1, 2, 3)]
-    value = F.when(tag.rlike(pattern), F.concat(*groups))
-    for entity, text in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        value = F.replace(value, F.lit(entity), F.lit(text))
-    return value
+    written = _written(tag, name)
+    return F.when(written != "", _meant(written))
 
 
-def first_link(html: Column, name: str, pattern: str) -> Column:
+def page_links(pages: DataFrame, html: str, name: str, pattern: str, link: str = "link") -> DataFrame:
     """``href`` of the first anchor whose attribute ``name`` matches ``pattern``.
 
-    The anchors of a page are searched inside its own row: no row per anchor, no
-    shuffle.
+    Pages without such an anchor are left out. The anchors are searched inside
+    the row of their page: no row per anchor and no shuffle. Exploding the at
+    most one fitting tag lets Spark search each page once.
     """
-    shown = F.regexp_replace(html, HIDDEN, "")
-    anchors = F.regexp_extract_all(shown, F.lit(ANCHOR), F.lit(0))
-    fitting = F.filter(anchors, lambda tag: attribute(tag, name).rlike(pattern))
-    return attribute(F.try_element_at(fitting, F.lit(1)), "href")
-
-
-def page_links(pages: DataFrame, html: str, name: str, pattern: str, link: str = "link") -> DataFrame:
-    """Pages that hold a fitting anchor, with its link."""
-    return pages.withColumn(link, first_link(F.col(html), name, pattern)).filter(
-        F.col(link).isNotNull()
+    anchors = F.filter(
+        F.regexp_extract_all(html, F.lit(TAGS), F.lit(0)),
+        lambda tag: tag.rlike(r"(?i)^<a\s") & attribute(tag, name).rlike(pattern),
+    )
+    others = [c for c in pages.columns if c != html]
+    return pages.select(*others, F.explode(F.slice(anchors, 1, 1)).alias("_tag")).select(
+        *others, attribute(F.col("_tag"), "href").alias(link)
     )
