@@ -349,10 +349,46 @@ SELECT country, strftime(d, '%Y-%m-%d') AS date, t AS latest_value,
   '    Mittelwert, Maximum und Minimum der Jahre 2011 bis 2021.     Wird täglich aktualisiert. Datenstand: '
     || {german("d")} || '.    ' AS note FROM l"""
 
-ORACLE["next_day_notes"] = f"""WITH n AS (SELECT MAX(d) + 1 AS d FROM ({NATIONAL}) WHERE b IS NOT NULL)
-SELECT strftime(d, '%Y-%m-%d') AS last_updated,
-  'Mittelwert, Mininum und Maximum beziehen sich auf die letzten fünf Jahre. Wird täglich aktualisiert, zuletzt am '
-    || {german("d")} || '.' || chr(10) AS note FROM n"""
+ORACLE["use_annotations"] = f"""WITH n AS (SELECT MAX(d) + 1 AS d FROM ({NATIONAL}) WHERE b IS NOT NULL)
+SELECT strftime(d, '%Y-%m-%d') AS last_updated, usage,
+  'Mittelwert, Mininum und Maximum beziehen sich auf die letzten fünf Jahre. ' || extra
+    || 'Wird täglich aktualisiert, zuletzt am ' || {german("d")} || '.' || chr(10) AS note
+FROM n, (VALUES ('landesverbrauch', ''),
+                ('endverbrauch', 'An den Wochenenden wird weniger Strom verbraucht. ')) v(usage, extra)"""
+
+ORACLE["generation_annotations"] = f"""WITH f AS ({ORACLE["freshness_gate"]})
+SELECT unit, last_week, monday, fresh, CASE WHEN fresh = 1 THEN
+  'Mittelwert, Maximum und Minimum der Jahre 2015 bis 2021. Wird wöchentlich aktualisiert, zuletzt am '
+    || '1. August 2001.' END AS note
+FROM f WHERE rule = 'first_monday'"""
+
+ORACLE["gas_annotations"] = f"""WITH r AS ({ORACLE["gas_balance_report"]})
+SELECT COUNT(*) AS rows, 'Letzte zwei Tage wegen unvollständiger Daten nicht berücksichtigt. '
+  || 'In der Statistik fehlen derzeit rund 9 TWh Gas pro Jahr wegen Meldelücken. '
+  || 'Diese Summe wird täglich gewichtet den gemeldeten Werten zugerechnet. '
+  || 'Wird täglich aktualisiert, zuletzt am 1. August 2001.' AS note FROM r"""
+
+ORACLE["gas_balance_by_operator"] = """WITH imp AS (
+  SELECT l_linestatus AS op, CAST(l_shipdate AS DATE) AS d, SUM(l_quantity) AS i
+  FROM lineitem WHERE l_returnflag = 'N' GROUP BY 1, 2), exp AS (
+  SELECT l_linestatus AS op, CAST(l_shipdate AS DATE) AS d, SUM(l_quantity) AS e
+  FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1, 2), z AS (
+  SELECT op, MAX(d) AS z FROM imp GROUP BY 1), b AS (
+  SELECT op, d, (i - e) / 1000 AS diff FROM imp LEFT JOIN exp USING (op, d) JOIN z USING (op) WHERE d < z), g AS (
+  SELECT op, strftime(d, '%m-%d') AS k, diff / SUM(diff) OVER (PARTITION BY op) AS weight
+  FROM b WHERE year(d) = 1997), o AS (
+  SELECT b.op, d, diff + CASE WHEN d >= DATE '1997-01-01' THEN coalesce(9190 * weight, 0) ELSE 0 END AS diff
+  FROM b LEFT JOIN g ON strftime(b.d, '%m-%d') = g.k AND b.op = g.op), m AS (
+  SELECT op, d, CASE WHEN COUNT(diff) OVER w = 7 THEN median(diff) OVER w END AS med
+  FROM o WINDOW w AS (PARTITION BY op ORDER BY d ROWS 6 PRECEDING)), s AS (
+  SELECT op, year(d) AS y, '2001-' || strftime(d, '%m-%d') AS k, med FROM m)
+SELECT r.op AS operator, r.k AS date_show, round(b.med, 6) AS "2001", round(a.med, 6) AS "2000",
+       round(r.med, 6) AS "1997"
+FROM (SELECT * FROM s WHERE y = 1997) r
+LEFT JOIN (SELECT * FROM s WHERE y = 2000) a ON a.k = r.k AND a.op = r.op
+LEFT JOIN (SELECT * FROM s WHERE y = 2001) b ON b.k = r.k AND b.op = r.op"""
+
+ORACLE["daily_store_update"] = ORACLE["storage_report"]
 
 # --- files
 

@@ -12,7 +12,7 @@ from wattfolio import fixed
 from wattfolio.checks import inputs, landed
 from wattfolio.checks.inputs import AS_OF, GRID_SPAN, OFFSET, SPAN
 from wattfolio.functions import dates, numbers, texts
-from wattfolio.operators import aggregate, balance, quality, season, windows
+from wattfolio.operators import aggregate, balance, filters, quality, season, windows
 from wattfolio.plans import (
     annotations,
     gas_balance,
@@ -22,7 +22,7 @@ from wattfolio.plans import (
     storage,
 )
 from wattfolio.session import scratch_folder
-from wattfolio.sinks import files
+from wattfolio.sinks import daily_store, files
 from wattfolio.sources import (
     gas_flows,
     generation_xml,
@@ -74,7 +74,7 @@ def weekly_sum(spark, folder):
 
 @query
 def monthly_mean_of_sums(spark, folder):
-    past = inputs.prices(spark, folder).filter(F.col("time") < F.lit("2000-01-01").cast("date"))
+    past = filters.within(inputs.prices(spark, folder), "time", end="1999-12-31")
     inner = {"country": F.col("country"), "year": F.year("time"), "month": F.month("time")}
     return aggregate.mean_of_sums(past, "full", inner, ["country", "month"])
 
@@ -100,9 +100,7 @@ def position_to_timestamp(spark, folder):
 @query
 def share_of_total(spark, folder):
     days = balance.flow_balance(inputs.flows(spark, folder), "direction", "value", "time")
-    year = days.filter(
-        F.col("date").between(F.lit("1997-01-01").cast("date"), F.lit("1997-12-31").cast("date"))
-    )
+    year = filters.within(days, "date", "1997-01-01", "1997-12-31")
     return aggregate.share_of_total(year, "import").select("date", "import", "share")
 
 
@@ -349,10 +347,23 @@ def page_links(spark, folder):
 # --- reports
 
 
+def _gas_report(spark, folder) -> DataFrame:
+    return gas_balance.gas_balance_report(
+        inputs.flows(spark, folder), SPAN, time="time", offset=OFFSET, divisor=1_000
+    )
+
+
 @query
 def gas_balance_report(spark, folder):
+    return _gas_report(spark, folder)
+
+
+@query
+def gas_balance_by_operator(spark, folder):
+    """The report for several series at once."""
     return gas_balance.gas_balance_report(
-        inputs.flows(spark, folder), SPAN, time="time", offset=OFFSET, divisor=1_000
+        inputs.flows(spark, folder), SPAN, time="time", offset=OFFSET,
+        series=["operator"], divisor=1_000,
     )
 
 
@@ -407,11 +418,25 @@ QUERIES["annotations"] = QUERIES.pop("annotations_table")
 
 
 @query
-def next_day_notes(spark, folder):
+def use_annotations(spark, folder):
     table = national_use.use_table(
         inputs.national_use(spark, folder), fixed.NATIONAL_USE_NAMES, "2000-01-01"
     )
-    return annotations.next_day_note(table, "Verbrauch geschätzt", fixed.NATIONAL_USE_NOTE)
+    return annotations.use_annotations(table)
+
+
+@query
+def generation_annotations(spark, folder):
+    weekly = generation.weekly_generation_report(
+        inputs.positioned(spark, folder), SPAN, AS_OF, series=["unit"]
+    )
+    table = annotations.generation_annotations(weekly, "week_num", 2001, AS_OF, ["unit"])
+    return table.withColumn("fresh", F.col("fresh").cast("int"))
+
+
+@query
+def gas_annotations(spark, folder):
+    return annotations.gas_annotations(_gas_report(spark, folder), AS_OF)
 
 
 # --- files: written from the tables, then read by the readers
@@ -477,3 +502,15 @@ def sink_snapshot(spark, folder):
         for day in ("2001-08-01", "2001-08-02")
     ]
     return aggregate.union_all(days)
+
+
+@query
+def daily_store_update(spark, folder):
+    """The storage report from stored days after one year was stored again."""
+    path = scratch_folder(spark, "days")
+    prices = inputs.prices(spark, folder)
+    daily_store.store_days(inputs.levels(spark, folder), path)
+    latest_year = filters.within(prices, "time", "2001-01-01", "2001-12-31")
+    daily_store.store_days(aggregate.daily_sum(latest_year, "full", "time", COUNTRY), path)
+    report = storage.storage_report(daily_store.read_days(spark, path), SPAN)
+    return report.withColumn("plausible", F.col("plausible").cast("int"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from wattfolio import fixed
 from wattfolio.functions import dates, numbers
-from wattfolio.operators import aggregate, season
+from wattfolio.operators import aggregate, filters, season
 from wattfolio.settings import SeasonSpan
 
 WEEK = "week_num"
@@ -61,7 +61,7 @@ def weekly_generation_report(
     weeks = weekly_keys(numbers.scaled(weeks, [value], divisor))
     history, current = week_span(span, as_of)
     table = season.seasonal_table(
-        weeks.filter(F.col(WEEK) <= fixed.LAST_WEEK),
+        filters.numbered_weeks(weeks, WEEK),
         WEEK,
         value,
         F.col("year").cast("int"),

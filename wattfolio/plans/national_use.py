@@ -6,17 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wattfolio import fixed
+from wattfolio.operators import filters
 from wattfolio.operators.aggregate import union_all
 
 
 def use_table(records: DataFrame, names: dict[str, str], start: str = fixed.USE_START) -> DataFrame:
     """Chosen columns under their published names, from ``start`` on."""
-    day = F.to_date("date")
-    return records.filter(day >= F.lit(start).cast("date")).select(
-        *[
-            (day if old == "date" else F.col(old)).alias(new)
-            for old, new in names.items()
-        ]
+    dated = records.withColumn("date", F.to_date("date"))
+    return filters.within(dated, "date", start).select(
+        *[F.col(old).alias(new) for old, new in names.items()]
     )
 
 

@@ -14,6 +14,8 @@ RECOMMENDED = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Building a plan is faster without a call site for every expression.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattfolio import fixed
 from wattfolio.functions import dates, numbers
+from wattfolio.operators import filters
 from wattfolio.operators.aggregate import union_all
 from wattfolio.operators.balance import single_operator
 from wattfolio.operators.quality import enforce_expected, flow_checks
@@ -47,18 +49,22 @@ def read_flows(
     mode: str = "fail",
     check_history: bool = True,
     order: dict | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
     """Checked flows of all points with earlier files appended.
 
-    With ``check_history=False`` the earlier files are appended unchecked and
-    keep all operators.
+    ``start`` and ``end`` bound the new files of both directions. With
+    ``check_history=False`` the earlier files are appended unchecked and keep
+    all operators. ``order`` is the reading order used by the mode ``stop``.
     """
+    order = order or {"import": fixed.IMPORT_POINTS, "export": fixed.EXPORT_POINTS}
 
     def checked(flows: DataFrame) -> DataFrame:
         good = enforce_expected(flows, flow_checks(), mode, order=order)
         return good.filter(single_operator(F.col("direction"), F.col("point"), F.col("operatorLabel")))
 
-    current = read_flow_files(spark, path)
+    current = filters.within(read_flow_files(spark, path), "periodFrom", start, end)
     if history_path is None:
         return checked(current)
     history = read_flow_files(spark, history_path)
