@@ -21,10 +21,14 @@ def _arranged(table: DataFrame, order_by: Sequence[str], series: Sequence[str])
 def write_current(
     table: DataFrame, path: str, order_by: Sequence[str], series: Sequence[str] = ()
 ) -> None:
-    """Replace the current result; a missing value becomes an empty field."""
+    """Replace the current result; a missing value becomes an empty field.
+
+    With ``series`` only the series present in the table are replaced: one that
+    was held back keeps its last result.
+    """
     writer = _arranged(table, order_by, series).write.mode("overwrite").option("header", True)
     if series:
-        writer = writer.partitionBy(*series)
+        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*series)
     writer.csv(path)
 
 
