@@ -66,7 +66,7 @@ ORACLE["monthly_mean_of_sums"] = """WITH s AS (
   SELECT o_orderpriority AS country, year(o_orderdate) AS y, month(o_orderdate) AS month,
          SUM(o_totalprice) AS v
   FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01' GROUP BY 1, 2, 3)
-SELECT country, month, round(AVG(v), 6) AS mean FROM s GROUP BY 1, 2"""
+SELECT country, CAST(month AS INTEGER) AS month, round(AVG(v), 6) AS mean FROM s GROUP BY 1, 2"""
 
 ORACLE["totals"] = """SELECT o_orderpriority AS country,
   round(SUM(o_totalprice) / 1000000, 6) AS total, round(MAX(o_totalprice) / 1000000, 6) AS maximum,
@@ -227,10 +227,11 @@ FROM lineitem WHERE l_returnflag IN ('N', 'R') GROUP BY 1, 2, 3 HAVING COUNT(*)
 # --- scalar functions
 
 ORACLE["calendar_keys"] = f"""WITH t AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)
-SELECT strftime(d, '%Y-%m-%d') AS date, year(d) AS year, month(d) AS month,
+SELECT strftime(d, '%Y-%m-%d') AS date,
+  CAST(year(d) AS INTEGER) AS year, CAST(month(d) AS INTEGER) AS month,
   strftime(d, '%m-%d') AS month_day, '2001-' || strftime(d, '%m-%d') AS shown_date,
   strftime(CAST(date_trunc('week', d) AS DATE) + 6, '%Y-%m-%d') AS week_end,
-  strftime(d, '%G-%V') AS year_week, strftime(d, '%V') AS week_num, weekofyear(d) AS week,
+  strftime(d, '%G-%V') AS year_week, strftime(d, '%V') AS week_num, CAST(weekofyear(d) AS INTEGER) AS week,
   strftime(d + 1, '%Y-%m-%d') AS next_day, {german("d")} AS german,
   strftime({first_monday("year(d)")} + CAST((weekofyear(d) - 1) * 7 AS INTEGER), '%Y-%m-%d') AS monday,
   strftime(date_trunc('week', d), '%Y-%m-%d') AS iso_monday
@@ -298,7 +299,7 @@ ORACLE["weekly_envelope_15min"] = f"""WITH {positioned(15)}, w AS (
   FROM cal LEFT JOIN w USING (e)), env AS (
   SELECT k, AVG(v) AS m, MAX(v) AS x, MIN(v) AS n FROM f WHERE e <= DATE '1999-12-31' GROUP BY 1), cur AS (
   SELECT k, v AS a FROM f WHERE y = '2000')
-SELECT k AS week_num, round(CASE WHEN k <> 39 THEN a END, 6) AS "2000", {STATS}
+SELECT CAST(k AS INTEGER) AS week_num, round(CASE WHEN k <> 39 THEN a END, 6) AS "2000", {STATS}
 FROM cur FULL OUTER JOIN env USING (k)"""
 
 NATIONAL = """SELECT CAST(o_orderdate AS DATE) AS d,
@@ -404,7 +405,7 @@ ORACLE["source_storage_pages"] = ORACLE["daily_sum"]
 
 ORACLE["source_page_check"] = f"""WITH {LEVELS}, n AS (
   SELECT country, CAST(ceil(COUNT(*) / 300.0) AS INTEGER) AS p FROM levels GROUP BY 1)
-SELECT country, p AS pages, p AS last_page, 1 AS complete FROM n"""
+SELECT country, CAST(p AS BIGINT) AS pages, p AS last_page, 1 AS complete FROM n"""
 
 ORACLE["source_generation_xml"] = """SELECT
   strftime(l_shipdate + to_hours(CAST(l_linenumber - 1 AS BIGINT)), '%Y-%m-%d %H:%M:%S.%f') AS date,
@@ -420,7 +421,7 @@ ORACLE["source_weekly_routes"] = """WITH w AS (
   SELECT * FROM (VALUES ('O', 'Nord Stream'), ('F', 'Yamal (BY,PL)')) a(s, series),
                 (VALUES ('1999'), ('2000')) b(period)), v AS (
   SELECT s, weekofyear(e) AS week, strftime(e, '%G') AS period, SUM(q) AS value FROM w GROUP BY 1, 2, 3)
-SELECT k.week AS week, r.series AS series, r.period AS period, round(v.value, 6) AS value
+SELECT CAST(k.week AS INTEGER) AS week, r.series AS series, r.period AS period, round(v.value, 6) AS value
 FROM k CROSS JOIN r LEFT JOIN v ON v.week = k.week AND v.s = r.s AND v.period = r.period"""
 
 ORACLE["sink_snapshot"] = f"""WITH s AS ({ORACLE["storage_report"]})

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattfolio.functions import dates, numbers
-from wattfolio.operators.windows import by_series, whole_series
+from wattfolio.operators.windows import whole_series, with_gaps
 
 
 def daily_sum(
@@ -43,22 +43,12 @@ def weekly_sum(
 def fill_weeks(
     weeks: DataFrame, value: str, week_end: str, series: Sequence[str] = ()
 ) -> DataFrame:
-    """Add the weeks missing between the first and last week of each series as 0.
-
-    Each row stands for itself and the gap up to the next row, so neither a
-    calendar table nor a join is needed and the sums are computed once.
-    """
-    following = F.lead(week_end).over(by_series(series, week_end))
-    upto = F.coalesce(F.date_sub(following, 7), F.col(week_end))
-    span = F.sequence(F.col(week_end), upto, F.make_dt_interval(F.lit(7)))
-    return (
-        weeks.select(*series, F.col(value).alias("_sum"), span.alias("_span"))
-        .select(*series, "_sum", F.posexplode_outer("_span").alias("_gap", week_end))
-        .select(
-            *series,
-            week_end,
-            F.when(F.col("_gap") == 0, F.col("_sum")).otherwise(0.0).alias(value),
-        )
+    """Add the weeks missing between the first and last week of each series as 0."""
+    gap = F.col("_gap")
+    return with_gaps(weeks, week_end, 7, series).select(
+        *series,
+        F.date_add(week_end, gap * 7).alias(week_end),
+        F.when(gap == 0, F.col(value)).otherwise(0.0).alias(value),
     )
 
 

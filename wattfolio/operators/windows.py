@@ -53,21 +53,29 @@ def without_last_day(daily: DataFrame, date: str, series: Sequence[str] = ()) ->
     return daily.withColumn("_last", last).filter(F.col(date) < F.col("_last")).drop("_last")
 
 
+def with_gaps(rows: DataFrame, date: str, step: int, series: Sequence[str] = ()) -> DataFrame:
+    """Repeat each row once per step up to the next row; ``_gap`` counts from 0.
+
+    A row stands for itself and the gap after it, so filling needs neither a
+    calendar table nor a join.
+    """
+    following = F.lead(date).over(by_series(series, date))
+    steps = F.floor(F.datediff(following, date) / step).cast("int")
+    missing = F.greatest(steps - 1, F.lit(0))
+    return rows.withColumn("_missing", missing).select(
+        *rows.columns, F.explode_outer(F.sequence(F.lit(0), F.col("_missing"))).alias("_gap")
+    )
+
+
 def on_every_day(daily: DataFrame, date: str, series: Sequence[str] = ()) -> DataFrame:
     """Add the missing days of each series with NULL values.
 
     An option for windows that shall count days instead of rows.
     """
-    following = F.lead(date).over(by_series(series, date))
-    upto = F.coalesce(F.date_sub(following, 1), F.col(date))
-    span = F.sequence(F.col(date), upto, F.make_dt_interval(F.lit(1)))
+    gap = F.col("_gap")
     others = [c for c in daily.columns if c not in (*series, date)]
-    return (
-        daily.withColumn("_span", span)
-        .select(*series, *others, F.posexplode_outer("_span").alias("_gap", date))
-        .select(
-            *series,
-            date,
-            *[F.when(F.col("_gap") == 0, F.col(c)).alias(c) for c in others],
-        )
+    return with_gaps(daily, date, 1, series).select(
+        *series,
+        F.date_add(date, gap).alias(date),
+        *[F.when(gap == 0, F.col(c)).alias(c) for c in others],
     )

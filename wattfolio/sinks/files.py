@@ -9,13 +9,21 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
 def _arranged(table: DataFrame, order_by: Sequence[str], series: Sequence[str]) -> DataFrame:
     placed = table.repartition(*series) if series else table.repartition(1)
-    return placed.sortWithinPartitions(*series, *order_by)
+    keys = [*series, *order_by]
+    return placed.sortWithinPartitions(*keys) if keys else placed
+
+
+def _typed(stored: DataFrame, table: DataFrame) -> DataFrame:
+    return stored.select(
+        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.schema]
+    )
 
 
 def write_current(
@@ -32,6 +40,11 @@ def write_current(
     writer.csv(path)
 
 
+def read_current(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
+    """A written result with the columns and types of the table it came from."""
+    return _typed(spark.read.option("header", True).csv(path), table)
+
+
 def write_snapshot(
     table: DataFrame,
     path: str,
@@ -51,15 +64,22 @@ def write_snapshot(
 
 
 def read_snapshot(spark: SparkSession, path: str, snapshot_date: str, table: DataFrame) -> DataFrame:
-    """A written snapshot with the columns and types of the table it came from."""
-    stored = (
-        spark.read.option("header", True)
-        .option("basePath", path)
-        .csv(f"{path}/snapshot_date={snapshot_date}")
-    )
-    return stored.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.schema]
-    )
+    """A written snapshot with the columns and types of the table it came from.
+
+    Only the folder of that day is listed; it is missing when every series was
+    held back, and the snapshot is then empty.
+    """
+    try:
+        stored = (
+            spark.read.option("header", True)
+            .option("basePath", path)
+            .csv(f"{path}/snapshot_date={snapshot_date}")
+        )
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], table.schema)
+    return _typed(stored, table)
 
 
 def publish(
