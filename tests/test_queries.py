@@ -34,8 +34,7 @@ def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLE)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
-def test_query(spark, duck, data, name):
+def compare(spark, duck, data, name):
     df = QUERIES[name](spark, data)
     relation = duck.sql(ORACLE[name])
     assert sorted(df.columns) == sorted(relation.columns)
@@ -45,3 +44,25 @@ def test_query(spark, duck, data, name):
     assert len(got) == len(want)
     different = [(g, w) for g, w in zip(got, want) if g != w]
     assert different[:3] == []
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query(spark, duck, data, name):
+    compare(spark, duck, data, name)
+
+
+ZONED = [
+    "calendar_keys", "weekly_sum", "rolling_median_dense", "storage_report", "weekly_generation_report",
+    "gas_balance_report", "month_vs_average", "freshness_gate", "consumption_tables",
+    "source_gas_flow_csv", "source_generation_xml", "source_grid_sheets", "source_storage_pages",
+]
+
+
+@pytest.mark.parametrize("name", ZONED)
+def test_results_do_not_depend_on_the_session_zone(spark, duck, data, name):
+    """A zone with clock changes at midnight."""
+    spark.conf.set("spark.sql.session.timeZone", "America/Sao_Paulo")
+    try:
+        compare(spark, duck, data, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

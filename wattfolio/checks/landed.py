@@ -6,7 +6,7 @@ an array holds a bounded number of records: days of a year, 300 records of a pag
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -19,6 +19,12 @@ from wattfolio.session import scratch_folder
 PAGE_SIZE = 300
 
 
+def _shown(time: str, day: str, after: str = "") -> Column:
+    """Day in a format and clock time to the minute, without any time zone."""
+    clock = F.substring(F.col(time).cast("string"), 12, 5)
+    return F.concat(F.date_format(F.to_date(time), day), clock, F.lit(after))
+
+
 def gas_flow_csv(spark: SparkSession, folder: str) -> str:
     path = scratch_folder(spark, "flows")
     line = inputs.table(spark, folder, "lineitem").filter(F.col("l_returnflag").isin("N", "R"))
@@ -97,7 +103,7 @@ def generation_xml(spark: SparkSession, folder: str) -> str:
         .select(
             F.struct(
                 F.struct(
-                    F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm'Z'").alias("start")
+                    _shown("l_shipdate", "yyyy-MM-dd'T'", "Z").alias("start")
                 ).alias("timeInterval"),
                 F.lit("PT60M").alias("resolution"),
                 "Point",
@@ -145,7 +151,7 @@ def grid_sheets(spark: SparkSession, folder: str) -> str:
     filled = {measures[0]: F.col("energy"), measures[1]: F.col("n")}
     rows = stamps.select(
         F.year("date").alias("year"),
-        F.date_format("date", "dd.MM.yyyy HH:mm").alias("date"),
+        _shown("date", "dd.MM.yyyy ").alias("date"),
         *[filled.get(m, F.lit(None)).cast("string").alias(m) for m in measures],
     )
     units = rows.select("year").distinct().select(

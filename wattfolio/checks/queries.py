@@ -48,7 +48,8 @@ def shown(df: DataFrame, digits: int = 6) -> DataFrame:
         elif isinstance(field.dataType, T.DateType):
             c = F.date_format(c, "yyyy-MM-dd")
         elif isinstance(field.dataType, T.TimestampNTZType):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss.SSSSSS")
+            text = c.cast("string")
+            c = F.rpad(F.when(text.contains("."), text).otherwise(F.concat(text, F.lit("."))), 26, "0")
         columns.append(c.alias(field.name))
     return df.select(*columns)
 

@@ -11,27 +11,33 @@ from wattfolio import fixed
 OFFSET_PATTERN = r"(Z|[+-]\d{2}:?\d{2})$"
 
 
+def utc_clock(instant: Column) -> Column:
+    """The clock time of an instant in UTC, whatever the session's zone."""
+    epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
+
+
 def wall_clock(text: Column, *formats: str, strict: bool = True) -> Column:
     """Parse a text to the clock time it shows; a trailing offset is dropped.
 
     The formats are tried in turn. A text that fits none raises an error, or
-    becomes NULL with ``strict=False``.
+    becomes NULL with ``strict=False``. The shown time is read as UTC, so no
+    clock change of the session's zone can move it.
     """
-    shown = F.regexp_replace(F.trim(text), OFFSET_PATTERN, "")
-    tries = [F.try_to_timestamp(shown, F.lit(f)) for f in formats]
+    shown = F.concat(F.regexp_replace(F.trim(text), OFFSET_PATTERN, ""), F.lit("Z"))
+    tries = [F.try_to_timestamp(shown, F.lit(f"{f}X")) for f in formats]
     parsed = F.coalesce(*tries)
     if strict:
         failed = F.concat(F.lit("not a timestamp: "), text)
         parsed = F.when(text.isNull(), None).otherwise(
             F.coalesce(parsed, F.raise_error(failed).cast("timestamp"))
         )
-    return parsed.cast("timestamp_ntz")
+    return utc_clock(parsed)
 
 
 def in_zone(text: Column, fmt: str, zone: str) -> Column:
     """Parse a text that carries an offset and show it on the clock of ``zone``."""
-    instant = F.to_timestamp(text, fmt)
-    return F.convert_timezone(None, F.lit(zone), instant)
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_clock(F.to_timestamp(text, fmt)))
 
 
 def month_day(date: Column) -> Column:

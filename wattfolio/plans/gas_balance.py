@@ -12,7 +12,7 @@ from wattfolio.functions import dates, numbers
 from wattfolio.operators import balance, season, windows
 from wattfolio.settings import Offset, SeasonSpan
 
-KEY = "date_show"
+KEY = fixed.GAS_KEY
 
 
 def daily_use(
@@ -38,7 +38,7 @@ def daily_use(
     days = balance.with_weights(days, "diff", "date", offset.reference_year, series)
     days = balance.add_offset(days, "diff", "date", offset)
     return days.withColumn(
-        "diff_rolling_median", windows.rolling_median(F.col("diff"), "date", series)
+        fixed.GAS_VALUE, windows.rolling_median(F.col("diff"), "date", series)
     )
 
 
@@ -59,7 +59,7 @@ def gas_balance_report(
     table = season.year_over_year(
         days.filter(~dates.leap_day(F.col("date"))).withColumn(KEY, key),
         KEY,
-        "diff_rolling_median",
+        fixed.GAS_VALUE,
         F.year("date"),
         offset.reference_year,
         span.years,

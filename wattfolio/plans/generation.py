@@ -12,7 +12,7 @@ from wattfolio.functions import dates, numbers
 from wattfolio.operators import aggregate, filters, season
 from wattfolio.settings import SeasonSpan
 
-WEEK = "week_num"
+WEEK = fixed.WEEK_KEY
 
 
 def weekly_keys(weeks: DataFrame, week_end: str = "week_end") -> DataFrame:

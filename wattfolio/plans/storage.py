@@ -7,12 +7,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattfolio import fixed
 from wattfolio.functions import dates
 from wattfolio.operators import quality, season
 from wattfolio.settings import SeasonSpan
 from wattfolio.sinks import files
 
-KEY = "date_datawrapper"
+KEY = fixed.STORAGE_KEY
 
 
 def storage_report(

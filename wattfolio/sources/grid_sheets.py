@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattfolio import fixed
-from wattfolio.functions import numbers
+from wattfolio.functions import dates, numbers
 
 TIME_FORMAT = "dd.MM.yyyy HH:mm"
 
@@ -31,7 +31,7 @@ def read_sheets(spark: SparkSession, path: str, measures: Sequence[str] | None =
     names = ["date", *measures]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
-    time = F.try_to_timestamp(F.col("date"), F.lit(TIME_FORMAT)).cast("timestamp_ntz")
+    time = dates.wall_clock(F.col("date"), TIME_FORMAT, strict=False)
     return (
         raw.withColumn("date", time)
         .filter(F.col("date").isNotNull())
