@@ -119,6 +119,15 @@ def test_rounding_is_half_to_even(spark):
     assert commas == [str(np.round(v, 1)).replace(".", ",") for v in values]
 
 
+def test_plain_text_is_short_and_without_exponent(spark):
+    values = [90.52, 12345678.9, 1.0e7, -98765432.125, 5.0e15, 0.1, 0.00025, 0.0, 8318.452428571429, 123456789.12345679]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    got = [r[0] for r in df.select(numbers.plain_text(F.col("x"))).collect()]
+    assert got == [repr(v) for v in values]
+    assert [float(g) for g in got] == values
+    assert df.select(numbers.plain_text(F.lit(None).cast("double"))).first()[0] is None
+
+
 def test_percent_change_of_nothing_is_null(spark):
     df = spark.createDataFrame([(110.0, 100.0), (1.0, 0.0)], "a double, b double")
     got = [r[0] for r in df.select(numbers.percent_change(F.col("a"), F.col("b"))).collect()]

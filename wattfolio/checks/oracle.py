@@ -425,5 +425,5 @@ SELECT CAST(k.week AS INTEGER) AS week, r.series AS series, r.period AS period,
 FROM k CROSS JOIN r LEFT JOIN v ON v.week = k.week AND v.s = r.s AND v.period = r.period"""
 
 ORACLE["sink_snapshot"] = f"""WITH s AS ({ORACLE["storage_report"]})
-SELECT s.* EXCLUDE (plausible), t.snapshot FROM s, (VALUES ('2001-08-01'), ('2001-08-02')) t(snapshot)
+SELECT s.* EXCLUDE (plausible), t.snapshot FROM s, (VALUES ('2001-08-01'), ('2001-08-02'), ('current')) t(snapshot)
 WHERE plausible = 1"""

@@ -492,7 +492,7 @@ def source_weekly_routes(spark, folder):
 
 @query
 def sink_snapshot(spark, folder):
-    """A gated report written as snapshot and current files, read from the latter."""
+    """A gated report written as snapshots of two days and as current files."""
     report = storage.storage_report(inputs.levels(spark, folder), SPAN)
     root = scratch_folder(spark, "published")
     for day in ("2001-08-01", "2001-08-01", "2001-08-02"):
@@ -502,7 +502,8 @@ def sink_snapshot(spark, folder):
         files.read_snapshot(spark, f"{root}/backups", day, passed).withColumn("snapshot", F.lit(day))
         for day in ("2001-08-01", "2001-08-02")
     ]
-    return aggregate.union_all(days)
+    current = files.read_current(spark, f"{root}/data", passed)
+    return aggregate.union_all([*days, current.withColumn("snapshot", F.lit("current"))])
 
 
 @query

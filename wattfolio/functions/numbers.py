@@ -40,5 +40,20 @@ def one_digit(value: Column) -> Column:
     return F.bround(value, 1)
 
 
+def plain_text(value: Column) -> Column:
+    """A double as its shortest text, without exponent from 0.0001 up to 10^16."""
+    size = F.abs(value)
+
+    def digits(scale: int) -> Column:
+        text = value.cast(f"decimal(38,{scale})").cast("string")
+        return F.regexp_replace(text, r"(\.\d+?)0*$", "$1")
+
+    return (
+        F.when((size >= 1e7) & (size < 1e16), digits(17))
+        .when((size >= 1e-4) & (size < 1e-3), digits(22))
+        .otherwise(value.cast("string"))
+    )
+
+
 def percent_change(value: Column, base: Column) -> Column:
     return F.try_divide(value - base, base) * 100

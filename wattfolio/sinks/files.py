@@ -12,12 +12,23 @@ from collections.abc import Sequence
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from wattfolio.functions import numbers
 
 
 def _arranged(table: DataFrame, order_by: Sequence[str], series: Sequence[str]) -> DataFrame:
     placed = table.repartition(*series) if series else table.repartition(1)
     keys = [*series, *order_by]
-    return placed.sortWithinPartitions(*keys) if keys else placed
+    placed = placed.sortWithinPartitions(*keys) if keys else placed
+    return placed.select(
+        *[
+            numbers.plain_text(F.col(f"`{f.name}`")).alias(f.name)
+            if isinstance(f.dataType, T.DoubleType) and f.name not in series
+            else F.col(f"`{f.name}`")
+            for f in table.schema
+        ]
+    )
 
 
 def _typed(stored: DataFrame, table: DataFrame) -> DataFrame:
