@@ -11,7 +11,7 @@ pages      stored web pages
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattfolio import fixed
@@ -24,7 +24,7 @@ GRID_SPAN = SeasonSpan(curr_year=2000, history_end="1999-12-31", first_year=2000
 OFFSET = Offset(total=fixed.OFFSET_TOTAL, reference_year=1997, start="1997-01-01")
 AS_OF = "2001-08-01"
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-ODD_PRICE = 499_500
+HIGH_PRICE = 400_000
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -69,16 +69,24 @@ def positioned(spark: SparkSession, folder: str, minutes: int = 60) -> DataFrame
 
 
 def unit_flows(spark: SparkSession, folder: str) -> DataFrame:
-    """Flows by status and priority, some of them in another unit."""
+    """Flows by status and priority; high ones of three points are in another unit."""
+    status, rank = F.col("o_orderstatus"), F.substring("o_orderpriority", 1, 1)
+    odd_point = ((status == "F") & (rank == "3")) | ((status == "O") & (rank >= "4"))
+    odd = odd_point & (F.col("o_totalprice") > HIGH_PRICE)
     return table(spark, folder, "orders").select(
         F.col("o_orderstatus").alias("direction"),
         F.col("o_orderpriority").alias("point"),
-        F.when(F.col("o_totalprice") > ODD_PRICE, "MWh/d").otherwise(fixed.FLOW_UNIT).alias("unit"),
+        F.when(odd, "MWh/d").otherwise(fixed.FLOW_UNIT).alias("unit"),
         F.col("o_orderdate").alias("time"),
         F.col("o_totalprice").alias("value"),
     )
 
 
+def exact_mean(amount: Column) -> Column:
+    """Mean of amounts with two digits from whole cents, the same in any order of rows."""
+    return F.sum(F.round(amount * 100).cast("bigint")) / F.count(amount) / 100
+
+
 def national_use(spark: SparkSession, folder: str) -> DataFrame:
     price, status = F.col("o_totalprice"), F.col("o_orderstatus")
     return (
@@ -88,7 +96,7 @@ def national_use(spark: SparkSession, folder: str) -> DataFrame:
             F.sum(F.when(status == "F", price)).alias("landesverbrauch"),
             F.sum(F.when(status == "O", price)).alias("landesverbrauchGeschaetzt"),
             F.sum(F.when(status == "P", price)).alias("landesverbrauchPrognose"),
-            F.avg(price).alias("fiveYearMittelwert"),
+            exact_mean(price).alias("fiveYearMittelwert"),
             F.min(price).alias("fiveYearMin"),
             F.max(price).alias("fiveYearMax"),
         )
@@ -103,7 +111,7 @@ def final_use(spark: SparkSession, folder: str) -> DataFrame:
         .agg(
             F.sum(F.when(F.col("l_linestatus") == "O", quantity)).alias("endverbrauch"),
             F.sum(F.when(F.col("l_linestatus") == "F", quantity)).alias("prognoseMittelwert"),
-            F.avg(price).alias("fiveYearMittelwert"),
+            exact_mean(price).alias("fiveYearMittelwert"),
             F.min(price).alias("fiveYearMin"),
             F.max(price).alias("fiveYearMax"),
         )

@@ -69,8 +69,8 @@ ORACLE["monthly_mean_of_sums"] = """WITH s AS (
 SELECT country, CAST(month AS INTEGER) AS month, round(AVG(v), 6) AS mean FROM s GROUP BY 1, 2"""
 
 ORACLE["totals"] = """SELECT o_orderpriority AS country,
-  round(SUM(o_totalprice) / 1000000, 6) AS total, round(MAX(o_totalprice) / 1000000, 6) AS maximum,
-  round(MIN(o_totalprice) / 1000000, 6) AS minimum FROM orders GROUP BY 1"""
+  round(SUM(o_totalprice) / 1000, 6) AS total, round(MAX(o_totalprice) / 1000, 6) AS maximum,
+  round(MIN(o_totalprice) / 1000, 6) AS minimum FROM orders GROUP BY 1"""
 
 ORACLE["dedup_readings"] = f"""WITH {positioned(60)}
 SELECT DISTINCT unit, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS date, q AS quantity FROM pos"""
@@ -169,7 +169,10 @@ ORACLE["weight_join"] = ORACLE["seasonal_weight_offset"]
 
 UNITS = """f AS (
   SELECT o_orderstatus AS direction, o_orderpriority AS point,
-         CASE WHEN o_totalprice > 499500 THEN 'MWh/d' ELSE 'kWh/d' END AS unit,
+         CASE WHEN o_totalprice > 400000 AND (
+                (o_orderstatus = 'F' AND o_orderpriority = '3-MEDIUM')
+                OR (o_orderstatus = 'O' AND o_orderpriority IN ('4-NOT SPECIFIED', '5-LOW')))
+              THEN 'MWh/d' ELSE 'kWh/d' END AS unit,
          CAST(o_orderdate AS DATE) AS d, o_totalprice AS v FROM orders)"""
 
 ORACLE["unit_check"] = f"""WITH {UNITS}
@@ -295,7 +298,7 @@ FROM cur FULL OUTER JOIN env USING (k) WHERE k <= '52'"""
 ORACLE["weekly_envelope_15min"] = f"""WITH {positioned(15)}, w AS (
   SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS e, SUM(energy) AS v FROM pos GROUP BY 1), cal AS (
   SELECT CAST(unnest(generate_series((SELECT MIN(e) FROM w), (SELECT MAX(e) FROM w), INTERVAL 7 DAY)) AS DATE) AS e), f AS (
-  SELECT e, strftime(e, '%G') AS y, weekofyear(e) AS k, coalesce(v, 0) / 1000000 AS v
+  SELECT e, strftime(e, '%G') AS y, weekofyear(e) AS k, coalesce(v, 0) / 100 AS v
   FROM cal LEFT JOIN w USING (e)), env AS (
   SELECT k, AVG(v) AS m, MAX(v) AS x, MIN(v) AS n FROM f WHERE e <= DATE '1999-12-31' GROUP BY 1), cur AS (
   SELECT k, v AS a FROM f WHERE y = '2000')
@@ -306,13 +309,13 @@ NATIONAL = """SELECT CAST(o_orderdate AS DATE) AS d,
   SUM(o_totalprice) FILTER (WHERE o_orderstatus = 'F') AS a,
   SUM(o_totalprice) FILTER (WHERE o_orderstatus = 'O') AS b,
   SUM(o_totalprice) FILTER (WHERE o_orderstatus = 'P') AS c,
-  AVG(o_totalprice) AS m, MIN(o_totalprice) AS n, MAX(o_totalprice) AS x
+  CAST(SUM(CAST(round(o_totalprice * 100) AS BIGINT)) AS DOUBLE) / COUNT(*) / 100 AS m, MIN(o_totalprice) AS n, MAX(o_totalprice) AS x
 FROM orders WHERE o_orderdate >= TIMESTAMP '2000-01-01' GROUP BY 1"""
 
 FINAL = """SELECT CAST(l_shipdate AS DATE) AS d,
   SUM(l_quantity) FILTER (WHERE l_linestatus = 'O') AS a,
   SUM(l_quantity) FILTER (WHERE l_linestatus = 'F') AS b,
-  AVG(l_extendedprice) AS m, MIN(l_extendedprice) AS n, MAX(l_extendedprice) AS x
+  CAST(SUM(CAST(round(l_extendedprice * 100) AS BIGINT)) AS DOUBLE) / COUNT(*) / 100 AS m, MIN(l_extendedprice) AS n, MAX(l_extendedprice) AS x
 FROM lineitem WHERE l_shipdate >= TIMESTAMP '2000-01-01' GROUP BY 1"""
 
 ORACLE["source_national_use"] = f"""SELECT strftime(d, '%Y-%m-%d') AS date,

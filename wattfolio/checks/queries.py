@@ -83,7 +83,7 @@ def monthly_mean_of_sums(spark, folder):
 @query
 def totals(spark, folder):
     table = aggregate.totals(inputs.prices(spark, folder), "full", COUNTRY)
-    return numbers.scaled(table, ["total", "maximum", "minimum"], 1_000_000)
+    return numbers.scaled(table, ["total", "maximum", "minimum"], 1_000)
 
 
 @query
@@ -382,7 +382,8 @@ def weekly_generation_report(spark, folder):
 @query
 def weekly_envelope_15min(spark, folder):
     return generation.weekly_envelope(
-        inputs.positioned(spark, folder, minutes=15), GRID_SPAN, "energy", "date", open_week=39
+        inputs.positioned(spark, folder, minutes=15), GRID_SPAN, "energy", "date",
+        open_week=39, divisor=100,
     )
 
 
