@@ -8,7 +8,9 @@ from pathlib import Path
 import pytest
 
 from wattfolio import fixed, jobs
+from wattfolio.session import scratch_folder
 from wattfolio.settings import SeasonSpan
+from wattfolio.sinks import daily_store
 
 
 def put(path, text):
@@ -64,13 +66,21 @@ def test_storage_run_with_every_series_held_back(spark, tmp_path):
 
 
 def test_stored_days_of_one_year(spark, tmp_path):
-    levels = [(d, 1.0) for d in days(date(2021, 12, 30), date(2022, 1, 2))]
-    storage_file(tmp_path / "in", "de", 1, 1, levels)
-    store = str(tmp_path / "store")
-    assert jobs.refresh_storage_days(spark, str(tmp_path / "in"), store).count() == 4
-    storage_file(tmp_path / "in", "de", 1, 1, [(d, 2.0) for d, _ in levels])
-    again = jobs.refresh_storage_days(spark, str(tmp_path / "in"), store, 2022)
-    assert sorted((r.date.year, r.full) for r in again.collect()) == [(2021, 1.0)] * 2 + [(2022, 2.0)] * 2
+    old = [(d, 40 + i % 7) for i, d in enumerate(days(date(2021, 1, 1), date(2022, 3, 1)))]
+    storage_file(tmp_path / "in", "de", 1, 1, old)
+    store, out = str(tmp_path / "store"), str(tmp_path / "out")
+    arguments = ["storage", "--input", str(tmp_path / "in"), "--output", out, "--store", store, "--year", "2022"]
+    jobs.main([*arguments, "--as-of", "2022-03-01"], spark)
+    assert daily_store.read_days(spark, store).count() == len(old)
+    # the next day's pages hold the current year only, with one revised value
+    new = [(d, v) for d, v in old if d.year == 2022] + [(date(2022, 3, 2), 41)]
+    new[5] = (new[5][0], 46.5)
+    storage_file(tmp_path / "in", "de", 1, 1, new)
+    jobs.main([*arguments, "--as-of", "2022-03-02", "--renew-year", "2022"], spark)
+    rows = {r["date_datawrapper"]: r for r in table_of(f"{out}/data/storage/country=de")}
+    assert rows["2022-01-06"]["2022"] == "46.5"
+    assert rows["2022-03-02"]["2022"] == "41.0"
+    assert rows["2022-12-31"]["Maximum"] == str(float(dict(old)[date(2021, 12, 31)]))
 
 
 def test_gas_run(spark, tmp_path):
@@ -155,3 +165,22 @@ def test_missing_parameters_are_refused(spark):
         jobs.main(["national-use", "--input", "x", "--output", "y"], spark)
     with pytest.raises(ValueError):
         SeasonSpan(curr_year=2020)
+
+
+class Cluster:
+    """A session on a cluster without a shared folder."""
+
+    class conf:
+        get = staticmethod(lambda key, default: default)
+
+    class sparkContext:
+        master = "spark://host:7077"
+        getConf = staticmethod(dict)
+
+
+def test_scratch_folder_is_the_shared_one(spark):
+    shared = spark.conf.get("spark.checkpoint.dir")
+    first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
+    assert first.startswith(f"{shared}/x-") and first != second
+    with pytest.raises(ValueError, match="shared folder"):
+        scratch_folder(Cluster, "x")

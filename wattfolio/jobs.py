@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattfolio import fixed
+from wattfolio.operators import filters
 from wattfolio.plans import annotations, gas_balance, generation, national_use, storage
 from wattfolio.session import recommend
 from wattfolio.settings import Offset, SeasonSpan
@@ -54,6 +55,17 @@ def run_gas(
     files.write_current(notes, f"{output}/annotations/gas_use", [])
 
 
+def refresh_storage_days(
+    spark: SparkSession, pages: DataFrame, store: str, year: int | None = None
+) -> DataFrame:
+    """Store the daily levels, of one year only if given, and read all of them."""
+    days = storage_pages.levels(pages)
+    if year is not None:
+        days = filters.within(days, "date", f"{year}-01-01", f"{year}-12-31")
+    daily_store.store_days(days, store)
+    return daily_store.read_days(spark, store)
+
+
 def run_storage(
     spark: SparkSession,
     path: str,
@@ -62,14 +74,24 @@ def run_storage(
     as_of: str,
     mode: str = "reference",
     need_all_pages: bool = True,
+    store: str | None = None,
+    year: int | None = None,
 ) -> None:
-    """The gate holds back a series in whole: no snapshot, no result, no note."""
+    """The gate holds back a series in whole: no snapshot, no result, no note.
+
+    With ``store`` the daily levels are kept there and the report starts from
+    them; with ``year`` the pages renew that year only.
+    """
     pages = storage_pages.read_pages(spark, path)
     if need_all_pages:
         missing = storage_pages.completeness(pages).filter(~F.col("complete"))
         if not missing.isEmpty():
             raise ValueError("some storage pages have not landed")
-    report = storage.storage_report(storage_pages.levels(pages), span, mode=mode)
+    if store is None:
+        days = storage_pages.levels(pages)
+    else:
+        days = refresh_storage_days(spark, pages, store, year)
+    report = storage.storage_report(days, span, mode=mode)
     backups = f"{output}/backups/storage"
     storage.publish(report, backups, f"{output}/data/storage", as_of)
     passed = files.read_snapshot(spark, backups, as_of, report.drop("plausible"))
@@ -145,17 +167,6 @@ def run_links(
     links.write.mode("overwrite").parquet(f"{output}/data/links")
 
 
-def refresh_storage_days(
-    spark: SparkSession, path: str, store: str, year: int | None = None
-) -> DataFrame:
-    """Store the daily levels, of one year only if given, and read all of them."""
-    days = storage_pages.levels(storage_pages.read_pages(spark, path))
-    if year is not None:
-        days = days.filter(F.year("date") == year)
-    daily_store.store_days(days, store)
-    return daily_store.read_days(spark, store)
-
-
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
     parser = argparse.ArgumentParser(prog="wattfolio")
     parser.add_argument("job", choices=["gas", "storage", "generation", "national-use", "grid", "routes", "links"])
@@ -165,6 +176,8 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     parser.add_argument("--year", type=int, help="current year")
     parser.add_argument("--as-of", help="day of the run, yyyy-mm-dd")
     parser.add_argument("--mode", help="unit check of gas, gate of storage")
+    parser.add_argument("--store", help="folder of the stored daily levels of storage")
+    parser.add_argument("--renew-year", type=int, help="only year the pages of storage renew")
     parser.add_argument("--open-week", type=int, help="started week of grid")
     given = parser.parse_args(arguments)
     spark = spark or recommend(SparkSession.builder.appName(f"wattfolio {given.job}")).getOrCreate()
@@ -177,7 +190,10 @@ def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = No
     if given.job == "gas":
         run_gas(spark, given.input, given.output, *seasonal(), given.second_input, given.mode or "fail")
     elif given.job == "storage":
-        run_storage(spark, given.input, given.output, *seasonal(), given.mode or "reference")
+        run_storage(
+            spark, given.input, given.output, *seasonal(), given.mode or "reference",
+            store=given.store, year=given.renew_year,
+        )
     elif given.job == "generation":
         run_generation(spark, given.input, given.output, *seasonal())
     elif given.job == "national-use":

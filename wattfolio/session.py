@@ -31,6 +31,7 @@ def scratch_folder(spark: SparkSession, name: str) -> str:
     A machine-local folder is used only by a local session without that setting.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    root = root or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
