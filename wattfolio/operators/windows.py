@@ -13,6 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattfolio import fixed
+from wattfolio.operators import filters
 
 
 def whole_series(series: Sequence[str]) -> WindowSpec:
@@ -41,8 +42,8 @@ def latest(
     daily: DataFrame, value: str, date: str, series: Sequence[str] = ()
 ) -> DataFrame:
     """The last value that is not NULL and its date, per series."""
-    filled = daily.filter(F.col(value).isNotNull() & F.col(date).isNotNull())
-    return filled.groupBy(*series).agg(
+    known = filters.filled(filters.filled(daily, value), date)
+    return known.groupBy(*series).agg(
         F.max(date).alias(date), F.max_by(value, date).alias(value)
     )
 

@@ -33,12 +33,13 @@ def week_span(
     """
     end = F.col(week_end)
     history = end <= F.lit(span.history_end).cast("date")
-    current = (end >= F.lit(span.first_day).cast("date")) & F.col("year").cast("int").between(
-        span.first_year, span.curr_year
-    )
+    conditions = [
+        end >= F.lit(span.first_day).cast("date"),
+        F.col("year").cast("int").between(span.first_year, span.curr_year),
+    ]
     if as_of is not None:
-        current = current & (end <= F.lit(as_of).cast("date"))
-    return history, current
+        conditions.append(end <= F.lit(as_of).cast("date"))
+    return history, filters.every(*conditions)
 
 
 def weekly_generation_report(

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from wattfolio import fixed
-from wattfolio.functions import numbers
+from wattfolio.functions import numbers, texts
 
 
 def month_vs_average(
@@ -48,17 +48,13 @@ def month_vs_average(
 def summary_lines(comparison: DataFrame, month: int, start: str, end: str) -> DataFrame:
     """The printed form of the comparison as one text column per line (K4)."""
 
-    def shown(column: str):
+    def shown(column: str) -> Column:
         return F.format_string("%.1f", F.col(column))
 
     return comparison.select(
-        F.format_string(f"Verbrauch vom {start} bis {end}: %s Gigawattstunden", shown("usage")).alias("usage_line"),
-        F.format_string(
-            f"Durchschnitts-Verbrauch im Monat {month}: %s Gigawattstunden", shown("average")
-        ).alias("average_line"),
-        F.format_string(
-            "Differenz zum Durchschnittsverbrauch: %s GWh oder %s Prozent",
-            shown("difference"),
-            shown("percent"),
-        ).alias("difference_line"),
+        texts.filled(fixed.MONTH_USAGE_LINE, F.lit(start), F.lit(end), shown("usage")).alias("usage_line"),
+        texts.filled(fixed.MONTH_AVERAGE_LINE, F.lit(str(month)), shown("average")).alias("average_line"),
+        texts.filled(fixed.MONTH_DIFFERENCE_LINE, shown("difference"), shown("percent")).alias(
+            "difference_line"
+        ),
     )
