@@ -105,6 +105,12 @@ def test_gas_run(spark, tmp_path):
     assert [rows[0]["2021"], rows[6]["2021"] != ""] == ["", True]
     assert [r["date_show"] for r in rows if r["2023"] == ""][0] == "2023-01-31"
     assert table_of(f"{out}/annotations/gas_use")[0]["note"].endswith("zuletzt am 1. Februar 2023.")
+    # a run that fails its unit check leaves the last result in place
+    bad = lines(new, "entry", 1e6)
+    put(tmp_path / "new" / "direction=import" / "point=Oltingue" / "a.csv", bad)
+    with pytest.raises(Exception, match="unexpected value"):
+        jobs.run_gas(spark, str(tmp_path / "new"), out, SeasonSpan(curr_year=2023), "2023-02-02", str(tmp_path / "old"))
+    assert table_of(f"{out}/data/gas_use") == rows
 
 
 def test_generation_run(spark, tmp_path):

@@ -47,11 +47,9 @@ def run_gas(
     flows = gas_flows.read_flows(
         spark, path, history, mode, check_history, start=start, end=span.last_day
     )
-    report = gas_balance.gas_balance_report(flows, span, offset=offset)
-    target = f"{output}/data/gas_use"
-    files.write_current(report, target, [gas_balance.KEY])
-    written = files.read_current(spark, target, report)
-    notes = annotations.gas_annotations(written, as_of)
+    report = files.computed(gas_balance.gas_balance_report(flows, span, offset=offset))
+    files.write_current(report, f"{output}/data/gas_use", [gas_balance.KEY], ready=True)
+    notes = annotations.gas_annotations(report, as_of)
     files.write_current(notes, f"{output}/annotations/gas_use", [])
 
 
@@ -131,7 +129,8 @@ def run_national_use(
     final = national_use.use_table(
         use_source.read_final_use(spark, final_path), fixed.FINAL_USE_NAMES, start
     )
-    files.write_current(national, f"{output}/data/landesverbrauch", ["date"])
+    national = files.computed(national)
+    files.write_current(national, f"{output}/data/landesverbrauch", ["date"], ready=True)
     files.write_current(final, f"{output}/data/endverbrauch", ["date"])
     notes = annotations.use_annotations(national)
     files.write_current(notes, f"{output}/annotations/use", ["usage"])
@@ -157,14 +156,14 @@ def run_grid(
 def run_routes(spark: SparkSession, path: str, output: str) -> None:
     """Weekly routes as a long table, stored as Parquet."""
     long = weekly_routes.weekly_long(weekly_routes.read_weekly(spark, path))
-    long.write.mode("overwrite").parquet(f"{output}/data/routes")
+    files.computed(long).write.mode("overwrite").parquet(f"{output}/data/routes")
 
 
 def run_links(
     pages: DataFrame, output: str, name: str = "title", pattern: str = "^Download data$"
 ) -> None:
     links = web_links.page_links(pages, "html", name, pattern)
-    links.write.mode("overwrite").parquet(f"{output}/data/links")
+    files.computed(links).write.mode("overwrite").parquet(f"{output}/data/links")
 
 
 def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:

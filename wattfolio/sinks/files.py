@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattfolio.functions import numbers
+from wattfolio.session import scratch_folder
 
 
 def _arranged(table: DataFrame, order_by: Sequence[str], series: Sequence[str]) -> DataFrame:
@@ -37,14 +38,33 @@ def _typed(stored: DataFrame, table: DataFrame) -> DataFrame:
     )
 
 
+def computed(table: DataFrame) -> DataFrame:
+    """The table written to the shared folder and read from there.
+
+    Replacing a result removes the old one first. A table computed beforehand
+    keeps a failing check from leaving no result at all, and is computed once
+    for all its uses.
+    """
+    path = scratch_folder(table.sparkSession, "computed")
+    table.write.parquet(path)
+    return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
 def write_current(
-    table: DataFrame, path: str, order_by: Sequence[str], series: Sequence[str] = ()
+    table: DataFrame,
+    path: str,
+    order_by: Sequence[str],
+    series: Sequence[str] = (),
+    ready: bool = False,
 ) -> None:
     """Replace the current result; a missing value becomes an empty field.
 
     With ``series`` only the series present in the table are replaced: one that
-    was held back keeps its last result.
+    was held back keeps its last result. ``ready`` tells that the table is read
+    from files already.
     """
+    if not ready:
+        table = computed(table)
     writer = _arranged(table, order_by, series).write.mode("overwrite").option("header", True)
     if series:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*series)
@@ -108,4 +128,4 @@ def publish(
     """
     write_snapshot(table, snapshot_path, snapshot_date, order_by, series)
     stored = read_snapshot(table.sparkSession, snapshot_path, snapshot_date, table)
-    write_current(stored, current_path, order_by, series)
+    write_current(stored, current_path, order_by, series, ready=True)
