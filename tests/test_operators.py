@@ -274,6 +274,13 @@ def test_quarantine_drops_whole_points(checked_flows, limit):
     assert points(kept) == [("export", "Oltingue"), ("import", "Basel"), ("import", "Oltingue")]
 
 
+def test_quarantine_of_a_missing_key(spark):
+    rows = [(None, "MWh/d"), (None, "kWh/d"), ("a", "kWh/d")]
+    df = spark.createDataFrame(rows, "point string, unit string")
+    kept = quality.without_bad_keys(df, ["point"], {"unit": F.lit("kWh/d")})
+    assert [tuple(r) for r in kept.collect()] == [("a", "kWh/d")]
+
+
 def test_stop_drops_the_point_and_all_later_ones(checked_flows):
     order = {"import": fixed.IMPORT_POINTS, "export": fixed.EXPORT_POINTS}
     kept = quality.enforce_expected(checked_flows, quality.flow_checks(), "stop", order=order)
@@ -281,6 +288,13 @@ def test_stop_drops_the_point_and_all_later_ones(checked_flows):
     one = {"import": ["Basel", "Oltingue"], "export": ["Oltingue"]}
     kept = quality.enforce_expected(checked_flows, quality.flow_checks(), "stop", order=one)
     assert points(kept) == [("export", "Oltingue"), ("import", "Basel"), ("import", "Oltingue")]
+    with pytest.raises(Exception, match="no reading order for export"):
+        quality.enforce_expected(
+            checked_flows, quality.flow_checks(), "stop", order={"import": ["Basel"]}
+        ).collect()
+    good = checked_flows.filter("point in ('Basel', 'Oltingue')")
+    kept = quality.enforce_expected(good, quality.flow_checks(), "stop", order={"import": [], "export": []})
+    assert points(kept) == points(good)
     with pytest.raises(ValueError):
         quality.enforce_expected(checked_flows, quality.flow_checks(), "stop")
     with pytest.raises(ValueError):

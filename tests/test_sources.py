@@ -122,6 +122,8 @@ def test_unit_modes_on_files(spark, flow_files, history_files):
 
     assert imports("quarantine") == {"Wallbach", "Oltingue", "Thayngen"}
     assert imports("stop") == {"Wallbach", "Oltingue"}
+    checked = gas_flows.read_flows(spark, path, str(history_files), "stop")
+    assert checked.filter(F.year("periodFrom") == 2021).count() == 1
 
 
 def test_storage_pages(spark, tmp_path):

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattfolio import fixed
 from wattfolio.functions import dates
+from wattfolio.operators import filters
 from wattfolio.operators.windows import by_series, difference, whole_series
 from wattfolio.session import scratch_folder
 
@@ -69,11 +70,13 @@ def without_bad_keys(
     """
     spark = rows.sparkSession
     path = scratch_folder(spark, "bad-keys")
-    rows.filter(unexpected(checks)).select(*keys).distinct().write.parquet(path)
+    bad_keys = [F.col(k).alias(f"_bad_{k}") for k in keys]
+    rows.filter(unexpected(checks)).select(*bad_keys).distinct().write.parquet(path)
     bad = spark.read.parquet(path)
     if bad.count() <= broadcast_rows:
         bad = F.broadcast(bad)
-    return rows.join(bad, list(keys), "left_anti")
+    same = [F.col(k).eqNullSafe(F.col(f"_bad_{k}")) for k in keys]
+    return rows.join(bad, filters.every(*same), "left_anti")
 
 
 def until_first_bad(
@@ -85,10 +88,10 @@ def until_first_bad(
 ) -> DataFrame:
     """Keep the points read before the first bad one, in configured order.
 
-    ``order`` lists the points of each group. A group without a bad point is
-    kept whole; a point that is not listed is dropped, as it is never read.
-    The first bad place of each configured group is one row of a small table,
-    as long as ``order`` and bounded by it, which therefore may be broadcast.
+    ``order`` lists the points of each group. Points that are not listed come
+    last, all in one place; a group that is not listed is an error. A group
+    without a bad point is kept whole. The first bad places are one row per
+    listed group, a table bounded by ``order``, which therefore may be broadcast.
     """
     places = F.create_map(
         *[
@@ -98,9 +101,15 @@ def until_first_bad(
             for x in (f"{name}\x1f{p}", place)
         ]
     )
+    last = max(len(points) for points in order.values())
+    place = F.try_element_at(places, F.concat_ws("\x1f", F.col(group), F.col(point)))
+    unknown = F.raise_error(F.concat(F.lit("no reading order for "), F.col(group)))
     placed = rows.withColumn(
-        "_place", F.try_element_at(places, F.concat_ws("\x1f", F.col(group), F.col(point)))
-    ).filter(F.col("_place").isNotNull())
+        "_place",
+        F.when(F.col(group).isin(list(order)), F.coalesce(place, F.lit(last))).otherwise(
+            unknown.cast("int")
+        ),
+    )
     stops = (
         placed.filter(unexpected(checks))
         .groupBy(group)

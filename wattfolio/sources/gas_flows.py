@@ -56,11 +56,12 @@ def read_flows(
 
     ``start`` and ``end`` bound the new files of both directions. With
     ``check_history=False`` the earlier files are appended unchecked and keep
-    all operators. ``order`` is the reading order used by the mode ``stop``.
+    all operators. ``order`` is the reading order used by the mode ``stop``;
+    earlier files are not part of it, their checks then fail the job.
     """
     order = order or {"import": fixed.IMPORT_POINTS, "export": fixed.EXPORT_POINTS}
 
-    def checked(flows: DataFrame) -> DataFrame:
+    def checked(flows: DataFrame, mode: str = mode) -> DataFrame:
         good = enforce_expected(flows, flow_checks(), mode, order=order)
         return good.filter(single_operator(F.col("direction"), F.col("point"), F.col("operatorLabel")))
 
@@ -68,6 +69,8 @@ def read_flows(
     if history_path is None:
         return checked(current)
     history = read_flow_files(spark, history_path)
-    if check_history:
-        return checked(union_all([current, history]))
-    return union_all([checked(current), history])
+    if not check_history:
+        return union_all([checked(current), history])
+    if mode == "stop":
+        return union_all([checked(current), checked(history, "fail")])
+    return checked(union_all([current, history]))
