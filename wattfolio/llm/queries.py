@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wattfolio.llm import simhash
+from wattfolio.llm import embedding_dedup, simhash, topk
 from wattfolio.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,3 +24,50 @@ def op1_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Three-word shingles, links at 3 bits."""
     found = simhash.near_duplicates(table(spark, folder, "documents"), shingle=3, max_bits=3)
     return found.select("doc_id", "fingerprint", "component_id")
+
+
+@query
+def op5_exact_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The 20 best of each vector whose id is divisible by 20."""
+    return topk.top_k(table(spark, folder, "embeddings"), every=20, k=20, scale=64)
+
+
+ORACLE["op5_exact_topk"] = """
+WITH v AS (
+  SELECT vec_id, [floor(64 * x::DOUBLE) FOR x IN embedding] AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len([1 FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, list_inner_product(q.x, c.x)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id AND len(q.x) = len(c.x)
+  WHERE q.vec_id % 20 = 0
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+WHERE rank <= 20
+"""
+
+
+@query
+def op8_embedding_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Links at a cosine of 0.93 within a label."""
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"), threshold=0.93)
+
+
+ORACLE["op8_embedding_near_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, [x::DOUBLE FOR x IN embedding] AS x FROM embeddings
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b
+  FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.x, b.x) >= 0.93
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM v
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), least AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = least.vec_id) AS n_links,
+       component_id, vec_id = component_id AS kept
+FROM least
+"""
