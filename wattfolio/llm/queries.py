@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wattfolio.llm import embedding_dedup, simhash, topk
+from wattfolio.llm import embedding_dedup, licenses, mixing, secret_scan, simhash, topk
 from wattfolio.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -71,3 +72,141 @@ SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = least.vec_id) AS n_li
        component_id, vec_id = component_id AS kept
 FROM least
 """
+
+
+def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Documents with column weight: 1 for good ones, 0.5 for bad ones, 0.75 without a label."""
+    rated = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("rated"))
+    rated = rated.agg(F.expr("CASE max(quality) WHEN 1 THEN 1.0D WHEN 0 THEN 0.5D END").alias("weight"))
+    joined = docs.join(rated, docs["doc_id"] == rated["rated"], "left").drop("rated")
+    return joined.fillna(0.75, ["weight"])
+
+
+@query
+def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents, weights 5, 2, 1 in turn, at most three times each."""
+    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
+    rated = quality_of(docs, table(spark, folder, "labels"))
+    mixed = mixing.mix(rated, F.col("weight"), weights=(5, 2, 1), share=1.0, repeat=3)
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLE["op4_source_mixing"] = r"""
+WITH rated AS (
+  SELECT doc_id, CASE max(quality) WHEN 1 THEN 1.0 WHEN 0 THEN 0.5 END AS weight
+  FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id
+), d AS (
+  SELECT d.doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    -ln((('0x' || left(md5(coalesce(d.doc_id::VARCHAR, '')), 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
+      / coalesce(weight, 0.75)::DOUBLE AS key
+  FROM documents d LEFT JOIN rated r ON d.doc_id = r.doc_id
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid
+  FROM d GROUP BY source
+), w AS (SELECT *, [5, 2, 1][sid % 3 + 1] AS weight, 3 * source_size AS cap FROM s
+), u AS (
+  SELECT *, cap / weight AS ratio,
+    ((sum(source_size) OVER ())::DOUBLE
+       - coalesce(sum(cap) OVER (ORDER BY cap / weight, sid ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::DOUBLE)
+      / (sum(weight) OVER (ORDER BY cap / weight, sid ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::DOUBLE AS unit
+  FROM w
+), t AS (
+  SELECT source, source_size, CASE WHEN unit > ratio THEN cap::DOUBLE
+    ELSE weight * (SELECT unit FROM u WHERE unit <= ratio ORDER BY ratio, sid LIMIT 1) END AS target
+  FROM u
+), e AS (
+  SELECT d.*, source_size, target,
+    coalesce(floor(target / nullif(source_size, 0)), 0)::BIGINT AS epochs,
+    sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+  (epochs * size + least(size, greatest(0, round(target - epochs * source_size)::BIGINT - before)))::BIGINT AS taken
+FROM e
+"""
+
+
+@query
+def op6_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All rules over all texts, with nothing scanned before."""
+    docs = table(spark, folder, "documents")
+    return secret_scan.by_document(docs, secret_scan.scan(docs))
+
+
+def secret_sql() -> str:
+    """The same places from lists: a text split at its matches, beside the matches."""
+    parts = []
+    for rank, rule in enumerate(secret_scan.RULES):
+        pattern = rule.pattern.replace("'", "''")
+        parts.append(
+            f"SELECT doc_id, {rank} AS rank, '{rule.kind}' AS kind, {rule.least} AS least, {rule.base} AS base, "
+            f"string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}', 0) AS hits, "
+            f"regexp_extract_all(t, '{pattern}', {rule.group}) AS vals FROM d"
+        )
+    return f"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({" UNION ALL ".join(parts)}),
+p AS (
+  SELECT doc_id, rank, kind, least, base, hits[i] AS hit, vals[i] AS val,
+    list_sum([length(g) FOR g IN gaps[:i]]) + coalesce(list_sum([length(h) FOR h IN hits[:i - 1]]), 0) AS start
+  FROM (SELECT *, unnest(range(1, len(hits) + 1)) AS i FROM m)
+),
+f AS (SELECT *, kind || ':' || start::BIGINT || ':' || (start + length(hit))::BIGINT AS shown
+      FROM p WHERE length(val) >= least)
+SELECT d.doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+  count(*) FILTER (kind = 'hex') AS n_hex,
+  sha256(coalesce(string_agg(shown, ',' ORDER BY start, rank) FILTER (base), '')) AS base_sha256,
+  coalesce(string_agg(shown, ',' ORDER BY start, rank), '') AS spans
+FROM d LEFT JOIN f ON d.doc_id = f.doc_id GROUP BY d.doc_id
+"""
+
+
+ORACLE["op6_secret_scan"] = secret_sql()
+
+
+@query
+def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """All templates over all texts."""
+    return licenses.scan(table(spark, folder, "documents"))
+
+
+def license_sql() -> str:
+    """The same votes from three words joined as text."""
+    rows = ", ".join(
+        f"({t}, '{label}', {base}, {n}, {place}, '{a}', '{b}', '{c}')"
+        for t, label, base, n, place, a, b, c in licenses.grams(licenses.TEMPLATES)
+    )
+    return rf"""
+WITH k(template, label, base, n, place, a, b, c) AS (VALUES {rows}),
+d AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents
+),
+g AS (SELECT doc_id, i - 1 AS spot, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+      FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM d)),
+v AS (
+  SELECT doc_id, template, label, base, n, spot - place AS diagonal, bit_or(1::BIGINT << place) AS votes
+  FROM g JOIN k USING (a, b, c) GROUP BY ALL
+),
+l AS (SELECT *, coalesce((diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {licenses.NEAR})::INT, 0)
+        AS apart, base AND bit_count(votes) = n - 2 AS whole FROM v),
+p AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS passage FROM l),
+m AS (
+  SELECT doc_id, label, n, bit_or(votes) AS votes, count(*) FILTER (whole) AS n_base,
+    min(diagonal) FILTER (whole) AS first_word, max(diagonal) FILTER (whole) AS last_word
+  FROM p GROUP BY doc_id, template, label, n, passage
+),
+s AS (SELECT *, bit_count(votes | (votes << 1) | (votes << 2)) / n AS covered FROM m)
+SELECT d.doc_id, len(any_value(w))::BIGINT AS n_words, coalesce(sum(n_base), 0)::BIGINT AS n_base,
+  min(first_word)::BIGINT AS first_word, max(last_word)::BIGINT AS last_word,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (n_base > 0), '') AS base_labels,
+  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (n_base > 0 OR covered >= {licenses.COVERED}), '') AS labels,
+  coalesce(max(covered), 0)::DOUBLE AS score
+FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id
+"""
+
+
+ORACLE["op10_license_scan"] = license_sql()
