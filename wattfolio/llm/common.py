@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,13 +22,8 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def cut(df: DataFrame) -> DataFrame:
-    """The same rows without their history, kept in the shared folder of the cluster.
-
-    The folder is the one ``spark.checkpoint.dir`` names. Only a local session that
-    names none gets a temporary one.
-    """
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names; only a local session without one gets a temporary folder."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
         root = spark.conf.get("spark.checkpoint.dir", None)
@@ -36,9 +32,22 @@ def cut(df: DataFrame) -> DataFrame:
                 raise ValueError("spark.checkpoint.dir must name a shared folder")
             root = tempfile.mkdtemp(prefix="wattfolio-llm-")
         context.setCheckpointDir(root)
+    return context.getCheckpointDir()
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """The same rows without their history, kept in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The same rows written as Parquet below the shared folder, and read again."""
+    path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
 

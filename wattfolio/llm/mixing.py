@@ -58,36 +58,34 @@ def targets(sources: DataFrame, weights: tuple[int, ...], share: float, repeat:
 
 def mix(
     docs: DataFrame,
-    quality: Column | None = None,
+    qualities: DataFrame | None = None,
     weights: tuple[int, ...] = (5, 2, 1),
     share: float = 1.0,
     repeat: int = 3,
     range_rows: int = RANGE_ROWS,
-    carry: bool = False,
 ) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies) for each row of (doc_id, text, source).
+    """(doc_id, mark, size, source_size, target, taken, copies) for each row of (doc_id, text, source).
 
     ``size`` is the number of words, 0 for a null or empty text; ``target`` the words
     its source is to give; ``taken`` the words the mix takes of the document, repeats
     counted: whole epochs, then the sample, whose last document is taken in part;
-    ``copies`` the same in whole documents, the last one rounded. ``quality`` is a
-    positive weight, 1 where null. A null source is a source, a null id has a key of its
-    own; rows that repeat are documents of their own, ties of a key go by id, size and
-    text. An empty table gives no rows. With ``carry`` the input row is kept as column
-    ``row``; otherwise further columns are ignored.
+    ``copies`` the same in whole documents, the last one rounded; ``mark`` a hash of
+    text and source. ``qualities`` (doc_id, quality), one row an id, has positive
+    weights; without one the weight is 1. A null source is a source, a null id has a
+    key of its own; rows that repeat are documents of their own, ties of a key go by id,
+    size and text. An empty table gives no rows. Further columns are ignored.
     """
-    weight = F.lit(1.0) if quality is None else F.coalesce(quality.cast("double"), F.lit(1.0))
-    kept = [F.struct(*(docs[f"`{c}`"] for c in docs.columns)).alias("row")] if carry else []
-    # 1 - exp(-key) grows with the key from 0 to 1; so do the key ranges
-    rows = docs.select(
-        "doc_id", "source", words(F.col("text")).alias("size"), F.xxhash64("text").alias("mark"),
-        (-F.ln(uniform(F.col("doc_id"))) / weight).alias("key"), *kept,
-    )
-    if not carry:
-        rows = cut(rows)
+    mark = F.xxhash64("text", "source").alias("mark")
+    rows = cut(docs.select("doc_id", "source", words(F.col("text")).alias("size"), mark))
     sources = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("n"))
     planned = targets(sources, weights, share, repeat).withColumnRenamed("source", "name")
-    placed = rows.join(planned, F.col("source").eqNullSafe(F.col("name")))
+    if qualities is None:
+        rows = rows.withColumn("quality", F.lit(1.0))
+    else:
+        rows = rows.join(qualities.select("doc_id", F.col("quality").cast("double")), "doc_id", "left")
+    key = -F.ln(uniform(F.col("doc_id"))) / F.coalesce("quality", F.lit(1.0))
+    placed = rows.withColumn("key", key).join(planned, F.col("source").eqNullSafe(F.col("name")))
+    # 1 - exp(-key) grows with the key from 0 to 1; so do the key ranges
     ranges = F.ceil(F.col("n") / range_rows)
     placed = placed.withColumn("range", F.floor((1 - F.exp(-F.col("key"))) * ranges))
     at_range = Window.partitionBy("sid").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -101,20 +99,30 @@ def mix(
     summed = placed.join(sums, ["sid", "range"])
     before = F.col("before") + F.sum("size").over(within) - F.col("size")
     epochs = F.coalesce(F.floor(F.try_divide("target", "source_size")), F.lit(0))
-    left = F.round(F.col("target") - F.col("epochs") * F.col("source_size"))
-    part = F.least(F.col("size"), F.greatest(F.lit(0), F.col("left") - F.col("before")))
-    summed = summed.withColumn("before", before).withColumn("epochs", epochs).withColumn("left", left.cast("long"))
-    summed = summed.withColumn("part", part)
+    summed = summed.withColumn("before", before).withColumn("epochs", epochs)
+    left = F.round(F.col("target") - F.col("epochs") * F.col("source_size")).cast("long")
+    summed = summed.withColumn("part", F.least(F.col("size"), F.greatest(F.lit(0), left - F.col("before"))))
     whole = F.col("epochs") + F.when((F.col("part") > 0) & (F.col("part") * 2 >= F.col("size")), 1).otherwise(0)
+    taken = F.col("epochs") * F.col("size") + F.col("part")
     return summed.select(
-        "doc_id", "size", "source_size", "target",
-        (F.col("epochs") * F.col("size") + F.col("part")).alias("taken"),
-        whole.cast("int").alias("copies"), *(["row"] if carry else []),
-    )
+        "doc_id", "mark", "size", "source_size", "target", taken.alias("taken"), whole.cast("int").alias("copies")
+    )
 
 
-def sampled(docs: DataFrame, **options: object) -> DataFrame:
-    """The rows of the mix itself: each input row as often as it is taken whole."""
-    mixed = mix(docs, carry=True, **options)
-    repeated = mixed.where("copies > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("copies"))))
-    return repeated.select("row.*")
+def sampled(docs: DataFrame, qualities: DataFrame | None = None, **options: object) -> DataFrame:
+    """The rows of the mix itself: each input row as often as it is taken whole.
+
+    Columns and their order stay. Texts move once, to meet their number of copies; rows
+    with the same id, text and source share their copies out.
+    """
+    mixed = mix(docs, qualities, **options)
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    counts = mixed.groupBy(name.alias("_id"), F.col("mark").alias("_mark")).agg(
+        F.min("copies").alias("_least"), (F.sum("copies") - F.count("copies") * F.min("copies")).alias("_more")
+    )
+    rows = docs.withColumn("_id", name).withColumn("_mark", F.xxhash64("text", "source"))
+    rows = rows.join(counts, ["_id", "_mark"])
+    nth = F.row_number().over(Window.partitionBy("_id", "_mark").orderBy("_id", "_mark"))
+    rows = rows.withColumn("_copies", F.col("_least") + (nth <= F.col("_more")).cast("int")).where("_copies > 0")
+    each = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    return each.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -7,8 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattfolio.llm import embedding_dedup, licenses, mixing, secret_scan, simhash, topk
-from wattfolio.llm.common import table
+from wattfolio.llm import (
+    embedding_dedup,
+    language,
+    licenses,
+    mixing,
+    packing,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    topk,
+    toxicity,
+)
+from wattfolio.llm.common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -74,20 +85,19 @@ FROM least
 """
 
 
-def quality_of(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Documents with column weight: 1 for good ones, 0.5 for bad ones, 0.75 without a label."""
-    rated = labels.where("doc_id is not null").groupBy(F.col("doc_id").alias("rated"))
-    rated = rated.agg(F.expr("CASE max(quality) WHEN 1 THEN 1.0D WHEN 0 THEN 0.5D END").alias("weight"))
-    joined = docs.join(rated, docs["doc_id"] == rated["rated"], "left").drop("rated")
-    return joined.fillna(0.75, ["weight"])
+def qualities(labels: DataFrame, docs: DataFrame) -> DataFrame:
+    """(doc_id, quality): 1 for good documents, 0.5 for bad ones, 0.75 without a label."""
+    rated = labels.where("doc_id is not null").groupBy("doc_id").agg(F.max("quality").alias("mark"))
+    quality = F.expr("CASE mark WHEN 1 THEN 1.0D WHEN 0 THEN 0.5D ELSE 0.75D END").alias("quality")
+    ids = docs.select("doc_id").where("doc_id is not null").distinct()
+    return ids.join(rated, "doc_id", "left").select("doc_id", quality)
 
 
 @query
 def op4_source_mixing(spark: SparkSession, folder: str) -> DataFrame:
     """All documents, weights 5, 2, 1 in turn, at most three times each."""
-    docs = table(spark, folder, "documents").select("doc_id", "text", "source")
-    rated = quality_of(docs, table(spark, folder, "labels"))
-    mixed = mixing.mix(rated, F.col("weight"), weights=(5, 2, 1), share=1.0, repeat=3)
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels")
+    mixed = mixing.mix(docs, qualities(labels, docs), weights=(5, 2, 1), share=1.0, repeat=3)
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
@@ -98,7 +108,7 @@ WITH rated AS (
 ), d AS (
   SELECT d.doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
     -ln((('0x' || left(md5(coalesce(d.doc_id::VARCHAR, '')), 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE)
-      / coalesce(weight, 0.75)::DOUBLE AS key
+      / CASE WHEN d.doc_id IS NULL THEN 1.0 ELSE coalesce(weight, 0.75) END::DOUBLE AS key
   FROM documents d LEFT JOIN rated r ON d.doc_id = r.doc_id
 ), s AS (
   SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS sid
@@ -210,3 +220,37 @@ FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id
 
 
 ORACLE["op10_license_scan"] = license_sql()
+
+
+@query
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained on about 1000 documents a language of folds 1 to 4."""
+    docs = table(spark, folder, "documents")
+    found = language.identify(docs, language.fit(docs, per_label=1000))
+    held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, F.col("lang_best").alias("lang_pred"), "score", "rejected")
+
+
+@query
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Trained on about 2500 documents a class of folds 1 to 4."""
+    docs = table(spark, folder, "documents")
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels"), per_label=2500))
+    held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "score", F.col("toxic").cast("int").alias("predicted"))
+
+
+@query
+def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents into sequences of 1024 words."""
+    return packing.pack(table(spark, folder, "documents"), capacity=1024)
+
+
+@query
+def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Strings of 400 bytes."""
+    found = suffix_dedup.without_repeats(table(spark, folder, "documents"), length=400)
+    return found.select(
+        "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )

@@ -15,7 +15,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wattfolio.llm.common import cut, text_slices, whole_groups
@@ -54,15 +54,17 @@ def majority(hashes: list[list[int]]) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 3) -> DataFrame:
-    """(doc_id, fp) for each row of (doc_id, text); a null or empty text has fingerprint zero."""
+    """(doc_id, mark, fp) for each row of (doc_id, text); a null or empty text has fingerprint zero, mark is a hash of the text."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in text_slices(batches):
             texts = part.column("text").cast(pa.binary()).to_pylist()
             fp = majority([shingle_hashes(x or b"", shingle) for x in texts])
-            yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64))], ["doc_id", "fp"])
+            columns = [part.column("doc_id"), part.column("mark"), pa.array(fp.view(np.int64))]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "mark", "fp"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, fp long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select("doc_id", "text", F.xxhash64("text").alias("mark")).mapInArrow(run, f"doc_id {kind}, mark long, fp long")
 
 
 def cells(distinct: DataFrame, max_bits: int, cell_rows: int) -> DataFrame:
@@ -183,10 +185,11 @@ def links(distinct: DataFrame, max_bits: int = 3, cell_rows: int = CELL_ROWS) ->
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, max_bits: int = 3, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
-    """(doc_id, fp, fingerprint, component_id) for each row of (doc_id, text).
+    """(doc_id, mark, fp, fingerprint, root, component_id) for each row of (doc_id, text).
 
     ``component_id`` is the smallest doc_id that is reachable over links between
-    fingerprints of at most ``max_bits`` differing bits. Equal fingerprints are one
+    fingerprints of at most ``max_bits`` differing bits; ``root`` names the component and
+    ``mark`` the text. Equal fingerprints are one
     node, so exact copies are never compared with each other. Texts that are null,
     empty or without words have fingerprint zero and are linked like any other; rows
     that repeat an id are rows of their own; null ids are never the smallest (a component of null ids
@@ -198,6 +201,21 @@ def near_duplicates(
     named = nodes.join(roots, nodes["fp"] == roots["node"], "left")
     named = named.select("fp", "least", F.coalesce("root", "fp").alias("root"))
     ids = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    whole = named.join(ids, "root").select("fp", "component_id")
-    out = marked.join(whole, "fp")
-    return out.select("doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    out = marked.join(named.join(ids, "root").select("fp", "root", "component_id"), "fp")
+    fingerprint = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
+    return out.select("doc_id", "mark", "fp", fingerprint, "root", "component_id")
+
+
+def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
+    """The rows of (doc_id, text, ...) that stay: one of each component, that of the smallest id.
+
+    A null id comes last; rows with one id go by a hash of the text. Columns and their
+    order stay.
+    """
+    found = near_duplicates(docs, shingle, max_bits)
+    name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", name.alias("_id"))).alias("first")
+    kept = found.groupBy("root").agg(first).select(F.col("first._id").alias("_id"), F.col("first.mark").alias("_mark"))
+    rows = docs.withColumn("_id", name).withColumn("_mark", F.xxhash64("text")).join(kept, ["_id", "_mark"])
+    nth = F.row_number().over(Window.partitionBy("_id", "_mark").orderBy("_id", "_mark"))
+    return rows.withColumn("_nth", nth).where("_nth = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
