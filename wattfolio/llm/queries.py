@@ -233,9 +233,9 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
-    """Trained on about 2500 documents a class of folds 1 to 4."""
+    """Trained on about 1500 documents a class of folds 1 to 4."""
     docs = table(spark, folder, "documents")
-    found = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels"), per_label=2500))
+    found = toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels"), per_label=1500))
     held_out = F.coalesce(fold(F.col("doc_id")) == 0, F.lit(False)).alias("held_out")
     return found.select("doc_id", held_out, "score", F.col("toxic").cast("int").alias("predicted"))
 

@@ -38,7 +38,10 @@ DECAY = 0.5
 # Share of words that counts as none.
 RARE = 0.001
 # Words of clean documents that are counterexamples: the most frequent, and as many others.
-COUNTER = 15_000
+COUNTER = 10_000
+# Words of a toxic document that may stand for its sentences, and words whose kernel is taken at a time.
+CANDIDATES = 20
+CHUNK = 500
 
 
 def word_letters(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,9 +135,9 @@ def kernel(words: list[str], landmarks: list[str], alphabet: np.ndarray) -> np.n
     known = np.unique(number)
     table = np.zeros((len(known), len(landmarks)))
     np.add.at(table, (np.searchsorted(known, number), row), weight / norm[row])
-    out = np.zeros((len(words), len(landmarks)))
-    for k in range(0, len(words), 5000):
-        row, number, weight, norm = sparse(words[k : k + 5000])
+    out = np.zeros((len(words), len(landmarks)), dtype=np.float32)
+    for k in range(0, len(words), CHUNK):
+        row, number, weight, norm = sparse(words[k : k + CHUNK])
         spot = np.minimum(np.searchsorted(known, number), len(known) - 1)
         hit = known[spot] == number
         np.add.at(out, row[hit] + k, table[spot[hit]] * (weight / norm[row])[hit][:, None])
@@ -164,13 +167,19 @@ def train(sample: pd.DataFrame, prior: float = 0.5, landmarks: int = 144, turns:
     held = np.zeros(len(sample), dtype=bool)
     held[rng.permutation(len(sample))[::4]] = True
     toxic = sample["toxic"].to_numpy() == 1
-    bags = [list(dict.fromkeys(w for w in words_of(t) if len(w) > 2)) for t in sample["text"]]
+    bad, good = Counter(), Counter()
+    inside = []
+    for text, is_toxic, is_held in zip(sample["text"], toxic, held, strict=True):
+        if not is_held:
+            bag = list(dict.fromkeys(w for w in words_of(text) if len(w) > 2))
+            (bad if is_toxic else good).update(bag)
+            if is_toxic and bag:
+                inside.append(bag)
     seen = Counter(c for t in sample["text"] for c in t.lower() if c.isalpha())
     alphabet = np.zeros(0x110000, dtype=np.int32)
     for i, (c, _) in enumerate(seen.most_common(LETTERS - 2), 1):
         alphabet[ord(c)] = i
     flat = Model(alphabet, np.zeros(LETTERS**3, dtype=np.float32), -1.0)
-    bad, good = (Counter(w for b, t, h in zip(bags, toxic, held, strict=True) if t == k and not h for w in b) for k in (True, False))
     n_bad, n_good = int((toxic & ~held).sum()), int((~toxic & ~held).sum())
     if not bad or not good:
         return flat
@@ -194,11 +203,12 @@ def train(sample: pd.DataFrame, prior: float = 0.5, landmarks: int = 144, turns:
     project = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
     # counterexamples: the words of most clean documents, and others drawn from the rest
     counter = others[:COUNTER] + [others[i] for i in picked[picked >= COUNTER][:COUNTER]]
-    pool = list(bad)
+    inside = [sorted(b, key=lambda w: -strength[w])[:CANDIDATES] for b in inside]
+    pool = sorted({w for b in inside for w in b})
     in_pool = {w: i for i, w in enumerate(pool)}
     features = kernel(pool, chosen, alphabet) @ project
     against = kernel(counter, chosen, alphabet) @ project
-    inside = [np.array([in_pool[w] for w in b]) for b, t, h in zip(bags, toxic, held, strict=True) if t and not h and b]
+    inside = [np.array([in_pool[w] for w in b]) for b in inside]
     typical_of = np.array([strength[w] for w in pool])
 
     def strongest(score: np.ndarray) -> np.ndarray:
@@ -257,7 +267,7 @@ def fit_curve(evidence: np.ndarray, toxic: np.ndarray, prior: float, rounds: int
     return tuple(map(float, w))
 
 
-def fit(docs: DataFrame, labels: DataFrame, per_label: int = 2500) -> Model | None:
+def fit(docs: DataFrame, labels: DataFrame, per_label: int = 1500) -> Model | None:
     """Trains on about ``per_label`` labelled documents of each class outside fold 0.
 
     ``per_label`` bounds what the driver holds. An id with several labels is toxic if
