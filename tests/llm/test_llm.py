@@ -1,0 +1,397 @@
+"""Operators of the training-data part against plain versions, with the edge cases of their inputs."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+
+import corpus_pipeline
+from wattfolio.llm import (
+    embedding_dedup,
+    language,
+    licenses,
+    mixing,
+    packing,
+    queries,
+    secret_scan,
+    simhash,
+    suffix_dedup,
+    topk,
+    toxicity,
+)
+
+DOCS = "doc_id long, text string, lang string, source string, n_chars long, fp string, n long, row string"
+RNG = random.Random(4)
+WORDS = ["al", "ben", "cor", "dun", "éli", "fas"]
+LONG = " ".join(RNG.choice(WORDS) for _ in range(3000))
+
+
+def prose(n: int) -> str:
+    return " ".join(RNG.choice(WORDS) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def edge(spark):
+    """Nulls in every column, empty and very long texts, ties, repeated rows, columns with clashing names."""
+    base = prose(80)
+    texts = [None, "", " \t\n", "one", "two words", LONG, LONG, LONG + " tail", base, base, base + " x", base.replace("al", "AL", 1)]
+    rows = [(i, t, "en" if i % 3 else None, f"s{i % 3}" if i % 4 else None, None, "x", 1, "y") for i, t in enumerate(texts)]
+    rows += [rows[8], rows[8], (None, base, None, None, 3, None, None, None), (None, None, None, None, None, None, None, None)]
+    return spark.createDataFrame(rows, DOCS)
+
+
+def collected(df):
+    return [tuple(r) for r in df.collect()]
+
+
+# --- SimHash
+
+
+def plain_fingerprint(text, shingle=3):
+    words = (text or "").encode().lower().split()
+    runs = [b" ".join(words[i : i + shingle]) for i in range(len(words) - shingle + 1)] or ([b" ".join(words)] if words else [])
+    hashes = [xxhash.xxh64_intdigest(r, 42) for r in runs]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(runs))
+
+
+def plain_components(values, linked):
+    root = list(range(len(values)))
+    for i in range(len(values)):
+        for j in range(i):
+            if linked(values[i], values[j]):
+                a, b = root[i], root[j]
+                root = [min(a, b) if r in (a, b) else r for r in root]
+    return root
+
+
+def test_simhash_edge_cases(edge):
+    rows = edge.select("doc_id", "text").collect()
+    prints = [plain_fingerprint(r.text) for r in rows]
+    root = plain_components(prints, lambda a, b: (a ^ b).bit_count() <= 3)
+    least = {k: min((r.doc_id for r, x in zip(rows, root) if x == k and r.doc_id is not None), default=None) for k in root}
+    want = Counter((r.doc_id, f"{p:016x}", least[k]) for r, p, k in zip(rows, prints, root))
+    got = simhash.near_duplicates(edge).select("doc_id", "fingerprint", "component_id")
+    assert Counter(collected(got)) == want
+    kept = simhash.one_of_each(edge)
+    assert kept.columns == edge.columns
+    assert kept.count() == len(set(root))
+    assert simhash.near_duplicates(edge.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("cell_rows", [50_000, 4])
+def test_trie_join_finds_every_link(spark, cell_rows):
+    rng = np.random.default_rng(1)
+    x = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+    near = [int(v) ^ sum(1 << int(b) for b in rng.choice(64, rng.integers(0, 5), replace=False)) for v in np.repeat(x, 6)]
+    values = sorted({v - (1 << 64) if v >> 63 else v for v in near})
+    frame = spark.createDataFrame([(v,) for v in values], "fp long")
+    root = plain_components(values, lambda a, b: ((a ^ b) & (1 << 64) - 1).bit_count() <= 3)
+    forest = simhash.Forest(len(values))
+    at = {v: i for i, v in enumerate(values)}
+    edges = collected(simhash.links(frame, 3, cell_rows))
+    assert all(((a ^ b) & (1 << 64) - 1).bit_count() <= 64 for a, b in edges)
+    if edges:
+        forest.link(np.array([at[a] for a, _ in edges]), np.array([at[b] for _, b in edges]))
+    assert forest.root.tolist() == root
+
+
+# --- repeated byte strings
+
+
+def plain_removal(texts, length):
+    data = [(t or "").encode() for t in texts]
+    seen = Counter(b[i : i + length] for b in data for i in range(len(b) - length + 1))
+    out = []
+    for b in data:
+        gone = [False] * len(b)
+        for i in range(len(b) - length + 1):
+            if seen[b[i : i + length]] > 1:
+                gone[i : i + length] = [True] * length
+        out.append(bytes(x for x, g in zip(b, gone) if not g))
+    return out
+
+
+@pytest.mark.parametrize("contexts", [20_000, 2])
+def test_suffix_dedup_against_all_strings(spark, contexts):
+    shared = "".join(RNG.choice("abcdé") for _ in range(90))
+    texts = [None, "", "short", "a" * 70, "a" * 21, shared, "x" + shared, "yy" + shared[:40] + "q" + shared[30:], LONG[:400]]
+    texts += [shared[10:60] + c * 3 + shared[: 20 + i] for i, c in enumerate("mnopr")] + ["".join(RNG.choice("ab") for _ in range(120)) for _ in range(8)]
+    ids = [*range(len(texts) - 2), None, 0]
+    docs = spark.createDataFrame(list(zip(ids, texts, range(len(texts)))), "doc_id long, text string, spans int")
+    got = suffix_dedup.without_repeats(docs, length=20, gram=7, contexts=contexts)
+    want = Counter((i, len((t or "").encode()), k) for i, t, k in zip(ids, texts, plain_removal(texts, 20)))
+    assert Counter((r.doc_id, r.n_bytes, bytes(r.kept)) for r in got.collect()) == want
+    assert suffix_dedup.without_repeats(docs.limit(0)).count() == 0
+
+
+def test_repeated_rows_are_repeated_texts(edge):
+    got = suffix_dedup.without_repeats(edge, length=100, gram=30).select("doc_id", "n_bytes", "kept").collect()
+    rows = edge.select("doc_id", "text").collect()
+    want = Counter((r.doc_id, k) for r, k in zip(rows, plain_removal([r.text for r in rows], 100)))
+    assert Counter((r.doc_id, bytes(r.kept)) for r in got) == want
+
+
+# --- embeddings
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    rng = np.random.default_rng(2)
+    base = rng.normal(size=(12, 8)).astype(np.float32)
+    rows = [(i, (base[i % 12] + rng.normal(size=8) * 0.15).astype(np.float32).tolist(), i % 2, "z") for i in range(90)]
+    rows += [(90, None, 0, "z"), (91, [0.0] * 8, 0, "z"), (92, [1.0, None] * 4, 0, "z"), (93, [float("nan")] * 8, 0, "z")]
+    rows += [(94, [float("inf")] + [1.0] * 7, 1, "z"), (95, rows[0][1], None, "z"), (96, [], 1, None), (97, [1.0, 2.0], 1, "z")]
+    rows += [(98, rows[0][1], 0, "z"), (99, rows[0][1], 0, "z"), (99, rows[0][1], 0, "z"), (100, rows[1][1], 1, "z")]
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, score string")
+
+
+@pytest.mark.parametrize("block_rows", [2048, 5])
+def test_embedding_links_are_exact(vectors, block_rows):
+    rows = vectors.collect()
+    good = [r.embedding and all(x is not None and np.isfinite(x) for x in r.embedding) and any(r.embedding) and r.label is not None for r in rows]
+
+    def linked(i, j):
+        a, b = rows[i], rows[j]
+        if not (good[i] and good[j] and a.label == b.label and len(a.embedding) == len(b.embedding)):
+            return False
+        x, y = np.array(a.embedding, dtype=float), np.array(b.embedding, dtype=float)
+        return x @ y / np.sqrt((x @ x) * (y @ y)) >= 0.93 - 1e-12
+
+    n = len(rows)
+    root = plain_components(list(range(n)), linked)
+    least = {k: min(r.vec_id for r, x in zip(rows, root) if x == k) for k in root}
+    want = Counter((r.vec_id, sum(linked(i, j) for j in range(n) if j != i), least[root[i]], r.vec_id == least[root[i]]) for i, r in enumerate(rows))
+    got = embedding_dedup.near_duplicates(vectors, 0.93, miss=1e-9, block_rows=block_rows)
+    assert Counter(collected(got)) == want
+    assert embedding_dedup.near_duplicates(vectors.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("block_rows", [8192, 16])
+def test_top_k_against_all_products(vectors, block_rows):
+    rows = [r for r in vectors.collect() if r.embedding is not None and all(x is not None and np.isfinite(x) for x in r.embedding)]
+    ints = [np.floor(64 * np.array(r.embedding, dtype=float)).astype(np.int64) for r in rows]
+    want = Counter()
+    for i, r in enumerate(rows):
+        if r.vec_id % 3 == 0:
+            scores = sorted((-int(ints[i] @ ints[j]), s.vec_id) for j, s in enumerate(rows) if j != i and len(ints[j]) == len(ints[i]))
+            want.update((r.vec_id, k, v, -s) for k, (s, v) in enumerate(scores[:5], 1))
+    got = topk.top_k(vectors, every=3, k=5, block_rows=block_rows, query_rows=10)
+    assert Counter(collected(got.select("query_id", "rank", "vec_id", "score"))) == want
+    assert topk.top_k(vectors.limit(0)).count() == 0
+
+
+# --- mixing and packing
+
+
+@pytest.mark.parametrize("range_rows", [10_000, 3])
+def test_mix_reaches_targets(edge, range_rows):
+    rows = mixing.mix(edge, range_rows=range_rows).collect()
+    assert len(rows) == edge.count()
+    by_source = {}
+    for r in rows:
+        assert 0 <= r.taken <= 3 * r.size
+        by_source.setdefault((r.source_size, r.target), []).append(r.taken)
+    assert sum(r.size for r in rows) == pytest.approx(sum(t for _, t in by_source))
+    for (size, target), taken in by_source.items():
+        assert target <= 3 * size + 1e-9
+        assert sum(taken) == pytest.approx(target, abs=1)
+    assert Counter(rows) == Counter(mixing.mix(edge, range_rows=range_rows).collect())
+    repeated = mixing.sampled(edge)
+    assert repeated.columns == edge.columns
+    assert repeated.count() == sum(r.copies for r in rows)
+    assert mixing.mix(edge.limit(0)).count() == 0
+
+
+def test_targets_share_the_excess(spark):
+    sizes = {"a": 10, "b": 1000, "c": 90, "d": 5, None: 400}
+    frame = spark.createDataFrame([(k, v, 1) for k, v in sizes.items()], "source string, source_size long, n long")
+    got = {r.source: r.target for r in mixing.targets(frame, (5, 2, 1), 1.0, 3).collect()}
+    order = ["a", "b", "c", "d", None]
+    weight = dict(zip(order, [5, 2, 1, 5, 2]))
+    full, total = set(), sum(sizes.values())
+    while True:
+        left = total - sum(3 * sizes[s] for s in full)
+        unit = left / sum(weight[s] for s in order if s not in full)
+        above = {s for s in order if s not in full and unit * weight[s] > 3 * sizes[s]}
+        if not above:
+            break
+        full |= above
+    assert got == pytest.approx({s: 3 * sizes[s] if s in full else unit * weight[s] for s in order})
+
+
+def test_packing_keeps_all_words_and_conflicts_apart(edge):
+    rows = packing.pack(edge, capacity=50, shard_rows=5).collect()
+    bins = {}
+    for r in rows:
+        if r.bin_id is None:
+            assert r.n_words == 0
+        else:
+            bins.setdefault(r.bin_id, []).append(r)
+    for held in bins.values():
+        assert len({r.source for r in held}) == len(held)
+        ends = sorted((r.at_word, r.at_word + r.n_words) for r in held)
+        assert ends[-1][1] <= 50 and all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    words = sum(len((r.text or "").split()) for r in edge.collect())
+    assert sum(r.n_words for r in rows) == words
+    assert {r.doc_id for r in rows} == {r.doc_id for r in edge.collect()}
+    assert packing.pack(edge.limit(0)).count() == 0
+
+
+def test_best_fit_takes_the_tightest_compatible_bin():
+    bins, at = packing.pack_shard(np.array([7, 6, 4, 3, 3]), np.array([0, 1, 2, 0, 3]), np.array([0, 1, 2, 3, 1]), 10)
+    # 4 fits the room of 4; 3 of source 0 cannot join 7; 3 of cluster 1 joins it
+    assert bins.tolist() == [0, 1, 1, 2, 0]
+    assert at.tolist() == [0, 0, 6, 0, 7]
+
+
+# --- scans
+
+
+SECRETS = [
+    'password = "abcdefgh1" é token:short TOKEN: Zz9/+=_.- api_key=1234567',
+    "AKIA0123456789AB AKIASHORT " + "0f" * 20 + " " + "e" * 31,
+    "token: secret:abcdefgh12", None, "", "ghp_" + "a" * 36 + " -----BEGIN RSA PRIVATE KEY-----",
+]
+
+
+def plain_spans(text):
+    import re
+
+    out = []
+    for rank, rule in enumerate(secret_scan.RULES):
+        for m in re.finditer(rule.pattern, text or ""):
+            if len(m.group(rule.group)) >= rule.least:
+                out.append((m.start(), rank, rule.kind, m.end()))
+    return ",".join(f"{k}:{a}:{b}" for a, _, k, b in sorted(out))
+
+
+def test_secret_places_and_ledger(spark, edge):
+    docs = spark.createDataFrame([(i % 4 or None, t, "x") for i, t in enumerate(SECRETS * 2)], "doc_id long, text string, blob string")
+    first = secret_scan.scan(docs)
+    got = secret_scan.by_document(docs, first)
+    assert Counter((r.doc_id, r.spans) for r in got.collect()) == Counter((r.doc_id, plain_spans(r.text)) for r in docs.collect())
+    again = secret_scan.scan(docs, first)
+    assert again.ledger.count() == first.ledger.count() == 5 * len(secret_scan.RULES)
+    newer = tuple(r if r.kind != "hex" else secret_scan.Rule("hex", r.pattern, 0, 31, version=2, base=True) for r in secret_scan.RULES)
+    newer_scan = secret_scan.scan(docs, first, newer)
+    assert newer_scan.ledger.count() == first.ledger.count() + 5
+    counts = secret_scan.by_document(docs, newer_scan, newer).select("n_hex")
+    assert sorted(r.n_hex for r in counts.collect())[-2:] == [2, 2]
+    masked = secret_scan.redacted(docs, first)
+    assert masked.columns == docs.columns
+    assert any(r.text == "AKIA0123456789AB AKIASHORT".replace("AKIA0123456789AB", "[secret]") + " [secret] " + "e" * 31 for r in masked.collect())
+    empty = secret_scan.by_document(edge, secret_scan.scan(edge)).select("spans", "base_sha256").distinct().collect()
+    assert [tuple(r) for r in empty] == [("", hashlib.sha256(b"").hexdigest())]
+    assert secret_scan.by_document(edge.limit(0), secret_scan.scan(edge.limit(0))).count() == 0
+
+
+def test_license_votes(spark, edge):
+    notice = licenses.TEMPLATES[3].text
+    changed = notice.replace("copy of this", "copy of all this", 1)
+    texts = ["Released under the MIT License. Under the MIT license", "CC BY-NC 4.0", f"x {changed} y", "", None, "under the", "under mit license"]
+    docs = spark.createDataFrame([(i, t, 1) for i, t in enumerate(texts)] + [(0, texts[0], 1)], "doc_id long, text string, n int")
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert licenses.scan(docs).count() == len(texts) + 1
+    assert got[0][1:7] == (9, 2, 1, 5, "mit", "mit") and got[0].score == 1.0
+    assert got[1][1:7] == (5, 1, 0, 0, "cc-by-nc", "cc-by-nc")
+    assert got[2].n_base == 0 and got[2].base_labels == "" and got[2].labels == "mit" and got[2].score > 0.8
+    for i in (3, 4):
+        assert got[i][1:] == (0, 0, None, None, "", "", 0.0)
+    assert got[6].labels == ""
+    assert licenses.scan(edge).count() == edge.count()
+    assert licenses.scan(edge.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("name", sorted(queries.ORACLE))
+def test_queries_equal_their_sql(spark, oracle_tables, name):
+    folder, connection = oracle_tables
+    got = queries.QUERIES[name](spark, folder)
+    want = connection.execute(queries.ORACLE[name])
+    columns = [c[0] for c in want.description]
+    assert sorted(columns) == sorted(got.columns)
+    rounded = lambda rows: Counter(tuple(round(x, 6) if isinstance(x, float) else x for x in r) for r in rows)
+    assert rounded(collected(got.select(*columns))) == rounded(want.fetchall())
+
+
+@pytest.fixture(scope="module")
+def oracle_tables():
+    import duckdb
+
+    folder, connection = "/root/testdata/sf0.001", duckdb.connect()
+    for name in ("documents", "embeddings", "labels"):
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{folder}/{name}.parquet'")
+    return folder, connection
+
+
+# --- models
+
+
+def test_language_of_held_out_documents(spark, edge):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    found = queries.op7_language_id(spark, folder).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
+    assert found.where("lang = lang_pred").count() >= 0.97 * found.count()
+    model = language.fit(docs, 100)
+    rows = {r.doc_id: r for r in language.identify(edge, model).collect() if r.doc_id is not None}
+    assert [rows[i].lang_best for i in (0, 1, 2)] == ["und"] * 3 and rows[0].score == 0
+    assert rows[5].lang_best in model.languages
+    assert language.identify(edge, model).count() == edge.count()
+    assert language.fit(docs.limit(0)) is None
+    assert {r.lang_pred for r in language.identify(edge, None).collect()} == {"und"}
+
+
+def test_toxicity_of_held_out_and_disguised_words(spark, edge):
+    rng = random.Random(1)
+    syllables = ["ban", "den", "fil", "gor", "hul", "mas", "nep", "rit"]
+    word = lambda: "".join(rng.choice(syllables) for _ in range(rng.randint(1, 3)))
+    rows, labels = [], []
+    for i in range(900):
+        bad = i % 5 == 0
+        words = [word() for _ in range(40)]
+        for _ in range(2 * bad):
+            words.insert(rng.randrange(40), rng.choice(["skwoxle", "vyjakk"]))
+        rows.append((i, " ".join(words), "en"))
+        labels.append((i, 1, int(bad)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    marks = spark.createDataFrame([*labels, (None, 1, 1), (0, None, None)], "doc_id long, quality int, toxic int")
+    model = toxicity.fit(docs, marks)
+    found = {r.doc_id: r for r in toxicity.score(docs, model).collect()}
+    wrong = sum(found[i].toxic != (i % 5 == 0) for i in range(900))
+    assert wrong <= 9
+    disguised = ["ban s-k-w-o-x-l-e den", "ban s k w o x l e den", "fil skwoxxle gor", "ban skwo*xle"]
+    assert (model.probabilities(disguised) >= 0.5).all()
+    assert (model.probabilities([None, "", "123", "ban den fil"]) < 0.5).all()
+    kept = toxicity.without_toxic(docs, model)
+    assert kept.columns == docs.columns and kept.count() == sum(not r.toxic for r in found.values())
+    assert toxicity.score(edge, model).count() == edge.count()
+    assert toxicity.fit(docs, marks.limit(0)) is None
+    assert toxicity.without_toxic(edge, None).count() == edge.count()
+
+
+# --- pipeline
+
+
+def test_pipeline_stages(spark):
+    folder = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "simhash_near_dedup", "secret_scan", "source_mixing", "best_fit_packing"]
+    toxic = corpus_pipeline.toxic(spark, docs, folder)
+    assert toxic.columns == docs.columns and toxic.count() <= docs.count()
+    unique = corpus_pipeline.near_duplicates(spark, docs, folder)
+    components = {r.component_id for r in simhash.near_duplicates(docs).collect()}
+    assert {r.doc_id for r in unique.collect()} == components
+    masked = corpus_pipeline.secrets(spark, docs, folder)
+    assert masked.columns == docs.columns
+    for a, b in zip(docs.orderBy("doc_id").collect(), masked.orderBy("doc_id").collect(), strict=True):
+        assert b.n_chars == (len(b.text) if a.n_chars is not None else None)
+        assert (a.text == b.text) == (plain_spans(a.text) == "")
+    mixed = corpus_pipeline.mixture(spark, docs, folder)
+    assert mixed.columns == docs.columns and max(Counter(r.doc_id for r in mixed.collect()).values()) <= 3
+    packed = corpus_pipeline.run(spark, folder)
+    assert packed.groupBy("bin_id").sum("n_words").where("bin_id is not null and `sum(n_words)` > 1024").count() == 0
+    assert corpus_pipeline.mixture(spark, docs.limit(0), folder).count() == 0
