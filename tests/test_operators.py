@@ -268,9 +268,8 @@ def test_fail_mode_stops_the_job_even_if_the_column_is_not_used(checked_flows):
     assert quality.enforce_expected(good, checks).select("point").count() == 1
 
 
-@pytest.mark.parametrize("limit", [0, 100])
-def test_quarantine_drops_whole_points(checked_flows, limit):
-    kept = quality.without_bad_keys(checked_flows, ["direction", "point"], quality.flow_checks(), limit)
+def test_quarantine_drops_whole_points(checked_flows):
+    kept = quality.without_bad_keys(checked_flows, ["direction", "point"], quality.flow_checks())
     assert points(kept) == [("export", "Oltingue"), ("import", "Basel"), ("import", "Oltingue")]
 
 

@@ -6,9 +6,8 @@ from pathlib import Path
 import duckdb
 import pytest
 
-import __spark_entry__ as contract
-
-QUERIES, ORACLE = contract.queries(), contract.oracle_sql()
+from wattfolio.checks.oracle import ORACLE
+from wattfolio.checks.queries import QUERIES
 
 
 @pytest.fixture(scope="session")

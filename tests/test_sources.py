@@ -259,3 +259,40 @@ def test_first_fitting_link(spark):
     assert {r.id: r.link for r in got} == {
         1: "https://e.org/f.zip", 2: "/q?a=1&b=2", 3: "/bare", 5: "/lines"
     }
+
+
+def test_grid_sheets_stop_at_a_bad_date_or_number(spark, tmp_path):
+    names = ["a", "b"]
+    for i, line in enumerate(["2022-10-01 00:00,1,2", "01.10.2022 00:00,1'234,2", ",1,2"]):
+        put(tmp_path / str(i) / "sheet.csv", "x,y,z", "Zeitstempel,kWh,kWh", line)
+        with pytest.raises(Exception):  # noqa: B017
+            grid_sheets.read_sheets(spark, str(tmp_path / str(i)), names).collect()
+
+
+def test_all_periods_and_their_own_steps(spark, tmp_path):
+    period = "<Period><timeInterval><start>{}</start></timeInterval><resolution>{}</resolution>{}</Period>"
+    points = "".join(f"<Point><position>{i}</position><quantity>{i}</quantity></Point>" for i in (1, 2))
+    both = period.format("2021-01-04T00:00Z", "PT15M", points) + period.format("2021-01-05T00:00Z", "P1D", points)
+    put(tmp_path / "a.xml", f"<D><TimeSeries>{both}</TimeSeries></D>")
+    rows = generation_xml.readings(generation_xml.read_series(spark, str(tmp_path))).orderBy("date").collect()
+    days = [(4, 0, 0), (4, 0, 15), (5, 0, 0), (6, 0, 0)]
+    assert [r.date for r in rows] == [datetime(2021, 1, d, h, m) for d, h, m in days]
+    put(tmp_path / "b" / "b.xml", f"<D><TimeSeries>{period.format('2021-01-04T00:00Z', 'PT7M', points)}</TimeSeries></D>")
+    with pytest.raises(Exception, match="unknown resolution: PT7M"):
+        generation_xml.readings(generation_xml.read_series(spark, str(tmp_path / "b"))).collect()
+
+
+def test_page_number_comes_from_below_the_country(spark, tmp_path):
+    root = tmp_path / "homepage9"
+    put(root / "country=de" / "page-2.json", json.dumps({"last_page": 2, "data": []}))
+    assert [r.page for r in storage_pages.read_pages(spark, str(root)).collect()] == [2]
+
+
+def test_texts_survive_a_written_file(spark, tmp_path):
+    from wattfolio.sinks import files
+
+    texts = ["    blanks    ", "a break\n", 'say "hi"', "a, b", "", None]
+    table = spark.createDataFrame(list(enumerate(texts)), "n int, t string")
+    files.write_current(table, str(tmp_path / "out"), ["n"])
+    back = files.read_current(spark, str(tmp_path / "out"), table).orderBy("n").collect()
+    assert [r.t for r in back] == texts

@@ -45,16 +45,13 @@ def levels(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def flows(spark: SparkSession, folder: str) -> DataFrame:
+    """All rows; the third flag is a direction that the operators may leave out."""
     flag = F.col("l_returnflag")
-    return (
-        table(spark, folder, "lineitem")
-        .filter(flag.isin("N", "R"))
-        .select(
-            F.when(flag == "N", "import").otherwise("export").alias("direction"),
-            F.col("l_linestatus").alias("operator"),
-            F.col("l_shipdate").alias("time"),
-            F.col("l_quantity").alias("value"),
-        )
+    return table(spark, folder, "lineitem").select(
+        F.when(flag == "N", "import").when(flag == "R", "export").otherwise("transit").alias("direction"),
+        F.col("l_linestatus").alias("operator"),
+        F.col("l_shipdate").alias("time"),
+        F.col("l_quantity").alias("value"),
     )
 
 

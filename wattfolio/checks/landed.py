@@ -27,12 +27,12 @@ def _shown(time: str, day: str, after: str = "") -> Column:
 
 def gas_flow_csv(spark: SparkSession, folder: str) -> str:
     path = scratch_folder(spark, "flows")
-    line = inputs.table(spark, folder, "lineitem").filter(F.col("l_returnflag").isin("N", "R"))
+    line = inputs.table(spark, folder, "lineitem")
     imported = F.col("l_returnflag") == "N"
     day = F.col("day")
     (
         line.groupBy(
-            F.when(imported, "import").otherwise("export").alias("direction"),
+            F.when(imported, "import").when(F.col("l_returnflag") == "R", "export").otherwise("transit").alias("direction"),
             F.when(F.col("l_linestatus") == "O", "Oltingue")
             .otherwise(fixed.SINGLE_OPERATOR_POINT)
             .alias("point"),
@@ -88,27 +88,31 @@ def storage_pages(spark: SparkSession, folder: str) -> str:
 
 
 def generation_xml(spark: SparkSession, folder: str) -> str:
-    """One series per day with a point per position."""
+    """One series per day with two periods: the odd positions by hours, the even ones by half hours."""
     path = scratch_folder(spark, "generation")
+    number = F.col("l_linenumber").cast("int")
+    # counted so that both periods give each position the time it had by hours
+    position = F.when(number % 2 == 0, 2 * number - 1).otherwise(number)
     (
         inputs.table(spark, folder, "lineitem")
         .groupBy("l_shipdate", "l_linenumber")
         .agg(F.sum("l_quantity").cast("int").cast("string").alias("quantity"))
-        .groupBy("l_shipdate")
-        .agg(
-            F.collect_list(
-                F.struct(F.col("l_linenumber").cast("int").alias("position"), "quantity")
-            ).alias("Point")
-        )
+        .withColumn("half", F.col("l_linenumber") % 2 == 0)
+        .groupBy("l_shipdate", "half")
+        .agg(F.collect_list(F.struct(position.alias("position"), "quantity")).alias("Point"))
         .select(
+            "l_shipdate",
             F.struct(
                 F.struct(
                     _shown("l_shipdate", "yyyy-MM-dd'T'", "Z").alias("start")
                 ).alias("timeInterval"),
-                F.lit("PT60M").alias("resolution"),
+                F.when(F.col("half"), "PT30M").otherwise("PT60M").alias("resolution"),
                 "Point",
-            ).alias("Period")
+            ).alias("period"),
         )
+        .groupBy("l_shipdate")
+        .agg(F.collect_list("period").alias("Period"))
+        .select("Period")
         .write.format("xml")
         .option("rootTag", "GL_MarketDocument")
         .option("rowTag", "TimeSeries")
@@ -148,11 +152,11 @@ def grid_sheets(spark: SparkSession, folder: str) -> str:
         .groupBy("date")
         .agg(F.sum("energy").alias("energy"), F.count(F.lit(1)).alias("n"))
     )
-    filled = {measures[0]: F.col("energy"), measures[1]: F.col("n")}
+    filled = {m: F.col("n") * i for i, m in enumerate(measures)} | {measures[0]: F.col("energy")}
     rows = stamps.select(
         F.year("date").alias("year"),
         _shown("date", "dd.MM.yyyy ").alias("date"),
-        *[filled.get(m, F.lit(None)).cast("string").alias(m) for m in measures],
+        *[filled[m].cast("string").alias(m) for m in measures],
     )
     units = rows.select("year").distinct().select(
         "year", F.lit("Zeitstempel").alias("date"), *[F.lit("kWh").alias(m) for m in measures]
@@ -164,7 +168,7 @@ def grid_sheets(spark: SparkSession, folder: str) -> str:
 
 
 ROUTES = {"O": "Nord Stream", "F": "Yamal (BY,PL)"}
-ROUTE_YEARS = [1999, 2000]
+ROUTE_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 
 
 def weekly_routes(spark: SparkSession, folder: str) -> str:

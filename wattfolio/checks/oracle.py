@@ -6,6 +6,8 @@ of the fused aggregates and windows of the library.
 
 from __future__ import annotations
 
+from wattfolio import fixed
+
 ORACLE: dict[str, str] = {}
 
 # --- shared tables
@@ -85,8 +87,8 @@ SELECT strftime(d, '%Y-%m-%d') AS date, round(i, 6) AS import,
 FROM bal WHERE year(d) = 1997"""
 
 ORACLE["union_all"] = """SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS date,
-  round(SUM(l_quantity), 6) AS value, CASE WHEN l_returnflag = 'R' THEN 'export' END AS direction
-FROM lineitem WHERE l_returnflag IN ('N', 'R') GROUP BY 1, l_returnflag"""
+  round(SUM(l_quantity), 6) AS value, CASE l_returnflag WHEN 'R' THEN 'export' WHEN 'A' THEN 'transit' END AS direction
+FROM lineitem GROUP BY 1, l_returnflag"""
 
 # --- windows
 
@@ -132,12 +134,11 @@ ORACLE["seasonal_envelope"] = f"""{ENVELOPE}
 SELECT country, k AS season_key, round(a, 6) AS "2001", round(b, 6) AS "2000", {STATS} FROM j"""
 ORACLE["season_outer_join"] = ORACLE["seasonal_envelope"]
 
+PIVOTED = ",\n       ".join(f'round(MAX(v) FILTER (WHERE y = {y}), 6) AS "{y}"' for y in range(2001, 1994, -1))
 ORACLE["pivot_years"] = f"""WITH {SEASON_DAYS}
 SELECT country, k AS season_key,
-       round(MAX(v) FILTER (WHERE y = 2001), 6) AS "2001",
-       round(MAX(v) FILTER (WHERE y = 2000), 6) AS "2000",
-       round(MAX(v) FILTER (WHERE y = 1999), 6) AS "1999"
-FROM days WHERE y BETWEEN 1999 AND 2001 GROUP BY 1, 2"""
+       {PIVOTED}
+FROM days WHERE y BETWEEN 1995 AND 2001 GROUP BY 1, 2"""
 
 ORACLE["year_over_year"] = f"""WITH {SEASON_DAYS}
 SELECT r.country, r.k AS season_key, round(b.v, 6) AS "2001", round(a.v, 6) AS "2000",
@@ -223,9 +224,9 @@ SELECT unit, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS date, COUNT(DISTINCT q) AS
 FROM pos GROUP BY unit, ts HAVING COUNT(DISTINCT q) > 1"""
 
 ORACLE["overlapping_rows"] = """SELECT
-  CASE WHEN l_returnflag = 'N' THEN 'import' ELSE 'export' END AS direction,
+  CASE l_returnflag WHEN 'N' THEN 'import' WHEN 'R' THEN 'export' ELSE 'transit' END AS direction,
   l_linestatus AS operator, strftime(l_shipdate, '%Y-%m-%d %H:%M:%S.%f') AS time, COUNT(*) AS rows
-FROM lineitem WHERE l_returnflag IN ('N', 'R') GROUP BY 1, 2, 3 HAVING COUNT(*) > 1"""
+FROM lineitem GROUP BY 1, 2, 3 HAVING COUNT(*) > 1"""
 
 # --- scalar functions
 
@@ -415,14 +416,17 @@ ORACLE["source_generation_xml"] = """SELECT
   CAST(CAST(SUM(l_quantity) AS INTEGER) AS VARCHAR) AS quantity
 FROM lineitem GROUP BY l_shipdate, l_linenumber"""
 
-ORACLE["source_grid_sheets"] = """SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS day,
-  round(SUM(l_extendedprice), 6) AS endverbrauchte_energie FROM lineitem GROUP BY 1"""
+COUNTED = ", ".join(
+    f'round(COUNT(*) * {i}.0, 6)::DOUBLE AS "{m}"' for i, m in enumerate(fixed.grid_measures()) if i > 0
+)
+ORACLE["source_grid_sheets"] = f"""SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS day,
+  round(SUM(l_extendedprice), 6) AS endverbrauchte_energie, {COUNTED} FROM lineitem GROUP BY 1"""
 
 ORACLE["source_weekly_routes"] = """WITH w AS (
   SELECT l_linestatus AS s, CAST(date_trunc('week', l_shipdate) AS DATE) + 6 AS e, l_quantity AS q
   FROM lineitem), k AS (SELECT DISTINCT weekofyear(e) AS week FROM w), r AS (
   SELECT * FROM (VALUES ('O', 'Nord Stream'), ('F', 'Yamal (BY,PL)')) a(s, series),
-                (VALUES ('1999'), ('2000')) b(period)), v AS (
+                (VALUES ('1995'), ('1996'), ('1997'), ('1998'), ('1999'), ('2000'), ('2001')) b(period)), v AS (
   SELECT s, weekofyear(e) AS week, strftime(e, '%G') AS period, SUM(q) AS value FROM w GROUP BY 1, 2, 3)
 SELECT CAST(k.week AS INTEGER) AS week, r.series AS series, r.period AS period, round(v.value, 6) AS value
 FROM k CROSS JOIN r LEFT JOIN v ON v.week = k.week AND v.s = r.s AND v.period = r.period"""

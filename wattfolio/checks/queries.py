@@ -107,11 +107,14 @@ def share_of_total(spark, folder):
 
 @query
 def union_all(spark, folder):
-    """Daily imports below daily exports that carry one more column."""
+    """Daily imports below daily exports and transits that carry one more column."""
     flows = inputs.flows(spark, folder)
-    imports = aggregate.daily_sum(flows.filter("direction = 'import'"), "value", "time")
-    exports = aggregate.daily_sum(flows.filter("direction = 'export'"), "value", "time")
-    return aggregate.union_all([imports, exports.withColumn("direction", F.lit("export"))])
+    imports, exports, transits = (
+        aggregate.daily_sum(flows.filter(F.col("direction") == d), "value", "time")
+        for d in ("import", "export", "transit")
+    )
+    named = [exports.withColumn("direction", F.lit("export")), transits.withColumn("direction", F.lit("transit"))]
+    return aggregate.union_all([imports, *named])
 
 
 # --- windows
@@ -181,7 +184,7 @@ def season_outer_join(spark, folder):
 def pivot_years(spark, folder):
     days = _season_days(spark, folder)
     return season.years_as_columns(
-        days, "season_key", "full", F.year("date"), [1999, 2000, 2001], COUNTRY
+        days, "season_key", "full", F.year("date"), list(range(1995, 2002)), COUNTRY
     )
 
 
@@ -482,7 +485,8 @@ def source_final_use(spark, folder):
 @query
 def source_grid_sheets(spark, folder):
     rows = grid_sheets.read_sheets(spark, landed.grid_sheets(spark, folder))
-    return aggregate.daily_sum(rows, "endverbrauchte_energie", "date", date="day")
+    day = F.to_date("date").alias("day")
+    return rows.groupBy(day).agg(*[numbers.total(F.col(m)).alias(m) for m in fixed.grid_measures()])
 
 
 @query

@@ -76,7 +76,9 @@ def part(text: Column, index: int, separator: str = "-") -> Column:
     return F.split(text, separator)[index]
 
 
-def at_position(start: Column, position: Column, minutes: int = fixed.RESOLUTION_MINUTES) -> Column:
+def at_position(
+    start: Column, position: Column, minutes: int | Column = fixed.RESOLUTION_MINUTES
+) -> Column:
     """Time of the n-th reading (counted from 1) of a period."""
     return F.timestamp_add("MINUTE", (position - 1) * F.lit(minutes), start)
 

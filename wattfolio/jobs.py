@@ -104,7 +104,7 @@ def run_generation(
     span: SeasonSpan,
     as_of: str,
     zone: str = "UTC",
-    minutes: int = fixed.RESOLUTION_MINUTES,
+    minutes: int | None = None,
 ) -> None:
     """Files are always written; only the note depends on freshness."""
     readings = generation_xml.readings(generation_xml.read_series(spark, path), zone, minutes)

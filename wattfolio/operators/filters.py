@@ -35,3 +35,11 @@ def every(*conditions: Column) -> Column:
 def numbered_weeks(season: DataFrame, week: str, last: str = fixed.LAST_WEEK) -> DataFrame:
     """Weeks up to ``last``: the first 52 rows, by their number and not by place."""
     return season.filter(F.col(week) <= last)
+
+
+def some(*conditions: Column) -> Column:
+    """True if at least one condition holds; none given: false."""
+    out = F.lit(False)
+    for condition in conditions:
+        out = out | condition
+    return out

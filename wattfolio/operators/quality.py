@@ -11,10 +11,8 @@ from wattfolio import fixed
 from wattfolio.functions import dates
 from wattfolio.operators import filters
 from wattfolio.operators.windows import by_series, difference, whole_series
-from wattfolio.session import scratch_folder
 
 MODES = ("fail", "quarantine", "stop")
-BROADCAST_ROWS = 100_000
 
 
 def flow_checks(direction: str = "direction") -> dict[str, Column]:
@@ -55,26 +53,14 @@ def fail_on_unexpected(rows: DataFrame, checks: dict[str, Column]) -> DataFrame:
     return rows.filter(F.when(unexpected(checks), error).otherwise(True))
 
 
-def without_bad_keys(
-    rows: DataFrame,
-    keys: Sequence[str],
-    checks: dict[str, Column],
-    broadcast_rows: int = BROADCAST_ROWS,
-) -> DataFrame:
+def without_bad_keys(rows: DataFrame, keys: Sequence[str], checks: dict[str, Column]) -> DataFrame:
     """Drop every key that holds an unexpected value.
 
-    This is the one operator that runs a job when called: the bad keys are
-    written to the shared folder and counted. Up to ``broadcast_rows`` of them
-    are broadcast, so the raw rows stay where they are; a longer list is joined
-    by sort and merge, where Spark splits hot keys.
+    One plan, no job when called: the distinct bad keys have a map-side part, and Spark
+    chooses the join by their size, which it knows after their shuffle.
     """
-    spark = rows.sparkSession
-    path = scratch_folder(spark, "bad-keys")
     bad_keys = [F.col(k).alias(f"_bad_{k}") for k in keys]
-    rows.filter(unexpected(checks)).select(*bad_keys).distinct().write.parquet(path)
-    bad = spark.read.parquet(path)
-    if bad.count() <= broadcast_rows:
-        bad = F.broadcast(bad)
+    bad = rows.filter(unexpected(checks)).select(*bad_keys).distinct()
     same = [F.col(k).eqNullSafe(F.col(f"_bad_{k}")) for k in keys]
     return rows.join(bad, filters.every(*same), "left_anti")
 

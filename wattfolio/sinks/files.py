@@ -18,6 +18,16 @@ from wattfolio.functions import numbers
 from wattfolio.session import scratch_folder
 
 
+# Texts come back as they were: blanks and line breaks stay, a quote is doubled, NULL is
+# an empty field and an empty text a quoted one.
+WRITTEN = {
+    "header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
+    "escape": '"', "nullValue": "", "emptyValue": '""',
+}
+# The reader tells the two apart by a mark that stands for an empty field.
+READ = WRITTEN | {"emptyValue": "", "nullValue": "\u0001", "multiLine": "true"}
+
+
 def _arranged(table: DataFrame, order_by: Sequence[str], series: Sequence[str]) -> DataFrame:
     placed = table.repartition(*series) if series else table.repartition(1)
     keys = [*series, *order_by]
@@ -65,7 +75,7 @@ def write_current(
     """
     if not ready:
         table = computed(table)
-    writer = _arranged(table, order_by, series).write.mode("overwrite").option("header", True)
+    writer = _arranged(table, order_by, series).write.mode("overwrite").options(**WRITTEN)
     if series:
         writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*series)
     writer.csv(path)
@@ -73,7 +83,7 @@ def write_current(
 
 def read_current(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
     """A written result with the columns and types of the table it came from."""
-    return _typed(spark.read.option("header", True).csv(path), table)
+    return _typed(spark.read.options(**READ).csv(path), table)
 
 
 def write_snapshot(
@@ -87,7 +97,7 @@ def write_snapshot(
     dated = _arranged(table, order_by, series).withColumn("snapshot_date", F.lit(snapshot_date))
     (
         dated.write.mode("overwrite")
-        .option("header", True)
+        .options(**WRITTEN)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("snapshot_date", *series)
         .csv(path)
@@ -102,7 +112,7 @@ def read_snapshot(spark: SparkSession, path: str, snapshot_date: str, table: Dat
     """
     try:
         stored = (
-            spark.read.option("header", True)
+            spark.read.options(**READ)
             .option("basePath", path)
             .csv(f"{path}/snapshot_date={snapshot_date}")
         )

@@ -2,44 +2,23 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from wattfolio import fixed
 from wattfolio.functions import dates
 
-# A declared array takes a single Point element as an array of one.
-SCHEMA = T.StructType(
-    [
-        T.StructField(
-            "Period",
-            T.StructType(
-                [
-                    T.StructField(
-                        "timeInterval", T.StructType([T.StructField("start", T.StringType())])
-                    ),
-                    T.StructField("resolution", T.StringType()),
-                    T.StructField(
-                        "Point",
-                        T.ArrayType(
-                            T.StructType(
-                                [
-                                    T.StructField("position", T.IntegerType()),
-                                    T.StructField("quantity", T.StringType()),
-                                ]
-                            )
-                        ),
-                    ),
-                ]
-            ),
-        )
-    ]
+# A declared array takes a single Period or Point element as an array of one.
+SCHEMA = (
+    "Period array<struct<timeInterval: struct<start: string>, resolution: string, "
+    "Point: array<struct<position: int, quantity: string>>>>"
 )
+# Minutes between two points.
+RESOLUTIONS = {"PT15M": 15, "PT30M": 30, "PT60M": 60, "PT1H": 60, "P1D": 1440}
 START_FORMAT = "yyyy-MM-dd'T'HH:mmX"
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
+    """A row per series. One task reads a whole document, so documents must stay small (a year of points)."""
     return (
         spark.read.format("xml")
         .schema(SCHEMA)
@@ -49,15 +28,24 @@ def read_series(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def readings(
-    series: DataFrame, zone: str = "UTC", minutes: int = fixed.RESOLUTION_MINUTES
-) -> DataFrame:
-    """One row per point with the time computed from its position.
+def minutes_of(resolution: Column) -> Column:
+    """Minutes of a resolution; an unknown one is an error."""
+    known = F.create_map(*(F.lit(x) for pair in RESOLUTIONS.items() for x in pair))
+    failed = F.concat(F.lit("unknown resolution: "), F.coalesce(resolution, F.lit("none")))
+    return F.coalesce(F.try_element_at(known, resolution), F.raise_error(failed).cast("int"))
 
+
+def readings(series: DataFrame, zone: str = "UTC", minutes: int | None = None) -> DataFrame:
+    """One row per point of all periods, with the time computed from its position.
+
+    Steps are those of the period's resolution; ``minutes`` overrides them.
     ``quantity`` stays text here: repeated readings are compared as written.
     """
-    start = dates.in_zone(F.col("Period.timeInterval.start"), START_FORMAT, zone)
-    return series.select(start.alias("_start"), F.explode("Period.Point").alias("_point")).select(
-        dates.at_position(F.col("_start"), F.col("_point.position"), minutes).alias("date"),
+    periods = series.select(F.explode("Period").alias("_period"))
+    start = dates.in_zone(F.col("_period.timeInterval.start"), START_FORMAT, zone)
+    step = minutes_of(F.col("_period.resolution")) if minutes is None else F.lit(minutes)
+    points = periods.select(start.alias("_start"), step.alias("_step"), F.explode("_period.Point").alias("_point"))
+    return points.select(
+        dates.at_position(F.col("_start"), F.col("_point.position"), F.col("_step")).alias("date"),
         F.col("_point.quantity").alias("quantity"),
     )

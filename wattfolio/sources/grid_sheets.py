@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from wattfolio import fixed
 from wattfolio.functions import dates, numbers
+from wattfolio.operators import filters
 
 TIME_FORMAT = "dd.MM.yyyy HH:mm"
 
@@ -22,22 +23,25 @@ def named_by_position(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def read_sheets(spark: SparkSession, path: str, measures: Sequence[str] | None = None) -> DataFrame:
-    """Typed rows of all sheets; a row without a time, such as the units row, is dropped.
+    """Typed rows of all sheets, without the units row.
 
-    Texts are read first and cast after that row is gone. Only the measures a
-    query uses are parsed.
+    That is a row whose date holds no digit and none of whose measures is a number. Any
+    other date or number that does not parse is an error; an empty cell is NULL.
     """
     measures = list(measures or fixed.grid_measures())
     names = ["date", *measures]
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
     raw = spark.read.schema(schema).option("header", True).option("mode", "FAILFAST").csv(path)
-    time = dates.wall_clock(F.col("date"), TIME_FORMAT, strict=False)
+    numeric = [F.col(m).try_cast("double").isNotNull() for m in measures]
+    units = ~F.coalesce(F.col("date"), F.lit("")).rlike(r"\d") & ~filters.some(*numeric)
+    missing = F.raise_error(F.lit("a row without a date holds numbers")).cast("timestamp_ntz")
+    time = F.coalesce(dates.wall_clock(F.col("date"), TIME_FORMAT), missing)
     return (
-        raw.withColumn("date", time)
-        .filter(F.col("date").isNotNull())
+        raw.filter(~units)
+        .withColumn("date", time)
         .select(
             "date",
             F.to_date("date").alias("date_normal"),
-            *[numbers.number(F.col(m), lenient=True).alias(m) for m in measures],
+            *[numbers.number(F.col(m)).alias(m) for m in measures],
         )
     )

@@ -25,11 +25,14 @@ SCHEMA = T.StructType(
         ),
     ]
 )
-PAGE_NUMBER = r"page[-_=]?(\d+)"
+PAGE_NUMBER = r"/country=[^/]*/(?:.*/)?page[-_=]?(\d+)[^/]*(?:/[^/]*)?$"
 
 
 def read_pages(spark: SparkSession, path: str, page_number: str = PAGE_NUMBER) -> DataFrame:
-    """One row per landed page; its number is taken from the file path."""
+    """One row per landed page; its number is taken from the path below ``country=``.
+
+    One task reads a whole page, so pages must stay small.
+    """
     raw = spark.read.schema(SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
     return raw.select(
         "country",
