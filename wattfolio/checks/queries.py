@@ -100,7 +100,7 @@ def position_to_timestamp(spark, folder):
 
 @query
 def share_of_total(spark, folder):
-    days = balance.flow_balance(inputs.flows(spark, folder), "direction", "value", "time")
+    days = balance.flow_balance(inputs.balanced_flows(spark, folder), "direction", "value", "time")
     year = filters.within(days, "date", "1997-01-01", "1997-12-31")
     return aggregate.share_of_total(year, "import").select("date", "import", "share")
 
@@ -202,12 +202,12 @@ def year_over_year(spark, folder):
 
 @query
 def flow_balance(spark, folder):
-    return balance.flow_balance(inputs.flows(spark, folder), "direction", "value", "time", ["operator"])
+    return balance.flow_balance(inputs.balanced_flows(spark, folder), "direction", "value", "time", ["operator"])
 
 
 @query
 def flow_balance_join(spark, folder):
-    flows = inputs.flows(spark, folder)
+    flows = inputs.balanced_flows(spark, folder)
     sides = [
         aggregate.daily_sum(flows.filter(F.col("direction") == d), "value", "time", ["operator"])
         for d in ("import", "export")
@@ -217,7 +217,7 @@ def flow_balance_join(spark, folder):
 
 @query
 def seasonal_weight_offset(spark, folder):
-    days = balance.flow_balance(inputs.flows(spark, folder), "direction", "value", "time")
+    days = balance.flow_balance(inputs.balanced_flows(spark, folder), "direction", "value", "time")
     weighted = balance.with_weights(days, "import", "date", OFFSET.reference_year)
     return balance.add_offset(weighted, "import", "date", OFFSET).select("date", "weight", "import")
 
@@ -225,7 +225,7 @@ def seasonal_weight_offset(spark, folder):
 @query
 def weight_join(spark, folder):
     """The same weights from a separate table joined by month-day."""
-    days = balance.flow_balance(inputs.flows(spark, folder), "direction", "value", "time")
+    days = balance.flow_balance(inputs.balanced_flows(spark, folder), "direction", "value", "time")
     weights = balance.seasonal_weights(days, "import", "date", OFFSET.reference_year)
     weighted = balance.join_weights(days, weights, "date")
     return balance.add_offset(weighted, "import", "date", OFFSET).select("date", "weight", "import")
@@ -353,7 +353,7 @@ def page_links(spark, folder):
 
 def _gas_report(spark, folder) -> DataFrame:
     return gas_balance.gas_balance_report(
-        inputs.flows(spark, folder), SPAN, time="time", offset=OFFSET, divisor=1_000
+        inputs.balanced_flows(spark, folder), SPAN, time="time", offset=OFFSET, divisor=1_000
     )
 
 
@@ -366,7 +366,7 @@ def gas_balance_report(spark, folder):
 def gas_balance_by_operator(spark, folder):
     """The report for several series at once."""
     return gas_balance.gas_balance_report(
-        inputs.flows(spark, folder), SPAN, time="time", offset=OFFSET,
+        inputs.balanced_flows(spark, folder), SPAN, time="time", offset=OFFSET,
         series=["operator"], divisor=1_000,
     )
 
