@@ -11,8 +11,6 @@ so it does not walk past bins that all conflict in the same way.
 
 from __future__ import annotations
 
-
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame

@@ -46,10 +46,9 @@ def majority(hashes: list[list[int]]) -> np.ndarray:
     if len(full):
         flat = np.fromiter((h for x in hashes for h in x), dtype=np.uint64, count=int(sizes.sum()))
         starts = np.concatenate([[0], np.cumsum(sizes[full])[:-1]])
-        half = np.repeat(sizes[full], 1)
         for bit in range(64):
             ones = np.add.reduceat((flat >> np.uint64(bit)) & np.uint64(1), starts).astype(np.int64)
-            out[full] |= (2 * ones > half).astype(np.uint64) << np.uint64(bit)
+            out[full] |= (2 * ones > sizes[full]).astype(np.uint64) << np.uint64(bit)
     return out
 
 
