@@ -1,7 +1,9 @@
 """Readers on small landed files."""
 
 import json
+import re
 from datetime import date, datetime
+from html.parser import HTMLParser
 
 import pytest
 from pyspark.sql import functions as F
@@ -261,6 +263,53 @@ def test_first_fitting_link(spark):
     }
 
 
+class Anchors(HTMLParser):
+    """Attributes of each anchor as the standard library reads them; the first of a name counts."""
+
+    def __init__(self):
+        super().__init__()
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        if tag == "a":
+            self.found.append({k: v or "" for k, v in reversed(attrs)})
+
+
+def first_link(html, name, pattern):
+    parser = Anchors()
+    parser.feed(html or "")
+    parser.close()
+    fitting = (a for a in parser.found if re.search(pattern, a.get(name, "\0")))
+    return next(({"link": a.get("href")} for a in fitting), None)
+
+
+UNUSUAL = [
+    '<a title="Download data" data-x="a > b" href="/ok1">x</a>',
+    '<a title="Download data" data-note="see href=/wrong" href="/right">x</a>',
+    "<a title='Download data' href='/q?n=&eacute;&#x2f;&#47;&apos;&amp;&unknown;&#x1F600;&'>x</a>",
+    "<a title='Download &#100;ata' href=/bare/path/>x</a>",
+    '<A HREF = "/spaced" TITLE\n=\n"Download data" href="/second">x</A>',
+    "<a/title='Download data'/href='/slashes'>x</a>",
+    "<a title='Download data' href>x</a>",
+    "<a title='Download data' href=''>x</a>",
+    "<a title='Download data'>no link</a>",
+    "<abbr title='Download data' href='/no'><a title=\"Download data\" href='/it&apos;s'>",
+    "<a " + "data-long='x' " * 20_000 + "title='Download data' href='/long'>",
+]
+
+
+def test_links_as_an_html_parser_finds_them(spark, data):
+    df = spark.createDataFrame(list(enumerate(UNUSUAL)), "id int, html string")
+    got = {r.id: r.link for r in web_links.page_links(df, "html", "title", "^Download data$").collect()}
+    want = {i: first_link(h, "title", "^Download data$") for i, h in enumerate(UNUSUAL)}
+    assert got == {i: w["link"] for i, w in want.items() if w}
+    assert got[0] == "/ok1" and got[1] == "/right" and got[2] == "/q?n=é//'&&unknown;😀&"
+    pages = spark.read.parquet(f"{data}/pages.parquet").select("page_id", "html")
+    got = {r.page_id: r.link for r in web_links.page_links(pages, "html", "href", "^/[a-m]").collect()}
+    want = {r.page_id: first_link(r.html, "href", "^/[a-m]") for r in pages.collect()}
+    assert got == {i: w["link"] for i, w in want.items() if w}
+
+
 def test_grid_sheets_stop_at_a_bad_date_or_number(spark, tmp_path):
     names = ["a", "b"]
     for i, line in enumerate(["2022-10-01 00:00,1,2", "01.10.2022 00:00,1'234,2", ",1,2"]):
