@@ -82,6 +82,22 @@ def test_files_with_other_headers_are_refused(spark, flow_files):
         gas_flows.read_flow_files(spark, str(flow_files)).select("unit", "value").collect()
 
 
+def test_files_with_other_headers_are_appended_by_name(spark, flow_files):
+    put(
+        flow_files / "direction=import" / "point=Passo Gries" / "a+b c.csv",
+        "value,unit,new,directionKey,operatorLabel,pointLabel,periodFrom,periodTo",
+        "1,kWh/d,?,exit,x,P,2022-01-01,2022-01-02", "2,kWh/d,?,exit,x,P,2022-01-02,2022-01-03",
+    )
+    put(flow_files / "direction=import" / "point=None" / "empty.csv", end="")
+    flows = gas_flows.read_flow_files(spark, str(flow_files), by_name=True)
+    got = [(r.unit, r.value) for r in flows.where("point = 'Passo Gries'").orderBy("value").collect()]
+    assert got == [("kWh/d", 1.0), ("kWh/d", 2.0)]
+    assert flows.count() == 7
+    put(flow_files / "direction=import" / "point=Basel" / "a.csv", "unit,value", "kWh/d,1")
+    with pytest.raises(ValueError, match="directionKey, operatorLabel"):
+        gas_flows.read_flow_files(spark, str(flow_files), by_name=True)
+
+
 @pytest.fixture
 def history_files(tmp_path):
     root = tmp_path / "history"
@@ -242,6 +258,25 @@ def test_weekly_routes(spark, tmp_path):
     }
 
 
+def test_route_snapshots_keep_their_day(spark, tmp_path):
+    put(tmp_path / "2023-12-20" / "route_data_2023-12-19.csv", "week,A_2023", '1,"1,000"')
+    put(tmp_path / "2024-01-03" / "route_data_2024-01-02.csv", "week,A_2023,A_2024", "1,999,5", "2,,")
+    put(tmp_path / "2024-01-03" / "reverse_flows_2024-01-02.csv", "week,R_2024", "1,7")
+    put(tmp_path / "date=2024-01-10" / "route_data_2024-01-09.csv", "week,A_2023,A_2024", "1,998,4")
+    rows = weekly_routes.read_snapshots(spark, f"{tmp_path}/*/route_data_*.csv")
+    assert rows.columns == ["snapshot_date", "week", "series", "period", "value"]
+    first, second, third = date(2023, 12, 20), date(2024, 1, 3), date(2024, 1, 10)
+    assert {tuple(r) for r in rows.collect()} == {
+        (first, 1, "A", "2023", 1000.0), (second, 1, "A", "2023", 999.0), (second, 1, "A", "2024", 5.0),
+        (second, 2, "A", "2023", None), (second, 2, "A", "2024", None),
+        (third, 1, "A", "2023", 998.0), (third, 1, "A", "2024", 4.0),
+    }
+    assert weekly_routes.read_snapshots(spark, f"{tmp_path}/*/reverse_flows_*.csv").count() == 1
+    put(tmp_path / "undated" / "route_data.csv", "week,A_2023", "1,2")
+    with pytest.raises(Exception, match="no day in the folder"):
+        weekly_routes.read_snapshots(spark, f"{tmp_path}/*/route_data*.csv").collect()
+
+
 PAGES = [
     (1, '<p><a href="/x">x</a><A class=b title="Download data" href="https://e.org/f.zip">y</A>'
         '<a title="Download data" href="/second">z</a>'),

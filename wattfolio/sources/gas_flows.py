@@ -11,34 +11,53 @@ from wattfolio.operators import filters
 from wattfolio.operators.aggregate import union_all
 from wattfolio.operators.balance import single_operator
 from wattfolio.operators.quality import enforce_expected, flow_checks
+from wattfolio.sources.headers import by_header
 
 COLUMNS = ["unit", "directionKey", "operatorLabel", "pointLabel", "periodFrom", "periodTo", "value"]
 TIME_FORMATS = ("yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd'T'HH:mm", "yyyy-MM-dd")
 
 
-def read_flow_files(spark: SparkSession, path: str, lenient: bool = False) -> DataFrame:
+def read_flow_files(
+    spark: SparkSession, path: str, lenient: bool = False, by_name: bool = False
+) -> DataFrame:
     """Read flow files by column name; further columns in the files are ignored.
 
     ``direction`` and, where the folders name it, ``point`` come from the path,
-    so a filter on them skips whole folders.
+    so a filter on them skips whole folders. All files must have one header, or the
+    job fails; with ``by_name`` the header lines are looked up first and files with
+    other columns or another order are appended by name. A file that lacks a needed
+    column is an error either way.
     """
-    raw = (
-        spark.read.option("header", True)
-        .option("enforceSchema", False)
-        .option("mode", "FAILFAST")
-        .csv(path)
+    if by_name:
+        parts = []
+        for names, rows in by_header(spark, path):
+            lacking = [c for c in COLUMNS if c not in names]
+            if lacking:
+                raise ValueError(f"columns missing in some files: {', '.join(lacking)}")
+            parts.append(_needed(rows))
+        raw = union_all(parts)
+    else:
+        raw = _needed(
+            spark.read.option("header", True)
+            .option("enforceSchema", False)
+            .option("mode", "FAILFAST")
+            .csv(path)
+        )
+    return raw.withColumns(
+        {
+            "periodFrom": dates.wall_clock(F.col("periodFrom"), *TIME_FORMATS),
+            "periodTo": dates.wall_clock(F.col("periodTo"), *TIME_FORMATS),
+            "value": numbers.number(F.col("value"), lenient),
+        }
     )
+
+
+def _needed(raw: DataFrame) -> DataFrame:
     point = F.col("point") if "point" in raw.columns else F.col("pointLabel")
     return raw.select(
         F.col("direction").cast("string").alias("direction"),
         point.cast("string").alias("point"),
         *COLUMNS,
-    ).withColumns(
-        {
-            "periodFrom": dates.wall_clock(F.col("periodFrom"), *TIME_FORMATS),
-            "periodTo": dates.wall_clock(F.col("periodTo"), *TIME_FORMATS),
-            "value": numbers.number(F.col("value"), lenient),
-        }
     )
 
 
@@ -56,7 +75,7 @@ def read_flows(
 
     ``start`` and ``end`` bound the new files of both directions. With
     ``check_history=False`` the earlier files are appended unchecked and keep
-    all operators. ``order`` is the reading order used by the mode ``stop``;
+    all operators; they may have other headers. ``order`` is the reading order used by the mode ``stop``;
     earlier files are not part of it, their checks then fail the job.
     """
     order = order or {"import": fixed.IMPORT_POINTS, "export": fixed.EXPORT_POINTS}
@@ -68,7 +87,7 @@ def read_flows(
     current = filters.within(read_flow_files(spark, path), "periodFrom", start, end)
     if history_path is None:
         return checked(current)
-    history = read_flow_files(spark, history_path)
+    history = read_flow_files(spark, history_path, by_name=True)
     if not check_history:
         return union_all([checked(current), history])
     if mode == "stop":

@@ -2,11 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattfolio.operators.aggregate import union_all
+from wattfolio.sources.headers import FILE, by_header
+
 # Last part of a column name: a year, a statistic, or two digits of a year.
 SUFFIX = r"^(.*?)_?(\d{4}|\d{2}|min|max)$"
+# A folder named by the day its files were fetched, alone or as ``key=day``.
+FOLDER_DATE = r"[/=](\d{4}-\d{2}-\d{2})/[^/]*$"
+SNAPSHOT = "snapshot_date"
 
 
 def read_weekly(spark: SparkSession, path: str) -> DataFrame:
@@ -19,16 +27,38 @@ def read_weekly(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def weekly_long(wide: DataFrame) -> DataFrame:
-    """``week, series, period, value``; blank rows are dropped, empty cells kept as NULL."""
-    columns = [c for c in wide.columns if c != "week"]
+def weekly_long(wide: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
+    """``week, series, period, value`` after ``keys``; blank rows are dropped, empty cells kept as NULL.
+
+    ``keys`` are columns that do not come from the file, such as those of folders.
+    """
+    columns = [c for c in wide.columns if c not in ("week", *keys)]
     long = wide.filter(F.col("week").isNotNull()).unpivot(
-        "week", [F.col(f"`{c}`") for c in columns], "_name", "_text"
+        [*keys, "week"], [F.col(f"`{c}`") for c in columns], "_name", "_text"
     )
     suffix = F.regexp_extract("_name", SUFFIX, 2)
     return long.select(
+        *keys,
         F.col("week").cast("int").alias("week"),
         F.regexp_extract("_name", SUFFIX, 1).alias("series"),
         F.when(F.length(suffix) == 2, F.concat(F.lit("20"), suffix)).otherwise(suffix).alias("period"),
         F.replace("_text", F.lit(","), F.lit("")).cast("double").alias("value"),
     )
+
+
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """``snapshot_date, week, series, period, value`` of files in folders named by their day.
+
+    The files of one call are of one kind, told apart by a glob such as
+    ``*/route_data_*.csv``; their columns may differ from day to day. A file outside of
+    such a folder is an error.
+    """
+    day = F.to_date(F.nullif(F.regexp_extract(FILE, FOLDER_DATE, 1), F.lit("")))
+    missing = F.raise_error(F.concat(F.lit("no day in the folder of "), FILE)).cast("date")
+    dated = F.coalesce(day, missing).alias(SNAPSHOT)
+    return union_all(
+        [
+            weekly_long(rows.select(dated, *[F.col(f"`{n}`") for n in names]), [SNAPSHOT])
+            for names, rows in by_header(spark, path)
+        ]
+    )
