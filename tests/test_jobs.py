@@ -105,6 +105,16 @@ def test_gas_run(spark, tmp_path):
     assert [rows[0]["2021"], rows[6]["2021"] != ""] == ["", True]
     assert [r["date_show"] for r in rows if r["2023"] == ""][0] == "2023-01-31"
     assert table_of(f"{out}/annotations/gas_use")[0]["note"].endswith("zuletzt am 1. Februar 2023.")
+    assert spark.read.parquet(f"{out}/checks/gas_overlaps").count() == 0
+    # a day in both is listed; history may have its columns in another order
+    again = "value,unit,directionKey,operatorLabel,pointLabel,periodFrom,periodTo\n5,kWh/d,exit,x,Basel,2022-05-01 06:00:00,2022-05-01 06:00:00"
+    put(tmp_path / "old" / "direction=import" / "b.csv", again)
+    jobs.main(
+        ["gas", "--input", str(tmp_path / "new"), "--second-input", str(tmp_path / "old"), "--output", out + "2",
+         "--year", "2023", "--as-of", "2023-02-01", "--offset-total", "0", "--unchecked-history"], spark)
+    twice = spark.read.parquet(f"{out}2/checks/gas_overlaps").collect()
+    assert [(r.direction, r.point, r.periodFrom, r["rows"]) for r in twice] == [("import", "Basel", datetime(2022, 5, 1, 6), 2)]
+    assert float(table_of(f"{out}2/data/gas_use")[10]["2022"]) == pytest.approx(2)
     # a run that fails its unit check leaves the last result in place
     bad = lines(new, "entry", 1e6)
     put(tmp_path / "new" / "direction=import" / "point=Oltingue" / "a.csv", bad)
@@ -128,6 +138,13 @@ def test_generation_run(spark, tmp_path):
     assert {r["2022"] for r in rows} == {"168.0"}
     assert rows == table_of(f"{out}/backups/generation/snapshot_date=2023-01-02")
     assert table_of(f"{out}/annotations/generation")[0]["last_week"] == "52"
+    assert spark.read.parquet(f"{out}/checks/generation_conflicts").count() == 0
+    other = (tmp_path / "in" / "b.xml").read_text().replace("<position>5</position><quantity>1000", "<position>5</position><quantity>7")
+    put(tmp_path / "in" / "b.xml", other)
+    jobs.main(["generation", "--input", str(tmp_path / "in"), "--output", out, "--year", "2022", "--as-of", "2023-01-02",
+               "--zone", "Europe/Paris"], spark)
+    conflicts = spark.read.parquet(f"{out}/checks/generation_conflicts").collect()
+    assert [tuple(r) for r in conflicts] == [(datetime(2021, 1, 4, 5), 2)]
 
 
 def test_national_use_run(spark, tmp_path):
@@ -158,12 +175,45 @@ def test_grid_routes_and_links_runs(spark, tmp_path):
     put(tmp_path / "routes" / "r.csv", 'week,A_2022\n1,"1,000"\n')
     jobs.main(["routes", "--input", str(tmp_path / "routes"), "--output", out], spark)
     assert [tuple(r) for r in spark.read.parquet(f"{out}/data/routes").collect()] == [(1, "A", "2022", 1000.0)]
+    put(tmp_path / "dated" / "2023-01-04" / "r.csv", 'week,A_2022\n1,"1,000"\n')
+    jobs.main(["routes", "--input", str(tmp_path / "dated" / "*"), "--output", f"{out}/dated", "--dated"], spark)
+    assert [tuple(r) for r in spark.read.parquet(f"{out}/dated/data/routes").collect()] == [(date(2023, 1, 4), 1, "A", "2022", 1000.0)]
     pages = spark.createDataFrame([(1, "<a title='Download data' href='/z'>")], "id int, html string")
     pages.write.parquet(str(tmp_path / "pages"))
     jobs.main(["links", "--input", str(tmp_path / "pages"), "--output", out], spark)
     assert [tuple(r) for r in spark.read.parquet(f"{out}/data/links").collect()] == [(1, "/z")]
 
 
+def test_month_run(spark, tmp_path):
+    names = fixed.grid_measures()
+    rows = [",".join(["", *names]), ",".join(["x", *["kWh"] * 64])]
+    for d in days(date(2020, 8, 25), date(2022, 10, 5)):
+        value = {2020: 1, 2021: 3, 2022: 5}[d.year] * 1_000_000
+        rows.append(",".join([d.strftime("%d.%m.%Y 00:15"), str(value), str(2 * value), *[""] * 62]))
+    put(tmp_path / "in" / "a.csv", "\n".join(rows))
+    arguments = ["month", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"),
+                 "--start", "2022-09-01", "--end", "2022-09-30 23:45:00"]
+    with pytest.raises(SystemExit):
+        jobs.main(arguments, spark)
+    jobs.main([*arguments, "--history-before", "2022-01-01"], spark)
+    assert table_of(tmp_path / "out" / "data" / "month") == [
+        {"usage": "150.0", "average": "60.0", "difference": "90.0", "percent": "150.0"}
+    ]
+    lines = table_of(tmp_path / "out" / "annotations" / "month")[0]
+    assert "150.0" in lines["usage_line"] and "60.0" in lines["average_line"]
+    jobs.main([*arguments, "--history-before", "2022-01-01", "--measure", names[1]], spark)
+    assert table_of(tmp_path / "out" / "data" / "month")[0]["usage"] == "300.0"
+
+
+def test_storage_run_misses_a_country(spark, tmp_path):
+    storage_file(tmp_path / "in", "de", 1, 1, [(d, "1") for d in days(date(2022, 1, 1), date(2023, 1, 2))])
+    arguments = ["storage", "--input", str(tmp_path / "in"), "--output", str(tmp_path / "out"), "--year", "2023",
+                 "--as-of", "2023-01-02", "--countries", "de,fr"]
+    with pytest.raises(ValueError, match="pages"):
+        jobs.main(arguments, spark)
+    jobs.main([*arguments, "--some-pages"], spark)
+
+
 def test_missing_parameters_are_refused(spark):
     with pytest.raises(SystemExit):
         jobs.main(["storage", "--input", "x", "--output", "y"], spark)

@@ -44,9 +44,13 @@ def levels(spark: SparkSession, folder: str) -> DataFrame:
     return aggregate.daily_sum(prices(spark, folder), "full", "time", ["country"])
 
 
-def balanced_flows(spark: SparkSession, folder: str) -> DataFrame:
+def balanced_lines(spark: SparkSession, folder: str) -> DataFrame:
     """Imports and exports alone, chosen by a column of the table so that the choice reaches the scan."""
-    return _flows(table(spark, folder, "lineitem").filter(F.col("l_returnflag").isin("N", "R")))
+    return table(spark, folder, "lineitem").filter(F.col("l_returnflag").isin("N", "R"))
+
+
+def balanced_flows(spark: SparkSession, folder: str) -> DataFrame:
+    return _flows(balanced_lines(spark, folder))
 
 
 def flows(spark: SparkSession, folder: str) -> DataFrame:
@@ -88,6 +92,35 @@ def unit_flows(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def keyed_flows(spark: SparkSession, folder: str) -> DataFrame:
+    """Imports and exports by line number; the imports of point 3 carry the key of exports from 1998 on."""
+    line = balanced_lines(spark, folder)
+    wrong = (F.col("l_linenumber") == 3) & (F.col("l_shipdate") >= "1998-01-01")
+    imported = F.col("l_returnflag") == "N"
+    return line.select(
+        F.when(imported, "import").otherwise("export").alias("direction"),
+        F.col("l_linenumber").alias("point"),
+        F.lit(fixed.FLOW_UNIT).alias("unit"),
+        F.when(imported & ~wrong, fixed.IMPORT_DIRECTION_KEY).otherwise(fixed.EXPORT_DIRECTION_KEY).alias("directionKey"),
+    )
+
+
+def texts(spark: SparkSession, folder: str) -> DataFrame:
+    """Whole pages, and what files tend to change in a text, by kind; a part holds up to 1000 pages."""
+    html = F.col("html")
+    kinds = {
+        "page": html,
+        "blanks": F.concat(F.lit("    "), F.col("url"), F.lit("  ")),
+        "break": F.concat(F.col("url"), F.lit("\n")),
+        "quotes": F.concat(F.lit('say "'), F.col("url"), F.lit('", twice')),
+        "empty": F.lit(""),
+        "missing": F.lit(None).cast("string"),
+    }
+    rows = F.array(*[F.struct(F.lit(k).alias("kind"), v.alias("text")) for k, v in kinds.items()])
+    part = F.floor(F.col("page_id") / 1000).alias("part")
+    return table(spark, folder, "pages").select("page_id", part, F.inline(rows))
+
+
 def exact_mean(amount: Column) -> Column:
     """Mean of amounts with two digits from whole cents, the same in any order of rows."""
     return F.sum(F.round(amount * 100).cast("bigint")) / F.count(amount) / 100

@@ -25,12 +25,11 @@ def _shown(time: str, day: str, after: str = "") -> Column:
     return F.concat(F.date_format(F.to_date(time), day), clock, F.lit(after))
 
 
-def gas_flow_csv(spark: SparkSession, folder: str) -> str:
-    path = scratch_folder(spark, "flows")
+def _gas_flows(spark: SparkSession, folder: str) -> DataFrame:
     line = inputs.table(spark, folder, "lineitem")
     imported = F.col("l_returnflag") == "N"
     day = F.col("day")
-    (
+    return (
         line.groupBy(
             F.when(imported, "import").when(F.col("l_returnflag") == "R", "export").otherwise("transit").alias("direction"),
             F.when(F.col("l_linestatus") == "O", "Oltingue")
@@ -56,16 +55,34 @@ def gas_flow_csv(spark: SparkSession, folder: str) -> str:
             "value",
             F.lit(fixed.FLOW_UNIT).alias("unit"),
         )
-        .write.option("header", True)
-        .partitionBy("direction", "point")
-        .csv(path)
     )
+
+
+def _flow_files(flows: DataFrame, path: str) -> None:
+    flows.write.mode("append").option("header", True).partitionBy("direction", "point").csv(path)
+
+
+def gas_flow_csv(spark: SparkSession, folder: str) -> str:
+    path = scratch_folder(spark, "flows")
+    _flow_files(_gas_flows(spark, folder), path)
     return path
 
 
+def gas_flow_history(spark: SparkSession, folder: str) -> tuple[str, str]:
+    """New files from 2000 on, and history: until 1996 in the same columns, then in another order with one more."""
+    new, old = scratch_folder(spark, "flows"), scratch_folder(spark, "history")
+    flows = _gas_flows(spark, folder)
+    year = F.substring("periodFrom", 1, 4).cast("int")
+    _flow_files(flows.where(year >= 2000), new)
+    _flow_files(flows.where(year <= 1996), old)
+    other = flows.withColumn("flowStatus", F.lit("Confirmed")).select(*sorted({*flows.columns, "flowStatus"}, reverse=True))
+    _flow_files(other.where(year.between(1997, 1999)), old)
+    return new, old
+
+
 def storage_pages(spark: SparkSession, folder: str) -> str:
     """One object per page of 300 days, newest day first."""
-    path = scratch_folder(spark, "pages")
+    path = scratch_folder(spark, "page9")
     by_country = W.partitionBy("country")
     rank = F.row_number().over(by_country.orderBy(F.desc("date")))
     (
@@ -171,12 +188,11 @@ ROUTES = {"O": "Nord Stream", "F": "Yamal (BY,PL)"}
 ROUTE_YEARS = [1995, 1996, 1997, 1998, 1999, 2000, 2001]
 
 
-def weekly_routes(spark: SparkSession, folder: str) -> str:
+def _routes(spark: SparkSession, folder: str, years: list[int]) -> DataFrame:
     """Weeks as rows, route and year as columns, numbers with thousands commas."""
-    path = scratch_folder(spark, "routes")
     end = dates.week_end(F.to_date("l_shipdate"))
     cell = F.col("l_quantity")
-    (
+    return (
         inputs.table(spark, folder, "lineitem")
         .select("l_linestatus", "l_quantity", F.weekofyear(end).alias("week"), dates.iso_year(end).alias("year"))
         .groupBy("week")
@@ -186,10 +202,24 @@ def weekly_routes(spark: SparkSession, folder: str) -> str:
                     F.sum(F.when((F.col("l_linestatus") == s) & (F.col("year") == y), cell)), 0
                 ).alias(f"{name}_{y}")
                 for s, name in ROUTES.items()
-                for y in ROUTE_YEARS
+                for y in years
             ]
         )
-        .write.option("header", True)
-        .csv(path)
     )
+
+
+def weekly_routes(spark: SparkSession, folder: str) -> str:
+    path = scratch_folder(spark, "routes")
+    _routes(spark, folder, ROUTE_YEARS).write.option("header", True).csv(path)
+    return path
+
+
+# Snapshots of the route table: the day, and the years it knows by then.
+ROUTE_SNAPSHOTS = {"2001-01-10": ROUTE_YEARS[:-1], "2002-01-09": ROUTE_YEARS}
+
+
+def route_snapshots(spark: SparkSession, folder: str) -> str:
+    path = scratch_folder(spark, "routes")
+    for day, years in ROUTE_SNAPSHOTS.items():
+        _routes(spark, folder, years).write.option("header", True).csv(f"{path}/{day}")
     return path

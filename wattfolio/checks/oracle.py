@@ -181,6 +181,14 @@ SELECT direction, point, COUNT(*) AS rows, COUNT(*) FILTER (WHERE unit <> 'kWh/d
        CASE WHEN COUNT(*) FILTER (WHERE unit <> 'kWh/d') = 0 THEN 1 ELSE 0 END AS passes
 FROM f GROUP BY 1, 2"""
 
+ORACLE["flow_check"] = """WITH f AS (
+  SELECT CASE l_returnflag WHEN 'N' THEN 'import' ELSE 'export' END AS direction, l_linenumber AS point,
+         l_returnflag = 'N' AND l_linenumber = 3 AND l_shipdate >= DATE '1998-01-01' AS bad
+  FROM lineitem WHERE l_returnflag IN ('N', 'R'))
+SELECT direction, point, COUNT(*) AS rows, CAST(0 AS BIGINT) AS bad_unit, COUNT(*) FILTER (WHERE bad) AS bad_directionKey,
+       CASE WHEN COUNT(*) FILTER (WHERE bad) = 0 THEN 1 ELSE 0 END AS passes
+FROM f GROUP BY 1, 2"""
+
 ORACLE["unit_quarantine"] = f"""WITH {UNITS}
 SELECT direction, point, strftime(d, '%Y-%m-%d') AS date, round(SUM(v), 6) AS value FROM f
 WHERE (direction, point) NOT IN (SELECT (direction, point) FROM f WHERE unit <> 'kWh/d')
@@ -405,11 +413,14 @@ ORACLE["source_gas_flow_csv"] = """WITH imp AS (
 SELECT strftime(d, '%Y-%m-%d') AS date, round(i, 6) AS import, round(e, 6) AS export,
        round(i - e, 6) AS diff FROM imp LEFT JOIN exp USING (d)"""
 
+ORACLE["source_flow_history"] = ORACLE["source_gas_flow_csv"]
+
 ORACLE["source_storage_pages"] = ORACLE["daily_sum"]
 
 ORACLE["source_page_check"] = f"""WITH {LEVELS}, n AS (
   SELECT country, CAST(ceil(COUNT(*) / 300.0) AS INTEGER) AS p FROM levels GROUP BY 1)
-SELECT country, CAST(p AS BIGINT) AS pages, p AS last_page, 1 AS complete FROM n"""
+SELECT country, CAST(p AS BIGINT) AS pages, p AS last_page, 1 AS complete FROM n
+UNION ALL SELECT '6-MISSING', 0, NULL, 0"""
 
 ORACLE["source_generation_xml"] = """SELECT
   strftime(l_shipdate + to_hours(CAST(l_linenumber - 1 AS BIGINT)), '%Y-%m-%d %H:%M:%S.%f') AS date,
@@ -431,6 +442,19 @@ ORACLE["source_weekly_routes"] = """WITH w AS (
 SELECT CAST(k.week AS INTEGER) AS week, r.series AS series, r.period AS period, round(v.value, 6) AS value
 FROM k CROSS JOIN r LEFT JOIN v ON v.week = k.week AND v.s = r.s AND v.period = r.period"""
 
+ORACLE["source_route_snapshots"] = f"""WITH r AS ({ORACLE["source_weekly_routes"]})
+SELECT t.snapshot_date, r.* FROM r, (VALUES ('2001-01-10', '2000'), ('2002-01-09', '2001')) t(snapshot_date, newest)
+WHERE period <= newest"""
+
+ORACLE["sink_texts"] = r"""WITH t AS (
+  SELECT page_id, 'page' AS kind, html AS text FROM pages
+  UNION ALL SELECT page_id, 'blanks', '    ' || url || '  ' FROM pages
+  UNION ALL SELECT page_id, 'break', url || chr(10) FROM pages
+  UNION ALL SELECT page_id, 'quotes', 'say "' || url || '", twice' FROM pages
+  UNION ALL SELECT page_id, 'empty', '' FROM pages
+  UNION ALL SELECT page_id, 'missing', NULL FROM pages)
+SELECT page_id, kind, CAST(text IS NULL AS INTEGER) AS missing, md5(text) AS digest FROM t"""
+
 ORACLE["sink_snapshot"] = f"""WITH s AS ({ORACLE["storage_report"]})
 SELECT s.* EXCLUDE (plausible), t.snapshot FROM s, (VALUES ('2001-08-01'), ('2001-08-02'), ('current')) t(snapshot)
 WHERE plausible = 1"""

@@ -241,6 +241,13 @@ def unit_check(spark, folder):
     return report.withColumn("passes", F.col("passes").cast("int"))
 
 
+@query
+def flow_check(spark, folder):
+    """Units and direction keys at once; keys of one import point are wrong from a day on."""
+    report = quality.check_report(inputs.keyed_flows(spark, folder), ["direction", "point"], quality.flow_checks())
+    return report.withColumn("passes", F.col("passes").cast("int"))
+
+
 @query
 def unit_quarantine(spark, folder):
     checks = {"unit": F.lit(fixed.FLOW_UNIT)}
@@ -453,6 +460,13 @@ def source_gas_flow_csv(spark, folder):
     return balance.flow_balance(flows, "direction", "value", "periodFrom")
 
 
+@query
+def source_flow_history(spark, folder):
+    """New files and history in two column orders; no row of them is lost or read twice."""
+    flows = gas_flows.read_flows(spark, *landed.gas_flow_history(spark, folder))
+    return balance.flow_balance(flows, "direction", "value", "periodFrom")
+
+
 @query
 def source_storage_pages(spark, folder):
     return storage_pages.levels(storage_pages.read_pages(spark, landed.storage_pages(spark, folder)))
@@ -460,8 +474,10 @@ def source_storage_pages(spark, folder):
 
 @query
 def source_page_check(spark, folder):
+    """Below a folder whose name looks like a page, with a country that never landed."""
     pages = storage_pages.read_pages(spark, landed.storage_pages(spark, folder))
-    return storage_pages.completeness(pages).withColumn("complete", F.col("complete").cast("int"))
+    report = storage_pages.completeness(pages, [*inputs.PRIORITIES, "6-MISSING"])
+    return report.withColumn("complete", F.col("complete").cast("int"))
 
 
 @query
@@ -495,6 +511,21 @@ def source_weekly_routes(spark, folder):
     return weekly_routes.weekly_long(wide)
 
 
+@query
+def source_route_snapshots(spark, folder):
+    return weekly_routes.read_snapshots(spark, f"{landed.route_snapshots(spark, folder)}/*")
+
+
+@query
+def sink_texts(spark, folder):
+    """Texts with blanks, line breaks, quotes and commas, empty and NULL, written and read back."""
+    table = inputs.texts(spark, folder)
+    path = f"{scratch_folder(spark, 'texts')}/current"
+    files.write_current(table, path, ["page_id"], ["kind", "part"])
+    back = files.read_current(spark, path, table)
+    return back.select("page_id", "kind", F.col("text").isNull().cast("int").alias("missing"), F.md5("text").alias("digest"))
+
+
 @query
 def sink_snapshot(spark, folder):
     """A gated report written as snapshots of two days and as current files."""

@@ -10,13 +10,14 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattfolio import fixed
-from wattfolio.operators import filters
-from wattfolio.plans import annotations, gas_balance, generation, national_use, storage
+from wattfolio.operators import filters, quality
+from wattfolio.plans import annotations, gas_balance, generation, month_compare, national_use, storage
 from wattfolio.session import recommend
 from wattfolio.settings import Offset, SeasonSpan
 from wattfolio.sinks import daily_store, files
@@ -42,7 +43,10 @@ def run_gas(
     check_history: bool = True,
     offset: Offset | None = None,
 ) -> None:
-    """With ``history`` the new files count from the first current year on."""
+    """With ``history`` the new files count from the first current year on.
+
+    Rows that history and new files both hold count twice; they are listed below ``checks``.
+    """
     start = span.first_day if history else None
     flows = gas_flows.read_flows(
         spark, path, history, mode, check_history, start=start, end=span.last_day
@@ -51,6 +55,9 @@ def run_gas(
     files.write_current(report, f"{output}/data/gas_use", [gas_balance.KEY], ready=True)
     notes = annotations.gas_annotations(report, as_of)
     files.write_current(notes, f"{output}/annotations/gas_use", [])
+    if history:
+        twice = quality.overlapping_rows(flows, ["direction", "point", "operatorLabel", "periodFrom"])
+        twice.write.mode("overwrite").parquet(f"{output}/checks/gas_overlaps")
 
 
 def refresh_storage_days(
@@ -74,15 +81,16 @@ def run_storage(
     need_all_pages: bool = True,
     store: str | None = None,
     year: int | None = None,
+    countries: Sequence[str] = (),
 ) -> None:
     """The gate holds back a series in whole: no snapshot, no result, no note.
 
-    With ``store`` the daily levels are kept there and the report starts from
+    Pages must be complete for the countries that landed, and for all of ``countries``. With ``store`` the daily levels are kept there and the report starts from
     them; with ``year`` the pages renew that year only.
     """
     pages = storage_pages.read_pages(spark, path)
     if need_all_pages:
-        missing = storage_pages.completeness(pages).filter(~F.col("complete"))
+        missing = storage_pages.completeness(pages, countries).filter(~F.col("complete"))
         if not missing.isEmpty():
             raise ValueError("some storage pages have not landed")
     if store is None:
@@ -106,7 +114,10 @@ def run_generation(
     zone: str = "UTC",
     minutes: int | None = None,
 ) -> None:
-    """Files are always written; only the note depends on freshness."""
+    """Files are always written; only the note depends on freshness.
+
+    Times with different values, which all count, are listed below ``checks``.
+    """
     readings = generation_xml.readings(generation_xml.read_series(spark, path), zone, minutes)
     report = generation.weekly_generation_report(readings, span, as_of)
     backups = f"{output}/backups/generation"
@@ -114,6 +125,8 @@ def run_generation(
     written = files.read_snapshot(spark, backups, as_of, report)
     notes = annotations.generation_annotations(written, generation.WEEK, span.curr_year, as_of)
     files.write_current(notes, f"{output}/annotations/generation", [])
+    conflicts = quality.conflicting_readings(readings, "date", "quantity")
+    conflicts.write.mode("overwrite").parquet(f"{output}/checks/generation_conflicts")
 
 
 def run_national_use(
@@ -153,9 +166,30 @@ def run_grid(
     )
 
 
-def run_routes(spark: SparkSession, path: str, output: str) -> None:
-    """Weekly routes as a long table, stored as Parquet."""
-    long = weekly_routes.weekly_long(weekly_routes.read_weekly(spark, path))
+def run_month(
+    spark: SparkSession,
+    path: str,
+    output: str,
+    start: str,
+    end: str,
+    history_before: str,
+    measure: str = "endverbrauchte_energie",
+) -> None:
+    """The month of ``start`` up to ``end`` against the same month of the years before ``history_before``."""
+    month = date.fromisoformat(start[:10]).month
+    readings = grid_sheets.read_sheets(spark, path)
+    row = month_compare.month_vs_average(readings, measure, "date", month, start, end, history_before)
+    row = files.computed(row)
+    files.write_current(row, f"{output}/data/month", [], ready=True)
+    files.write_current(month_compare.summary_lines(row, month, start, end), f"{output}/annotations/month", [])
+
+
+def run_routes(spark: SparkSession, path: str, output: str, dated: bool = False) -> None:
+    """Weekly routes as a long table, stored as Parquet; ``dated`` keeps the day of each folder."""
+    if dated:
+        long = weekly_routes.read_snapshots(spark, path)
+    else:
+        long = weekly_routes.weekly_long(weekly_routes.read_weekly(spark, path))
     files.computed(long).write.mode("overwrite").parquet(f"{output}/data/routes")
 
 
@@ -166,43 +200,71 @@ def run_links(
     files.computed(links).write.mode("overwrite").parquet(f"{output}/data/links")
 
 
-def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
+def arguments_parser() -> argparse.ArgumentParser:
     parser = argparse.ArgumentParser(prog="wattfolio")
-    parser.add_argument("job", choices=["gas", "storage", "generation", "national-use", "grid", "routes", "links"])
+    parser.add_argument(
+        "job", choices=["gas", "storage", "generation", "national-use", "grid", "month", "routes", "links"]
+    )
     parser.add_argument("--input", required=True)
     parser.add_argument("--second-input", help="history files of gas, final use of national-use")
     parser.add_argument("--output", required=True)
     parser.add_argument("--year", type=int, help="current year")
     parser.add_argument("--as-of", help="day of the run, yyyy-mm-dd")
     parser.add_argument("--mode", help="unit check of gas, gate of storage")
+    parser.add_argument("--unchecked-history", action="store_true", help="append the history of gas as it is")
+    parser.add_argument("--offset-total", type=float, default=Offset.total, help="yearly amount added to gas")
+    parser.add_argument("--offset-year", type=int, default=Offset.reference_year, help="year whose shares spread it")
+    parser.add_argument("--offset-start", default=Offset.start, help="first day it is added to")
     parser.add_argument("--store", help="folder of the stored daily levels of storage")
     parser.add_argument("--renew-year", type=int, help="only year the pages of storage renew")
+    parser.add_argument("--some-pages", action="store_true", help="run storage though pages are missing")
+    parser.add_argument("--countries", default="", help="countries that storage must hold, with commas between")
+    parser.add_argument("--zone", default="UTC", help="zone of the times of generation")
+    parser.add_argument("--minutes", type=int, help="step of generation in place of the documents' own")
+    parser.add_argument("--measure", default="endverbrauchte_energie", help="column of grid and month")
     parser.add_argument("--open-week", type=int, help="started week of grid")
+    parser.add_argument("--start", help="first time of month")
+    parser.add_argument("--end", help="last time of month")
+    parser.add_argument("--history-before", help="end of the earlier years of month")
+    parser.add_argument("--dated", action="store_true", help="routes lie in folders named by their day")
+    return parser
+
+
+def main(arguments: Sequence[str] | None = None, spark: SparkSession | None = None) -> None:
+    parser = arguments_parser()
     given = parser.parse_args(arguments)
-    spark = spark or recommend(SparkSession.builder.appName(f"wattfolio {given.job}")).getOrCreate()
+
+    def needed(*names: str) -> list:
+        values = [getattr(given, n) for n in names]
+        if None in values:
+            parser.error(f"{given.job} needs " + " and ".join("--" + n.replace("_", "-") for n in names))
+        return values
 
     def seasonal() -> tuple[SeasonSpan, str]:
-        if given.year is None or given.as_of is None:
-            parser.error(f"{given.job} needs --year and --as-of")
-        return SeasonSpan(curr_year=given.year), given.as_of
+        year, as_of = needed("year", "as_of")
+        return SeasonSpan(curr_year=year), as_of
 
+    spark = spark or recommend(SparkSession.builder.appName(f"wattfolio {given.job}")).getOrCreate()
     if given.job == "gas":
-        run_gas(spark, given.input, given.output, *seasonal(), given.second_input, given.mode or "fail")
+        offset = Offset(given.offset_total, given.offset_year, given.offset_start)
+        run_gas(
+            spark, given.input, given.output, *seasonal(), given.second_input, given.mode or "fail",
+            not given.unchecked_history, offset,
+        )
     elif given.job == "storage":
         run_storage(
-            spark, given.input, given.output, *seasonal(), given.mode or "reference",
-            store=given.store, year=given.renew_year,
+            spark, given.input, given.output, *seasonal(), given.mode or "reference", not given.some_pages,
+            given.store, given.renew_year, [c for c in given.countries.split(",") if c],
         )
     elif given.job == "generation":
-        run_generation(spark, given.input, given.output, *seasonal())
+        run_generation(spark, given.input, given.output, *seasonal(), given.zone, given.minutes)
     elif given.job == "national-use":
-        if given.second_input is None:
-            parser.error("national-use needs --second-input")
-        run_national_use(spark, given.input, given.second_input, given.output)
+        run_national_use(spark, given.input, *needed("second_input"), given.output)
     elif given.job == "grid":
-        span, as_of = seasonal()
-        run_grid(spark, given.input, given.output, span, as_of, open_week=given.open_week)
+        run_grid(spark, given.input, given.output, *seasonal(), given.measure, given.open_week)
+    elif given.job == "month":
+        run_month(spark, given.input, given.output, *needed("start", "end", "history_before"), given.measure)
     elif given.job == "routes":
-        run_routes(spark, given.input, given.output)
+        run_routes(spark, given.input, given.output, given.dated)
     else:
         run_links(spark.read.parquet(given.input), given.output)

@@ -25,11 +25,11 @@ FINAL_SCHEMA = _record(fixed.FINAL_USE_NAMES)
 
 
 def read_national_use(spark: SparkSession, path: str) -> DataFrame:
-    """An object with an ``entries`` array."""
+    """An object with an ``entries`` array. One task reads a whole file, so files must stay small."""
     raw = spark.read.schema(NATIONAL_SCHEMA).option("multiLine", True).json(path, mode="FAILFAST")
     return raw.select(F.explode("entries").alias("e")).select("e.*")
 
 
 def read_final_use(spark: SparkSession, path: str) -> DataFrame:
-    """A top-level array; each element is a row."""
+    """A top-level array; each element is a row. One task reads a whole file, so files must stay small."""
     return spark.read.schema(FINAL_SCHEMA).option("multiLine", True).json(path, mode="FAILFAST")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -52,5 +54,15 @@ def levels(pages: DataFrame, lenient: bool = False) -> DataFrame:
     )
 
 
-def completeness(pages: DataFrame) -> DataFrame:
-    return page_completeness(pages, "page", "last_page", ["country"])
+def completeness(pages: DataFrame, countries: Sequence[str] = ()) -> DataFrame:
+    """Whether all pages of each country have landed; one of ``countries`` without any page has not."""
+    report = page_completeness(pages, "page", "last_page", ["country"])
+    if not countries:
+        return report
+    expected = pages.sparkSession.createDataFrame([(c,) for c in countries], "country string")
+    return report.join(expected, "country", "full").select(
+        "country",
+        F.coalesce("pages", F.lit(0)).alias("pages"),
+        "last_page",
+        F.coalesce("complete", F.lit(False)).alias("complete"),
+    )
