@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wattfolio.llm import (
@@ -185,6 +186,23 @@ def test_top_k_against_all_products(vectors, block_rows):
     assert topk.top_k(vectors.limit(0)).count() == 0
 
 
+def test_blocks_go_to_the_queries_that_still_ask(spark):
+    rng = np.random.default_rng(9)
+    rows = [(i, (rng.normal(size=6) * 0.97**i).tolist()) for i in range(400)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ints = np.floor(64 * np.array([x for _, x in rows])).astype(np.int64)
+    want = Counter()
+    for i in range(0, 400, 2):
+        scores = sorted((-int(ints[i] @ ints[j]), j) for j in range(400) if j != i)
+        want.update((i, k, j, -s) for k, (s, j) in enumerate(scores[:3], 1))
+    got = topk.top_k(frame, every=2, k=3, block_rows=20, query_rows=5)
+    assert Counter(collected(got.select("query_id", "rank", "vec_id", "score"))) == want
+    queries_ = spark.createDataFrame([(i, float(i // 50 * 10), 1.0) for i in range(200)], "row long, beat double, length double")
+    dealt = topk.by_reach(queries_, 20).groupBy("query_block").agg(*(f("beat") for f in (F.min, F.max, F.count))).collect()
+    assert sum(r[3] for r in dealt) == 200 and max(r[3] for r in dealt) < 40
+    assert all(r[2] - r[1] <= 10 for r in dealt)
+
+
 # --- mixing and packing
 
 

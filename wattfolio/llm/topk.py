@@ -2,7 +2,9 @@
 
 Candidates are dealt into blocks by descending length. All queries meet the longest
 block first, which gives each a score to beat; a later block is read for a query only
-if the product of lengths can reach that score. Within a block the candidates are taken
+if the product of lengths can reach that score. Queries that give up at about the same
+length of candidates stand together, so that a block is sent to those groups of queries
+alone that still ask for it. Within a block the candidates are taken
 by descending length, in the basis of the block's singular vectors: the inner product of
 the leading coordinates plus the product of the residual lengths bounds the score, and
 only pairs whose bound reaches the score to beat get their exact integer product.
@@ -23,6 +25,8 @@ from wattfolio.llm.vectors import matrix, usable
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
 CHUNK = 1024
+# Groups that the queries are dealt into by the length at which they give up.
+GROUPS = 64
 # Integers up to this size, and their sums, are exact in double precision.
 EXACT = 2.0**53
 LEADING = 0.9
@@ -91,6 +95,25 @@ def search(
     return best
 
 
+def by_reach(queries: DataFrame, n_blocks: int) -> DataFrame:
+    """Queries with a new ``query_block``: those of one block give up at about the same length of candidates.
+
+    A query is done with candidates shorter than its score to beat over its length.
+    Equal ones that fill several groups are spread over these by a hash.
+    """
+    reach = F.coalesce(F.try_divide("beat", "length"), F.lit(float("-inf")))
+    groups = min(GROUPS, n_blocks)
+    inner = [i / groups for i in range(1, groups)]
+    bounds = queries.agg(F.percentile_approx(reach, F.array(*map(F.lit, inner)), 1000)).first()[0] if inner else None
+    bounds = F.array(*map(F.lit, bounds or [])).cast("array<double>")
+    below, up_to = (F.size(F.filter(bounds, f)) for f in (lambda x: x < reach, lambda x: x <= reach))
+    spread = F.xxhash64("row")
+    group = below + F.pmod(spread, (up_to - below + 1).cast("long"))
+    each = -(-n_blocks // groups)
+    within = F.pmod(F.xxhash64("row", F.lit("block")), F.lit(each))
+    return queries.withColumn("query_block", group * each + within)
+
+
 def top_k(
     vectors: DataFrame,
     every: int = 20,
@@ -137,10 +160,9 @@ def top_k(
                     ["row", "query_id", "vec_id", "score"],
                 )
 
-    def meet(asked: DataFrame, blocks: DataFrame) -> DataFrame:
+    def meet(asked: DataFrame) -> DataFrame:
         """Best candidates of the queries in the blocks; asked has a block for each row."""
-        numbers = F.sequence(F.lit(0), F.lit(n_query_blocks - 1))
-        offered = base.join(blocks, ["dim", "block"], "left_semi").select("*", F.explode(numbers).alias("query_block"))
+        offered = base.join(asked.select(*keys).distinct(), ["dim", "block"])
         columns = [*keys, "row", "vec_id", "x", "length"]
         both = asked.select(*columns, F.lit(0).alias("side"), "beat").unionAll(
             offered.select(*columns, F.lit(1).alias("side"), F.lit(0.0).alias("beat"))
@@ -149,18 +171,13 @@ def top_k(
         return sorted_.mapInArrow(run, "row long, query_id long, vec_id long, score long")
 
     at_first = queries.drop("block").join(first, "dim").withColumnRenamed("first", "block")
-    lead = cut(
-        meet(
-            at_first.withColumn("beat", F.lit(float("-inf"))),
-            first.withColumnRenamed("first", "block"),
-        )
-    )
+    lead = cut(meet(at_first.withColumn("beat", F.lit(float("-inf")))))
     kth = lead.groupBy("row").agg(F.count("score").alias("n"), F.min("score").alias("least"))
     beat = F.coalesce(F.when(F.col("n") >= k, F.col("least")).cast("double"), F.lit(float("-inf")))
     later = blocks.join(first, "dim").where("block <> first").select("dim", "block", "longest")
-    asked = queries.drop("block").join(kth, "row", "left").withColumn("beat", beat).join(later, "dim")
-    asked = asked.where(F.col("length") * F.col("longest") * (1 + 1e-9) >= F.col("beat"))
-    found = lead.unionAll(meet(asked, later))
+    held = by_reach(queries.drop("block").join(kth, "row", "left").withColumn("beat", beat), n_query_blocks)
+    asked = held.join(later, "dim").where(F.col("length") * F.col("longest") * (1 + 1e-9) >= F.col("beat"))
+    found = lead.unionAll(meet(asked))
     best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
