@@ -1,6 +1,7 @@
 """Exact top-k by inner product: vectors by descending length, rotated partial sums, residual bounds.
 
-Candidates are dealt into blocks by descending length. All queries meet the longest
+Equal vectors are one node, which is searched and found once; the ids of its copies are
+put in at the end, the k + 1 smallest of each, as no answer needs more. Nodes are dealt into blocks by descending length. All queries meet the longest
 block first, which gives each a score to beat; a later block is read for a query only
 if the product of lengths can reach that score. Queries that give up at about the same
 length of candidates stand together, so that a block is sent to those groups of queries
@@ -65,7 +66,7 @@ class Best:
 
 
 def search(
-    q: np.ndarray, q_row: np.ndarray, beat: np.ndarray, c: np.ndarray, c_id: np.ndarray, c_row: np.ndarray, k: int
+    q: np.ndarray, beat: np.ndarray, c: np.ndarray, c_id: np.ndarray, c_row: np.ndarray, k: int
 ) -> Best:
     """Candidates come by descending length."""
     qf, cf = q.astype(np.float64), c.astype(np.float64)
@@ -89,7 +90,7 @@ def search(
         if not len(live):
             continue
         scores = products(q[live], c[part])
-        i, j = np.nonzero(open_ & (scores >= best.beat[live, None]) & (q_row[live, None] != c_row[None, part]))
+        i, j = np.nonzero(open_ & (scores >= best.beat[live, None]))
         # of one chunk at most k of a query can stay
         best.add(live[i], scores[i, j], c_id[part][j], c_row[part][j])
     return best
@@ -132,13 +133,20 @@ def top_k(
     """
     rows = vectors.where(usable(F.col("embedding")) & F.col("vec_id").isNotNull())
     rows = rows.select(F.col("vec_id").cast("long").alias("vec_id"), integers("embedding", scale).alias("x"))
-    length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
-    rows = rows.select("vec_id", "x", F.size("x").alias("dim"), length.alias("length"))
-    n, n_query = rows.agg(F.count("vec_id"), F.count_if(F.col("vec_id") % every == 0)).first()
+    is_query = F.col("vec_id") % every == 0
+    n, n_query = rows.agg(F.count("vec_id"), F.count_if(is_query)).first()
     n_blocks, n_query_blocks = max(1, -(-n // block_rows)), max(1, -(-n_query // query_rows))
-    dealt = rows.repartitionByRange(n_blocks, F.col("dim"), F.desc("length"), F.col("vec_id"))
+    asking = rows.where(is_query).select("x").distinct().withColumn("asks", F.lit(True))
+    copies = Window.partitionBy("x").orderBy("vec_id")
+    nodes = rows.withColumn("nth", F.row_number().over(copies)).where(F.col("nth") <= k + 1)
+    nodes = nodes.groupBy("x").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).join(asking, "x", "left")
+    length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
+    nodes = nodes.select(
+        F.col("ids")[0].alias("vec_id"), "x", F.size("x").alias("dim"), length.alias("length"), "ids", F.coalesce("asks", F.lit(False)).alias("asks")
+    )
+    dealt = nodes.repartitionByRange(n_blocks, F.col("dim"), F.desc("length"), F.col("vec_id"))
     base = cut(dealt.select("*", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("row")))
-    queries = base.where(F.col("vec_id") % every == 0)
+    queries = base.where("asks").drop("ids")
     queries = queries.withColumn("query_block", F.pmod(F.xxhash64("row"), F.lit(n_query_blocks)))
     blocks = base.groupBy("dim", "block").agg(F.max("length").alias("longest"))
     first = blocks.groupBy("dim").agg(F.min("block").alias("first"))
@@ -153,11 +161,10 @@ def top_k(
                     continue
                 dim = int(part.column("dim")[int(a)].as_py())
                 x = matrix(part.column("x").slice(a, b - a), dim)
-                best = search(x[: edge - a], row[a:edge], beat[a:edge], x[edge - a :], vec[edge:b], row[edge:b], k)
-                query, score, found, _ = best.rows
+                best = search(x[: edge - a], beat[a:edge], x[edge - a :], vec[edge:b], row[edge:b], k + 1)
+                query, score, least, found = best.rows
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(y) for y in (row[a:edge][query], vec[a:edge][query], found, score)],
-                    ["row", "query_id", "vec_id", "score"],
+                    [pa.array(y) for y in (row[a:edge][query], found, least, score)], ["row", "found", "least", "score"]
                 )
 
     def meet(asked: DataFrame) -> DataFrame:
@@ -168,16 +175,29 @@ def top_k(
             offered.select(*columns, F.lit(1).alias("side"), F.lit(0.0).alias("beat"))
         )
         sorted_ = both.repartition(*keys).sortWithinPartitions(*keys, "side", F.desc("length"), "row")
-        return sorted_.mapInArrow(run, "row long, query_id long, vec_id long, score long")
+        return sorted_.mapInArrow(run, "row long, found long, least long, score long")
 
     at_first = queries.drop("block").join(first, "dim").withColumnRenamed("first", "block")
     lead = cut(meet(at_first.withColumn("beat", F.lit(float("-inf")))))
     kth = lead.groupBy("row").agg(F.count("score").alias("n"), F.min("score").alias("least"))
-    beat = F.coalesce(F.when(F.col("n") >= k, F.col("least")).cast("double"), F.lit(float("-inf")))
+    beat = F.coalesce(F.when(F.col("n") > k, F.col("least")).cast("double"), F.lit(float("-inf")))
     later = blocks.join(first, "dim").where("block <> first").select("dim", "block", "longest")
     held = by_reach(queries.drop("block").join(kth, "row", "left").withColumn("beat", beat), n_query_blocks)
     asked = held.join(later, "dim").where(F.col("length") * F.col("longest") * (1 + 1e-9) >= F.col("beat"))
     found = lead.unionAll(meet(asked))
-    best = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
-    ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select("query_id", "rank", "vec_id", "score")
+    by_node = Window.partitionBy("row").orderBy(F.desc("score"), "least")
+    nearest = found.withColumn("nth", F.row_number().over(by_node)).where(F.col("nth") <= k + 1)
+    ids = base.select(F.col("row").alias("found"), "ids")
+    each = nearest.join(ids, "found").select("row", "found", "score", F.explode("ids").alias("vec_id"))
+    by_copy = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id", "found")
+    each = each.withColumn("nth", F.row_number().over(by_copy)).where(F.col("nth") <= k + 1)
+    best = F.sort_array(F.collect_list(F.struct("nth", "vec_id", "score", "found"))).alias("best")
+    answers = each.groupBy("row").agg(best).join(base.where("asks").select("row", "x"), "row")
+    # a query is left out of its own answer, once
+    own = F.transform("best", lambda b: (b["vec_id"] == F.col("query_id")) & (b["found"] == F.col("row")))
+    asked = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "x").join(answers, "x")
+    others = F.filter("best", lambda b, i: i + 1 != F.col("own"))
+    ranked = asked.withColumn("own", F.array_position(own, True)).select(
+        "query_id", F.posexplode(F.slice(others, 1, k)).alias("at", "b")
+    )
+    return ranked.select("query_id", (F.col("at") + 1).alias("rank"), "b.vec_id", "b.score")
