@@ -1,14 +1,15 @@
 """Exact top-k by inner product: vectors by descending length, rotated partial sums, residual bounds.
 
 Equal vectors are one node, which is searched and found once; the ids of its copies are
-put in at the end, the k + 1 smallest of each, as no answer needs more. Nodes are dealt into blocks by descending length. All queries meet the longest
-block first, which gives each a score to beat; a later block is read for a query only
-if the product of lengths can reach that score. Queries that give up at about the same
-length of candidates stand together, so that a block is sent to those groups of queries
-alone that still ask for it. Within a block the candidates are taken
-by descending length, in the basis of the block's singular vectors: the inner product of
-the leading coordinates plus the product of the residual lengths bounds the score, and
-only pairs whose bound reaches the score to beat get their exact integer product.
+put in at the end, the k + 1 smallest of each, as no answer needs more. Nodes are dealt
+into blocks by descending length. All queries meet the longest block first, which gives
+each a score to beat, then in rounds some times as many blocks as before, with the score
+risen in between; a block is read for a query only if the product of lengths can reach
+that score. Queries that give up at about the same length of candidates stand together,
+so that a block is sent to those groups of queries alone that still ask for it. Within a
+block the candidates are taken by descending length, in the basis of the block's singular
+vectors: the inner product of the leading coordinates plus the product of the residual
+lengths bounds the score, and only pairs whose bound reaches the score to beat get their exact integer product.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from wattfolio.llm.vectors import matrix, usable
 BLOCK_ROWS = 8192
 QUERY_ROWS = 2048
 CHUNK = 1024
+# Blocks of a round, as a multiple of those before.
+GROWTH = 8
 # Groups that the queries are dealt into by the length at which they give up.
 GROUPS = 64
 # Integers up to this size, and their sums, are exact in double precision.
@@ -142,14 +145,17 @@ def top_k(
     nodes = nodes.groupBy("x").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).join(asking, "x", "left")
     length = F.sqrt(F.aggregate("x", F.lit(0.0), lambda s, x: s + x.cast("double") * x.cast("double")))
     nodes = nodes.select(
-        F.col("ids")[0].alias("vec_id"), "x", F.size("x").alias("dim"), length.alias("length"), "ids", F.coalesce("asks", F.lit(False)).alias("asks")
-    )
+        F.col("ids")[0].alias("vec_id"), "x", F.size("x").alias("dim"), length.alias("length"), "ids",
+        F.coalesce("asks", F.lit(False)).alias("asks"),
+    )
     dealt = nodes.repartitionByRange(n_blocks, F.col("dim"), F.desc("length"), F.col("vec_id"))
     base = cut(dealt.select("*", F.spark_partition_id().alias("block"), F.monotonically_increasing_id().alias("row")))
-    queries = base.where("asks").drop("ids")
+    queries = base.where("asks").drop("ids", "block")
     queries = queries.withColumn("query_block", F.pmod(F.xxhash64("row"), F.lit(n_query_blocks)))
-    blocks = base.groupBy("dim", "block").agg(F.max("length").alias("longest"))
-    first = blocks.groupBy("dim").agg(F.min("block").alias("first"))
+    place = F.row_number().over(Window.partitionBy("dim").orderBy("block")) - 1
+    blocks = base.groupBy("dim", "block").agg(F.max("length").alias("longest")).withColumn("place", place)
+    last = blocks.agg(F.max("place")).first()[0] or 0
+    by_node = Window.partitionBy("row").orderBy(F.desc("score"), "least")
     keys = ["dim", "block", "query_block"]
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,18 +183,23 @@ def top_k(
         sorted_ = both.repartition(*keys).sortWithinPartitions(*keys, "side", F.desc("length"), "row")
         return sorted_.mapInArrow(run, "row long, found long, least long, score long")
 
-    at_first = queries.drop("block").join(first, "dim").withColumnRenamed("first", "block")
-    lead = cut(meet(at_first.withColumn("beat", F.lit(float("-inf")))))
-    kth = lead.groupBy("row").agg(F.count("score").alias("n"), F.min("score").alias("least"))
-    beat = F.coalesce(F.when(F.col("n") > k, F.col("least")).cast("double"), F.lit(float("-inf")))
-    later = blocks.join(first, "dim").where("block <> first").select("dim", "block", "longest")
-    held = by_reach(queries.drop("block").join(kth, "row", "left").withColumn("beat", beat), n_query_blocks)
-    asked = held.join(later, "dim").where(F.col("length") * F.col("longest") * (1 + 1e-9) >= F.col("beat"))
-    found = lead.unionAll(meet(asked))
-    by_node = Window.partitionBy("row").orderBy(F.desc("score"), "least")
-    nearest = found.withColumn("nth", F.row_number().over(by_node)).where(F.col("nth") <= k + 1)
+    found, low, high = None, 0, 1
+    while low <= last:
+        here = blocks.where(F.col("place").between(low, high - 1)).drop("place")
+        if found is None:
+            held = queries.withColumn("beat", F.lit(float("-inf")))
+        else:
+            kth = found.groupBy("row").agg(F.count("score").alias("n"), F.min("score").alias("worst"))
+            beat = F.coalesce(F.when(F.col("n") > k, F.col("worst")).cast("double"), F.lit(float("-inf")))
+            held = by_reach(queries.join(kth, "row", "left").withColumn("beat", beat), n_query_blocks)
+        asked = held.join(here, "dim").where(F.col("length") * F.col("longest") * (1 + 1e-9) >= F.col("beat"))
+        new = meet(asked)
+        if found is not None:
+            new = found.unionAll(new).withColumn("nth", F.row_number().over(by_node)).where(F.col("nth") <= k + 1).drop("nth")
+        found = cut(new)
+        low, high = high, high * GROWTH
     ids = base.select(F.col("row").alias("found"), "ids")
-    each = nearest.join(ids, "found").select("row", "found", "score", F.explode("ids").alias("vec_id"))
+    each = found.join(ids, "found").select("row", "found", "score", F.explode("ids").alias("vec_id"))
     by_copy = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id", "found")
     each = each.withColumn("nth", F.row_number().over(by_copy)).where(F.col("nth") <= k + 1)
     best = F.sort_array(F.collect_list(F.struct("nth", "vec_id", "score", "found"))).alias("best")
