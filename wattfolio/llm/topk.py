@@ -9,7 +9,8 @@ that score. Queries that give up at about the same length of candidates stand to
 so that a block is sent to those groups of queries alone that still ask for it. Within a
 block the candidates are taken by descending length, in the basis of the block's singular
 vectors: the inner product of the leading coordinates plus the product of the residual
-lengths bounds the score, and only pairs whose bound reaches the score to beat get their exact integer product.
+lengths bounds the score, and only pairs whose bound reaches the score to beat get their
+exact integer product.
 """
 
 from __future__ import annotations
