@@ -325,6 +325,30 @@ def test_license_votes(spark, edge):
     assert licenses.scan(edge.limit(0)).count() == 0
 
 
+def test_short_license_notices(spark):
+    cases = {
+        "This work is licensed under the GNU General Public License, version 3.": "gpl",
+        "under the terms of the GNU General Public License v2": "gpl",
+        "under the GNU Lesser General Public License, version 3": "lgpl",
+        "under the GNU Affero General Public License, version 3": "agpl",
+        "SPDX-License-Identifier: GPL-3.0-or-later": "gpl",
+        "Released under the BSD license.": "bsd",
+        "Under the 3-clause BSD license": "bsd",
+        "SPDX-License-Identifier: BSD-3-Clause": "bsd",
+        "under the Mozilla Public License, version 1.1": "mpl",
+        "under the Mozilla Public License 2.0": "mpl,mpl-2",
+        "SPDX-License-Identifier: MPL-2.0": "mpl-2",
+        "under the Apache License 2.0": "apache-2",
+        "SPDX-License-Identifier: Apache-2.0": "apache-2",
+        "SPDX-License-Identifier: MIT": "mit",
+        "under the general public license 2.0 of the city": "",
+    }
+    docs = spark.createDataFrame(list(enumerate(cases)), "doc_id long, text string")
+    got = {r.doc_id: r for r in licenses.scan(docs).collect()}
+    assert {t: got[i].labels for i, t in enumerate(cases)} == cases
+    assert {r.n_base for r in got.values()} == {0}
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE))
 def test_queries_equal_their_sql(spark, oracle_tables, name):
     folder, connection = oracle_tables

@@ -56,6 +56,24 @@ TEMPLATES = (
     ),
     Template("mpl-2", "this source code form is subject to the terms of the mozilla public license v 2 0"),
     Template("cc-by-nc", "licensed under a creative commons attribution noncommercial 4 0 international license"),
+    # Short notices. They are chosen so that COVERED of one is not met by another license: a lesser or affero
+    # license is no gpl, and public licenses of equal version are told apart.
+    Template("gpl", "the gnu general public license"),
+    Template("gpl", "under the gpl"),
+    Template("gpl", "gpl 2 0"),
+    Template("gpl", "gpl 3 0"),
+    Template("lgpl", "the gnu lesser general public license"),
+    Template("agpl", "the gnu affero general public license"),
+    Template("bsd", "the bsd license"),
+    Template("bsd", "2 clause bsd license"),
+    Template("bsd", "bsd 2 clause license"),
+    Template("bsd", "bsd 3 clause license"),
+    Template("mpl", "mozilla public license"),
+    Template("mpl-2", "the mozilla public license 2 0"),
+    Template("mpl-2", "mpl 2 0"),
+    Template("apache-2", "the apache license 2 0"),
+    Template("apache-2", "license identifier apache 2 0"),
+    Template("mit", "license identifier mit"),
 )
 
 
