@@ -19,6 +19,7 @@ from wattfolio.llm import (
     mixing,
     packing,
     queries,
+    sampling,
     secret_scan,
     simhash,
     suffix_dedup,
@@ -373,6 +374,21 @@ def oracle_tables():
 # --- models
 
 
+def test_sample_takes_copies_once(spark):
+    """A text of many copies, the one that is drawn first, neither fills the sample nor lowers its language's share."""
+    rows = [(f"{lang} {i}", lang) for lang in "abc" for i in range(200)]
+    frame = spark.createDataFrame(rows, "text string, lang string")
+    spot = F.pmod(F.xxhash64("text", "lang"), F.lit(1 << 30))
+    common = frame.where("lang = 'a'").orderBy(spot).first()
+    many = spark.createDataFrame([tuple(common)] * 5000 + rows, frame.schema)
+    got = sampling.labelled_sample(many, "lang", 50)
+    assert (got["text"] == common.text).sum() == 1
+    assert got.groupby("lang").size().between(30, 100).all() and set(got["lang"]) == set("abc")
+    assert got.equals(sampling.labelled_sample(frame.repartition(7, "text"), "lang", 50))
+    least = sampling.labelled_sample(many, "lang", 1)
+    assert len(sampling.labelled_sample(many, "lang", 5000)) == 600 and least.groupby("lang").size().le(2).all()
+
+
 def test_language_of_held_out_documents(spark, edge):
     folder = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{folder}/documents.parquet")
