@@ -7,6 +7,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -431,6 +432,27 @@ def test_toxicity_of_held_out_and_disguised_words(spark, edge):
     assert toxicity.without_toxic(edge, None).count() == edge.count()
 
 
+def test_insults_in_a_rare_script(monkeypatch):
+    """More than 62 letters are more frequent than those of the insults and of the clean words beside them."""
+    rng = random.Random(2)
+    common = [chr(c) for a, n in ((0x61, 26), (0x3B1, 17), (0x430, 32), (0x561, 38)) for c in range(a, a + n)]
+    rare = [chr(c) for c in range(0x10D0, 0x10F1)]
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(7))
+    insults, clean = [word(rare) for _ in range(2)], [word(rare) for _ in range(40)]
+    rows = []
+    for i in range(600):
+        words = [word(common) for _ in range(30)] + rng.sample(clean, 2) + ([rng.choice(insults)] if i % 4 == 0 else [])
+        rows.append((" ".join(rng.sample(words, len(words))), int(i % 4 == 0)))
+    model = toxicity.train(pd.DataFrame(rows, columns=["text", "toxic"]), 0.25)
+    assert (model.probabilities(insults) >= 0.5).all()
+    assert (model.probabilities(clean) < 0.5).mean() >= 0.9
+    dense = toxicity.machine([*insults, "abc"], np.array([1.0, 0.5, -0.3]), -0.1)
+    monkeypatch.setattr(toxicity, "TABLE", 0)
+    sparse = toxicity.machine([*insults, "abc"], np.array([1.0, 0.5, -0.3]), -0.1)
+    assert dense.known is None and sparse.known is not None
+    assert np.array_equal(dense.evidence([t for t, _ in rows]), sparse.evidence([t for t, _ in rows]))
+
+
 # --- pipeline
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -30,9 +30,11 @@ from wattfolio.llm.codes import joined, letters, spaces
 from wattfolio.llm.common import fold, text_slices
 from wattfolio.llm.sampling import labelled_sample
 
-# Letters told apart (0 stands for all others, the last for the start of a word), steps between letters, weight of a skipped letter.
-LETTERS = 64
-START = LETTERS - 1
+# All letters are told apart: code points, and one more number for the start of a word.
+START = 0x110000
+# Entries of a weight table that holds every subsequence of its letters; a larger one holds those of landmarks alone.
+TABLE = 1 << 22
+# Steps between letters, weight of a skipped letter.
 STEPS = (1, 2, 3)
 DECAY = 0.5
 # Share of words that counts as none.
@@ -57,14 +59,14 @@ def word_letters(codes: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.
     return codes[keep], head[~follows], text[~follows]
 
 
-def subsequences(x: np.ndarray, word: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
+def subsequences(x: np.ndarray, word: np.ndarray, base: int = START + 1) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """(first letter's place, subsequence number, weight) for each way to step through a word."""
     for a in STEPS:
         for b in STEPS:
             s = a + b
             if len(x) > s:
                 at = np.flatnonzero(word[s:] == word[:-s])
-                yield at, (x[at] * LETTERS + x[at + a]) * LETTERS + x[at + s], DECAY ** (s - 2)
+                yield at, (x[at] * base + x[at + a]) * base + x[at + s], DECAY ** (s - 2)
 
 
 def lengths(sizes: np.ndarray) -> np.ndarray:
@@ -76,33 +78,42 @@ def lengths(sizes: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(total, 1.0))
 
 
-def marked(x: np.ndarray, head: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Letter numbers with START before each word; word of each letter, start and size of each word."""
+def marked(x: np.ndarray, head: np.ndarray, start: int = START) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Letter numbers with ``start`` before each word; word of each letter, start and size of each word."""
     head = head + np.arange(len(head))
-    x = np.insert(x, head - np.arange(len(head)), START)
+    x = np.insert(x, head - np.arange(len(head)), start)
     sizes = np.diff(np.append(head, len(x)))
     return x, np.repeat(np.arange(len(head), dtype=np.int32), sizes), head, sizes
 
 
 @dataclass(frozen=True)
 class Model:
-    """alphabet: number of each code point; weights: of each subsequence; curve: evidence to probability."""
+    """alphabet: number of each code point of the landmarks, 0 for all others, which no landmark has; base: of
+    subsequence numbers; weights: of each subsequence, or of those in ``known``; curve: evidence to probability."""
 
     alphabet: np.ndarray
+    base: int
     weights: np.ndarray
     bias: float
+    known: np.ndarray | None = None
     curve: tuple[float, ...] = (1.0, 0.0, 0.0)
 
+    def gains(self, number: np.ndarray) -> np.ndarray:
+        if self.known is None:
+            return self.weights[number]
+        spot = np.minimum(np.searchsorted(self.known, number), len(self.known) - 1)
+        return np.where(self.known[spot] == number, self.weights[spot], np.float32(0))
+
     def evidence(self, texts: list[str | None]) -> np.ndarray:
         """For each text the margin of its strongest word, and the logarithm of the share of words on the toxic side."""
         codes, starts = joined(texts)
         x, head, text = word_letters(codes, starts)
         most, share = np.full(len(texts), self.bias), np.zeros(len(texts))
         if len(head):
-            x, word, head, sizes = marked(self.alphabet[x], head)
+            x, word, head, sizes = marked(self.alphabet[x], head, self.base - 1)
             gain = np.zeros(len(x), dtype=np.float32)
-            for at, number, weight in subsequences(x, word):
-                gain[at] += self.weights[number] * np.float32(weight)
+            for at, number, weight in subsequences(x, word, self.base):
+                gain[at] += self.gains(number) * np.float32(weight)
             words = np.add.reduceat(gain, head) / lengths(sizes) + self.bias
             first = np.flatnonzero(np.diff(text, prepend=-1))
             most[text[first]] = np.maximum.reduceat(words, first)
@@ -122,12 +133,15 @@ def words_of(text: str) -> list[str]:
     return [whole[a:b] for a, b in zip(head, [*head[1:], len(x)], strict=True)]
 
 
-def kernel(words: list[str], landmarks: list[str], alphabet: np.ndarray) -> np.ndarray:
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), dtype=np.uint32).astype(np.int64)
+
+
+def kernel(words: list[str], landmarks: list[str]) -> np.ndarray:
     """Normed kernel of each word with each landmark."""
 
     def sparse(some: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        x = alphabet[np.frombuffer("".join(some).encode("utf-32-le"), dtype=np.uint32)]
-        x, word, _, sizes = marked(x, np.cumsum([0, *map(len, some[:-1])]))
+        x, word, _, sizes = marked(code_points("".join(some)), np.cumsum([0, *map(len, some[:-1])]))
         parts = [(word[at], number, np.full(len(at), weight)) for at, number, weight in subsequences(x, word)]
         return *(np.concatenate(y) for y in zip(*parts, strict=True)), lengths(sizes)
 
@@ -175,11 +189,7 @@ def train(sample: pd.DataFrame, prior: float = 0.5, landmarks: int = 144, turns:
             (bad if is_toxic else good).update(bag)
             if is_toxic and bag:
                 inside.append(bag)
-    seen = Counter(c for t in sample["text"] for c in t.lower() if c.isalpha())
-    alphabet = np.zeros(0x110000, dtype=np.int32)
-    for i, (c, _) in enumerate(seen.most_common(LETTERS - 2), 1):
-        alphabet[ord(c)] = i
-    flat = Model(alphabet, np.zeros(LETTERS**3, dtype=np.float32), -1.0)
+    flat = Model(np.zeros(START, dtype=np.int32), 2, np.zeros(2**3, dtype=np.float32), -1.0)
     n_bad, n_good = int((toxic & ~held).sum()), int((~toxic & ~held).sum())
     if not bad or not good:
         return flat
@@ -194,20 +204,20 @@ def train(sample: pd.DataFrame, prior: float = 0.5, landmarks: int = 144, turns:
     strength = {w: typical(w) for w in bad}
     chosen: list[str] = []
     for w in sorted(bad, key=lambda w: (-strength[w], w))[: 20 * landmarks]:
-        if len(chosen) < landmarks * 2 // 3 and (not chosen or kernel([w], chosen, alphabet).max() < 0.7):
+        if len(chosen) < landmarks * 2 // 3 and (not chosen or kernel([w], chosen).max() < 0.7):
             chosen.append(w)
     others = sorted(good, key=lambda w: (-good[w], w))
     picked = rng.permutation(len(others))
     chosen += [w for w in (others[i] for i in picked[:landmarks]) if w not in bad][: landmarks - len(chosen)]
-    values, vectors = np.linalg.eigh(kernel(chosen, chosen, alphabet))
+    values, vectors = np.linalg.eigh(kernel(chosen, chosen))
     project = vectors[:, values > 1e-6] / np.sqrt(values[values > 1e-6])
     # counterexamples: the words of most clean documents, and others drawn from the rest
     counter = others[:COUNTER] + [others[i] for i in picked[picked >= COUNTER][:COUNTER]]
     inside = [sorted(b, key=lambda w: -strength[w])[:CANDIDATES] for b in inside]
     pool = sorted({w for b in inside for w in b})
     in_pool = {w: i for i, w in enumerate(pool)}
-    features = kernel(pool, chosen, alphabet) @ project
-    against = kernel(counter, chosen, alphabet) @ project
+    features = kernel(pool, chosen) @ project
+    against = kernel(counter, chosen) @ project
     inside = [np.array([in_pool[w] for w in b]) for b in inside]
     typical_of = np.array([strength[w] for w in pool])
 
@@ -225,19 +235,35 @@ def train(sample: pd.DataFrame, prior: float = 0.5, landmarks: int = 144, turns:
         if not len(witness):
             return flat
     per_landmark = project @ w[:-1]
-    weights = np.zeros(LETTERS**3)
-    for landmark, u in zip(chosen, per_landmark, strict=True):
-        x = alphabet[np.frombuffer(landmark.encode("utf-32-le"), dtype=np.uint32)]
-        x, word, _, sizes = marked(x, np.zeros(1, dtype=np.int64))
-        for _, number, weight in subsequences(x, word):
-            np.add.at(weights, number, u * weight / lengths(sizes)[0])
-    model = Model(alphabet, weights.astype(np.float32), float(w[-1]))
+    model = machine(chosen, per_landmark, float(w[-1]))
     texts = list(sample["text"][held])
     if len(set(toxic[held])) == 2:
-        model = Model(alphabet, model.weights, model.bias, fit_curve(model.evidence(texts), toxic[held], prior))
+        model = replace(model, curve=fit_curve(model.evidence(texts), toxic[held], prior))
     return model
 
 
+def machine(landmarks: list[str], gain: np.ndarray, bias: float) -> Model:
+    """The machine as one weight per subsequence of its landmarks; all other subsequences weigh nothing."""
+    own = np.unique(code_points("".join(landmarks)))
+    base = len(own) + 2
+    alphabet = np.zeros(START, dtype=np.int32 if base**3 <= TABLE else np.int64)
+    alphabet[own] = np.arange(1, len(own) + 1)
+    numbers, amounts = [], []
+    for landmark, u in zip(landmarks, gain, strict=True):
+        x, word, _, sizes = marked(alphabet[code_points(landmark)], np.zeros(1, dtype=np.int64), base - 1)
+        for _, number, weight in subsequences(x, word, base):
+            numbers.append(number)
+            amounts.append(np.full(len(number), u * weight / lengths(sizes)[0]))
+    known, spot = np.unique(np.concatenate(numbers), return_inverse=True)
+    weights = np.zeros(len(known))
+    np.add.at(weights, spot, np.concatenate(amounts))
+    if base**3 > TABLE:
+        return Model(alphabet, base, weights.astype(np.float32), bias, known)
+    table = np.zeros(base**3, dtype=np.float32)
+    table[known] = weights
+    return Model(alphabet, base, table, bias)
+
+
 def fit_curve(evidence: np.ndarray, toxic: np.ndarray, prior: float, rounds: int = 50) -> tuple[float, ...]:
     """Weights and shift of the logistic curve by damped Newton steps; ``prior`` is the share of toxic documents."""
     n = max(toxic.sum(), 1), max((~toxic).sum(), 1)
