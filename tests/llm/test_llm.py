@@ -244,6 +244,21 @@ def test_targets_share_the_excess(spark):
     assert got == pytest.approx({s: 3 * sizes[s] if s in full else unit * weight[s] for s in order})
 
 
+def test_near_copies_share_no_sequence(spark, tmp_path):
+    """Copies in other case, of different sources, beside the same number of other texts."""
+    rng = random.Random(3)
+    texts = [" ".join(f"w{rng.randrange(10**6)}" for _ in range(90)) for _ in range(12)]
+    rows = [(i * 4 + k, t.replace("w", "W", k), f"s{k}", len(t)) for i, t in enumerate(texts) for k in range(4)]
+    rows += [rows[1], (None, texts[0], "s4", None), (None, None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.op2_best_fit_packing(spark, str(tmp_path)).collect()
+    assert len(got) == len(rows) and sum(r.n_words for r in got) == 90 * (len(rows) - 1)
+    held = [(r.bin_id, r.doc_id // 4 if r.doc_id is not None else 0) for r in got if r.bin_id is not None]
+    assert len(set(held)) == len(held)
+    assert len({b for b, _ in held}) < len(held)
+
+
 def test_packing_keeps_all_words_and_conflicts_apart(edge):
     rows = packing.pack(edge, capacity=50, shard_rows=5).collect()
     bins = {}

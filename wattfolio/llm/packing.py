@@ -77,17 +77,25 @@ def pack_shard(size: np.ndarray, source: np.ndarray, cluster: np.ndarray, capaci
     return pairs[:, 0], pairs[:, 1]
 
 
-def pack(docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS) -> DataFrame:
+def pack(
+    docs: DataFrame, capacity: int = CAPACITY, shard_rows: int = SHARD_ROWS, clusters: DataFrame | None = None
+) -> DataFrame:
     """(doc_id, source, piece, first_word, n_words, bin_id, at_word), a row per piece of each row of (doc_id, text, source).
 
     A piece is a run of at most ``capacity`` words of one document; a bin holds at most
     that many words, at most one piece of each source (a null source is one) and of each
-    duplicate cluster (rows of the same text). ``at_word`` is where the piece starts in
+    duplicate cluster. Clusters are given by (doc_id, mark, cluster) as one row or more for
+    each row of ``docs``, ``mark`` being the text's xxhash64, equal rows being equal here; without
+    them, rows of the same text are one. ``at_word`` is where the piece starts in
     its bin. A text that is null or has no words is one piece of no words in no bin
     (bin_id null). Rows that repeat are packed as often; ties go by id and text. An
     empty table gives no rows. Further columns are ignored.
     """
     rows = docs.select("doc_id", "source", words(F.col("text")).alias("size"), F.xxhash64("text").alias("cluster"))
+    if clusters is not None:
+        given = clusters.select(F.col("doc_id").alias("id"), "mark", F.col("cluster").alias("given")).distinct()
+        rows = rows.join(given, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("cluster") == F.col("mark")), "left")
+        rows = rows.select("doc_id", "source", "size", F.coalesce("given", "cluster").alias("cluster"))
     rows = cut(rows.select("*", F.monotonically_increasing_id().alias("row")))
     full = F.expr(f"size div {capacity}")
     piece = F.explode(F.sequence(F.lit(0).cast("long"), full - 1))

@@ -242,8 +242,10 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 @query
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
-    """All documents into sequences of 1024 words."""
-    return packing.pack(table(spark, folder, "documents"), capacity=1024)
+    """All documents into sequences of 1024 words, near copies (three-word shingles, links at 3 bits) apart."""
+    docs = table(spark, folder, "documents")
+    copies = simhash.near_duplicates(docs, shingle=3, max_bits=3).withColumnRenamed("root", "cluster")
+    return packing.pack(docs, capacity=1024, clusters=copies)
 
 
 @query
