@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -41,11 +41,11 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """The same rows written as Parquet below the shared folder, and read again."""
+def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+    """The same rows written as Parquet below the shared folder, in folders ``by`` columns, and read again."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.partitionBy(*by).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def ascii_lower(text: Column) -> Column:
@@ -57,15 +57,15 @@ def fold(doc_id: Column, folds: int = 5) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def text_slices(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about SLICE_BYTES of text, one row at least."""
+def text_slices(batches: Iterable[pa.RecordBatch], text: str = "text", size: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``size`` bytes of text, one row at least."""
     for batch in batches:
         sizes = pc.binary_length(batch.column(text)).fill_null(0).to_numpy(zero_copy_only=False)
         ends = np.cumsum(sizes, dtype=np.int64)
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = max(start + 1, int(np.searchsorted(ends, before + SLICE_BYTES, side="right")))
+            stop = max(start + 1, int(np.searchsorted(ends, before + size, side="right")))
             yield batch.slice(start, stop - start)
             start = stop
 

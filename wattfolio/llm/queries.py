@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from wattfolio.llm import (
     embedding_dedup,
+    exact_dedup,
     language,
     licenses,
     mixing,
     packing,
+    periodic_runs,
+    phrases,
     secret_scan,
     simhash,
     suffix_dedup,
@@ -256,3 +259,82 @@ def op3_suffix_array_dedup(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_bytes", (F.col("n_bytes") - F.octet_length("kept")).cast("long").alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
     )
+
+
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """The documents; those with crc32(doc_id) % 10 = 0 repeat a part of their words from a place on, both given by that number."""
+    parts = docs.select("doc_id", "text", F.crc32(F.col("doc_id").cast("string").cast("binary")).alias("h"))
+    parts = parts.withColumn("w", F.when(F.col("h") % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))))
+    parts = parts.withColumns({"n": F.size("w"), "g": F.floor(F.col("h") / 10)})
+    parts = parts.withColumn("a", F.expr("CASE WHEN n > 0 THEN g % n END"))
+    parts = parts.withColumn("p", F.expr("1 + (n - a) DIV (3 + g % 8)"))
+    again = "flatten(array_repeat(slice(w, cast(a AS INT) + 1, cast(p AS INT)), cast(1 + (n - a) DIV p AS INT)))"
+    made = F.expr(f"array_join(slice(concat(slice(w, 1, cast(a AS INT)), {again}), 1, n), ' ')")
+    return parts.select("doc_id", F.when(F.col("a").isNotNull(), made).otherwise(F.col("text")).alias("text"))
+
+
+@query
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of six words and four periods at least, of all documents with the repeats put in."""
+    found = periodic_runs.collapse(with_repeats(table(spark, folder, "documents")), least=6, times=4)
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r.length.alias("length"), -r.start, -r.period)))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    rows = found.select("doc_id", "runs", "kept", best.alias("best"), lines.alias("lines"))
+    return rows.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), (-F.col("best.col2")).alias("start"), F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"), F.expr("1000 * best.length DIV -best.col3").alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("lines", lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+        F.sha2("kept", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_phrase_collocations(spark: SparkSession, folder: str) -> DataFrame:
+    """Phrases of 2 to 5 words with 100 occurrences, the 2000 best of each language."""
+    return phrases.collocations(table(spark, folder, "documents"), least=100, longest=5, top=2000)
+
+
+ORACLE["op12_phrase_collocations"] = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, sum(len(w))::HUGEINT AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase, w[i:i + size - 1] AS words
+  FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS size))
+),
+f AS (SELECT lang, size, phrase, any_value(words) AS words, count(*)::HUGEINT AS a FROM g GROUP BY lang, size, phrase HAVING count(*) >= 100),
+c AS (SELECT *, unnest(range(1, size)) AS k FROM f WHERE size >= 2),
+s AS (
+  SELECT c.lang, c.phrase, c.a, c.k, l.a AS l, r.a AS r, t.n, 1000 * c.a * t.n // (l.a * r.a) AS score
+  FROM c JOIN f l ON l.lang = c.lang AND l.phrase = array_to_string(c.words[:c.k], ' ')
+  JOIN f r ON r.lang = c.lang AND r.phrase = array_to_string(c.words[c.k + 1:], ' ') JOIN t ON t.lang = c.lang
+),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+o AS (
+  SELECT b.* FROM b WHERE NOT EXISTS (
+    SELECT 1 FROM f x WHERE x.lang = b.lang AND x.a >= b.a AND x.phrase <> b.phrase
+      AND contains(' ' || x.phrase || ' ', ' ' || b.phrase || ' '))
+)
+SELECT lang, rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM o)
+WHERE rank <= 2000
+"""
+
+
+@query
+def op13_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Texts equal after lower-casing A-Z; of equal ones the largest id stays."""
+    return exact_dedup.duplicates(table(spark, folder, "documents"))
+
+
+ORACLE["op13_exact_dedup"] = """
+WITH d AS (
+  SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents
+)
+SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  coalesce(doc_id = max(doc_id) OVER (PARTITION BY t), false) AS kept, sha256(t) AS text_sha256
+FROM d
+"""
