@@ -4,7 +4,7 @@ A text is cut where its content says so: behind the end of a sentence or line, a
 ``least`` code points at least and ``most`` at most. Equal stretches of different texts are
 cut alike, so a chunk that many texts share is moved once a task and kept once. A chunk
 is known by a hash, and that hash is verified: all different chunks come together by
-their whole content, and where several have one hash each gets a number of its own. A
+their whole content, and where several have one hash each gets a number beside it. A
 text's recipe is the ordered list of its chunks' identifiers, and two texts are equal if
 their recipes are. Only recipes are grouped and joined, some hundredths of the texts.
 """
@@ -52,13 +52,13 @@ def duplicates(docs: DataFrame, least: int = LEAST, most: int = MOST, bits: int
 
     different = rows.select(F.explode("chunks").alias("chunk")).distinct()
     different = different.withColumn("h", hashed(F.col("chunk"), bits))
-    shared = different.groupBy("h").agg(F.count("h").alias("n")).where("n > 1").select("h")
-    # only chunks whose hash others have as well are numbered
-    numbers = different.join(shared, "h").withColumn("number", F.row_number().over(W.partitionBy("h").orderBy("chunk")))
-    numbers = stored(numbers, "numbers")
-    rows = rows.select("row", "doc_id", "sha", "hashes", F.lit(None).cast("array<int>").alias("numbers")) if numbers.isEmpty() else (
-        numbered(rows, numbers)
-    )
+    # of the chunks brought together once, only hashes go on; those of several chunks are rare
+    shared = stored(different.groupBy("h").agg(F.count("h").alias("n")).where("n > 1").select("h"), "shared")
+    if shared.isEmpty():
+        rows = rows.select("row", "doc_id", "sha", "hashes", F.lit(None).cast("array<int>").alias("numbers"))
+    else:
+        number = F.row_number().over(W.partitionBy("h").orderBy("chunk"))
+        rows = numbered(rows, different.join(shared, "h").withColumn("number", number))
 
     key = ["hashes", "numbers"]
     part = F.pmod("row", F.lit(PARTS))
