@@ -1,6 +1,5 @@
 """Whole runs from landed files to published files."""
 
-import csv
 import json
 from datetime import date, datetime, timedelta
 from pathlib import Path
@@ -10,7 +9,9 @@ import pytest
 from wattfolio import fixed, jobs
 from wattfolio.session import scratch_folder
 from wattfolio.settings import SeasonSpan
-from wattfolio.sinks import daily_store
+from wattfolio.sinks import daily_store, files
+
+from reading import folder_of, table_of
 
 
 def put(path, text):
@@ -18,14 +19,6 @@ def put(path, text):
     path.write_text(text, encoding="utf-8")
 
 
-def table_of(folder):
-    rows = []
-    for file in sorted(Path(folder).glob("*.csv")):
-        with open(file, newline="", encoding="utf-8") as f:
-            rows.extend(csv.DictReader(f))
-    return rows
-
-
 def days(first, last):
     return [first + timedelta(i) for i in range((last - first).days + 1)]
 
@@ -46,15 +39,15 @@ def test_storage_run(spark, tmp_path):
         jobs.main(arguments, spark)
     storage_file(tmp_path / "in", "de", 2, 2, levels[600:])
     jobs.main(arguments, spark)
-    rows = table_of(f"{out}/data/storage/country=de")
+    rows = table_of(f"{out}/data/storage", "de")
     assert list(rows[0]) == ["date_datawrapper", "2023", "2022", "Mittelwert", "Maximum", "Minimum"]
     assert len(rows) == 365
-    assert rows == table_of(f"{out}/backups/storage/snapshot_date=2023-02-10/country=de")
-    note = table_of(f"{out}/annotations/storage/country=de")[0]
+    assert rows == table_of(f"{out}/backups/storage/snapshot_date=2023-02-10", "de")
+    note = table_of(f"{out}/annotations/storage", "de")[0]
     assert note["title"] == f"Füllstand der deutschen Gasspeicher: <u>{levels[-1][1]},0 Prozent</u> 🇩🇪"
     assert "Datenstand: 10. Februar 2023." in note["note"]
     # the last change of the other series is unknown, so it is held back
-    assert not Path(f"{out}/data/storage/country=fr").exists()
+    assert folder_of(f"{out}/data/storage", "fr") is None
 
 
 def test_storage_run_with_every_series_held_back(spark, tmp_path):
@@ -77,7 +70,7 @@ def test_stored_days_of_one_year(spark, tmp_path):
     new[5] = (new[5][0], 46.5)
     storage_file(tmp_path / "in", "de", 1, 1, new)
     jobs.main([*arguments, "--as-of", "2022-03-02", "--renew-year", "2022"], spark)
-    rows = {r["date_datawrapper"]: r for r in table_of(f"{out}/data/storage/country=de")}
+    rows = {r["date_datawrapper"]: r for r in table_of(f"{out}/data/storage", "de")}
     assert rows["2022-01-06"]["2022"] == "46.5"
     assert rows["2022-03-02"]["2022"] == "41.0"
     assert rows["2022-12-31"]["Maximum"] == str(float(dict(old)[date(2021, 12, 31)]))
@@ -105,14 +98,14 @@ def test_gas_run(spark, tmp_path):
     assert [rows[0]["2021"], rows[6]["2021"] != ""] == ["", True]
     assert [r["date_show"] for r in rows if r["2023"] == ""][0] == "2023-01-31"
     assert table_of(f"{out}/annotations/gas_use")[0]["note"].endswith("zuletzt am 1. Februar 2023.")
-    assert spark.read.parquet(f"{out}/checks/gas_overlaps").count() == 0
+    assert files.read_table(spark, f"{out}/checks/gas_overlaps").count() == 0
     # a day in both is listed; history may have its columns in another order
     again = "value,unit,directionKey,operatorLabel,pointLabel,periodFrom,periodTo\n5,kWh/d,exit,x,Basel,2022-05-01 06:00:00,2022-05-01 06:00:00"
     put(tmp_path / "old" / "direction=import" / "b.csv", again)
     jobs.main(
         ["gas", "--input", str(tmp_path / "new"), "--second-input", str(tmp_path / "old"), "--output", out + "2",
          "--year", "2023", "--as-of", "2023-02-01", "--offset-total", "0", "--unchecked-history"], spark)
-    twice = spark.read.parquet(f"{out}2/checks/gas_overlaps").collect()
+    twice = files.read_table(spark, f"{out}2/checks/gas_overlaps").collect()
     assert [(r.direction, r.point, r.periodFrom, r["rows"]) for r in twice] == [("import", "Basel", datetime(2022, 5, 1, 6), 2)]
     assert float(table_of(f"{out}2/data/gas_use")[10]["2022"]) == pytest.approx(2)
     # a run that fails its unit check leaves the last result in place
@@ -138,12 +131,12 @@ def test_generation_run(spark, tmp_path):
     assert {r["2022"] for r in rows} == {"168.0"}
     assert rows == table_of(f"{out}/backups/generation/snapshot_date=2023-01-02")
     assert table_of(f"{out}/annotations/generation")[0]["last_week"] == "52"
-    assert spark.read.parquet(f"{out}/checks/generation_conflicts").count() == 0
+    assert files.read_table(spark, f"{out}/checks/generation_conflicts").count() == 0
     other = (tmp_path / "in" / "b.xml").read_text().replace("<position>5</position><quantity>1000", "<position>5</position><quantity>7")
     put(tmp_path / "in" / "b.xml", other)
     jobs.main(["generation", "--input", str(tmp_path / "in"), "--output", out, "--year", "2022", "--as-of", "2023-01-02",
                "--zone", "Europe/Paris"], spark)
-    conflicts = spark.read.parquet(f"{out}/checks/generation_conflicts").collect()
+    conflicts = files.read_table(spark, f"{out}/checks/generation_conflicts").collect()
     assert [tuple(r) for r in conflicts] == [(datetime(2021, 1, 4, 5), 2)]
 
 
@@ -174,14 +167,14 @@ def test_grid_routes_and_links_runs(spark, tmp_path):
     assert (table["38"]["2022"], table["39"]["2022"], table["39"]["Mittelwert"]) == ("7.0", "", "7.0")
     put(tmp_path / "routes" / "r.csv", 'week,A_2022\n1,"1,000"\n')
     jobs.main(["routes", "--input", str(tmp_path / "routes"), "--output", out], spark)
-    assert [tuple(r) for r in spark.read.parquet(f"{out}/data/routes").collect()] == [(1, "A", "2022", 1000.0)]
+    assert [tuple(r) for r in files.read_table(spark, f"{out}/data/routes").collect()] == [(1, "A", "2022", 1000.0)]
     put(tmp_path / "dated" / "2023-01-04" / "r.csv", 'week,A_2022\n1,"1,000"\n')
     jobs.main(["routes", "--input", str(tmp_path / "dated" / "*"), "--output", f"{out}/dated", "--dated"], spark)
-    assert [tuple(r) for r in spark.read.parquet(f"{out}/dated/data/routes").collect()] == [(date(2023, 1, 4), 1, "A", "2022", 1000.0)]
+    assert [tuple(r) for r in files.read_table(spark, f"{out}/dated/data/routes").collect()] == [(date(2023, 1, 4), 1, "A", "2022", 1000.0)]
     pages = spark.createDataFrame([(1, "<a title='Download data' href='/z'>")], "id int, html string")
     pages.write.parquet(str(tmp_path / "pages"))
     jobs.main(["links", "--input", str(tmp_path / "pages"), "--output", out], spark)
-    assert [tuple(r) for r in spark.read.parquet(f"{out}/data/links").collect()] == [(1, "/z")]
+    assert [tuple(r) for r in files.read_table(spark, f"{out}/data/links").collect()] == [(1, "/z")]
 
 
 def test_month_run(spark, tmp_path):

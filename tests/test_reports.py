@@ -1,6 +1,5 @@
 """Reports on small rows: invariants, gates, publishing and a plain recomputation."""
 
-import csv
 import random
 from collections import defaultdict
 from datetime import date, datetime, timedelta
@@ -16,6 +15,8 @@ from wattfolio.plans import annotations, gas_balance, generation, month_compare,
 from wattfolio.settings import Offset, SeasonSpan
 from wattfolio.sinks import daily_store, files
 
+from reading import table_of
+
 SPAN = SeasonSpan(curr_year=2023)
 
 
@@ -70,14 +71,6 @@ def test_a_repeated_day_is_an_error(spark, storage_rows):
         storage.storage_report(df, SPAN).collect()
 
 
-def table_of(folder):
-    rows = []
-    for file in sorted(Path(folder).glob("*.csv")):
-        with open(file, newline="", encoding="utf-8") as f:
-            rows.extend(csv.DictReader(f))
-    return rows
-
-
 def test_publish_only_plausible_series(spark, storage_rows, tmp_path):
     backups, current = str(tmp_path / "backups"), str(tmp_path / "data")
     df = spark.createDataFrame(storage_rows, "country string, date date, full double")
@@ -87,15 +80,15 @@ def test_publish_only_plausible_series(spark, storage_rows, tmp_path):
     df = spark.createDataFrame(rows, "country string, date date, full double")
     report = storage.storage_report(df, SPAN, mode="exclude_last")
     storage.publish(report, backups, current, "2023-03-11")
-    assert sorted(p.name for p in Path(backups).glob("snapshot_date=2023-03-10/*")) == ["country=de", "country=fr"]
-    assert sorted(p.name for p in Path(backups).glob("snapshot_date=2023-03-11/*")) == ["country=fr"]
-    rows = table_of(f"{backups}/snapshot_date=2023-03-10/country=de")
+    assert sorted(p.name for p in Path(backups).glob("snapshot_date=2023-03-10/versions/*/c*")) == ["country=de", "country=fr"]
+    assert sorted(p.name for p in Path(backups).glob("snapshot_date=2023-03-11/versions/*/c*")) == ["country=fr"]
+    rows = table_of(f"{backups}/snapshot_date=2023-03-10", "de")
     assert list(rows[0]) == ["date_datawrapper", "2023", "2022", "Mittelwert", "Maximum", "Minimum"]
     keys = [r["date_datawrapper"] for r in rows]
     assert keys == sorted(set(keys)) and len(keys) == 365
     assert rows[-1]["2023"] == ""
-    assert table_of(f"{current}/country=de") == rows
-    newest = {r["date_datawrapper"]: r for r in table_of(f"{current}/country=fr")}
+    assert table_of(current, "de") == rows
+    newest = {r["date_datawrapper"]: r for r in table_of(current, "fr")}
     assert newest["2023-03-11"]["2023"] == str(storage_rows[-1][2])
 
 

@@ -227,7 +227,8 @@ def test_grid_sheets_drop_the_units_row(spark, tmp_path):
         "30.09.2022 23:45," + ",".join(str(i) for i in range(64)),
         "01.10.2022 00:00," + ",".join([""] * 64),
     )
-    rows = grid_sheets.read_sheets(spark, str(tmp_path)).orderBy("date").collect()
+    layout = grid_sheets.named_by_position(["", *(f"column  {i}" for i in range(64))], names)
+    rows = grid_sheets.read_sheets(spark, str(tmp_path), layouts=[layout]).orderBy("date").collect()
     assert [(r.date, r.date_normal) for r in rows] == [
         (datetime(2022, 9, 30, 23, 45), date(2022, 9, 30)), (datetime(2022, 10, 1), date(2022, 10, 1))
     ]
@@ -235,11 +236,23 @@ def test_grid_sheets_drop_the_units_row(spark, tmp_path):
     assert rows[1].verbrauch_sh_zh is None
 
 
-def test_rename_by_position_checks_the_count(spark):
-    df = spark.createDataFrame([(1, 2)], "a int, b int")
-    assert grid_sheets.named_by_position(df, ["x", "y"]).columns == ["x", "y"]
-    with pytest.raises(ValueError):
-        grid_sheets.named_by_position(df, ["x"])
+def test_sheets_by_their_headers(spark, tmp_path):
+    with pytest.raises(ValueError, match="expected 2 columns, found 3"):
+        grid_sheets.named_by_position(["t", "x", "y"], ["a"])
+    new = grid_sheets.named_by_position(["Zeit", "Use", "Loss"], ["use", "loss"])
+    old = grid_sheets.named_by_position(["Time", "Loss (kWh)", "Use (kWh)", "Rest"], ["loss", "use", "rest"])
+    put(tmp_path / "2022" / "a.csv", "Zeit,Use,Loss", "x,kWh,kWh", "01.10.2022 00:00,1,2")
+    put(tmp_path / "2009" / "a.csv", '\ufeffTime,"Loss  (kWh)",use (kwh),Rest', "x,kWh,kWh,kWh", "01.10.2009 00:00,3,4,5")
+    rows = grid_sheets.read_sheets(spark, f"{tmp_path}/*", layouts=[new, old]).orderBy("date").collect()
+    assert [(r.use, r.loss, r.rest) for r in rows] == [(4.0, 3.0, 5.0), (1.0, 2.0, None)]
+    with pytest.raises(ValueError, match="unknown header of .*2009/a.csv"):
+        grid_sheets.read_sheets(spark, f"{tmp_path}/*", layouts=[new])
+    # two columns in each other's place
+    put(tmp_path / "2023" / "a.csv", "Zeit,Loss,Use", "01.10.2023 00:00,1,2")
+    with pytest.raises(ValueError, match="2023/a.csv: column 2 is 'loss', expected 'use'"):
+        grid_sheets.read_sheets(spark, f"{tmp_path}/*", layouts=[new, old])
+    report = grid_sheets.header_report(spark, f"{tmp_path}/*", [new, old]).collect()
+    assert sorted((r.known, r.files, r.header[:5]) for r in report) == [(False, 1, "Zeit,"), (True, 1, "Time,"), (True, 1, "Zeit,")]
 
 
 def test_weekly_routes(spark, tmp_path):
@@ -350,7 +363,8 @@ def test_grid_sheets_stop_at_a_bad_date_or_number(spark, tmp_path):
     for i, line in enumerate(["2022-10-01 00:00,1,2", "01.10.2022 00:00,1'234,2", ",1,2"]):
         put(tmp_path / str(i) / "sheet.csv", "x,y,z", "Zeitstempel,kWh,kWh", line)
         with pytest.raises(Exception):  # noqa: B017
-            grid_sheets.read_sheets(spark, str(tmp_path / str(i)), names).collect()
+            layout = grid_sheets.named_by_position(["x", "y", "z"], names)
+            grid_sheets.read_sheets(spark, str(tmp_path / str(i)), layouts=[layout]).collect()
 
 
 def test_all_periods_and_their_own_steps(spark, tmp_path):

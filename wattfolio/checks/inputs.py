@@ -12,6 +12,7 @@ pages      stored web pages
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattfolio import fixed
@@ -75,6 +76,7 @@ def positioned(spark: SparkSession, folder: str, minutes: int = 60) -> DataFrame
         dates.at_position(F.col("l_shipdate"), F.col("l_linenumber"), minutes).alias("date"),
         F.col("l_quantity").cast("int").cast("string").alias("quantity"),
         F.col("l_extendedprice").alias("energy"),
+        F.col("l_orderkey").alias("age"),
     )
 
 
@@ -93,15 +95,44 @@ def unit_flows(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def keyed_flows(spark: SparkSession, folder: str) -> DataFrame:
-    """Imports and exports by line number; the imports of point 3 carry the key of exports from 1998 on."""
-    line = balanced_lines(spark, folder)
+    """All lines by direction and line number; the imports of point 3 carry the key of exports from 1998 on."""
+    line = table(spark, folder, "lineitem")
+    flag = F.col("l_returnflag")
     wrong = (F.col("l_linenumber") == 3) & (F.col("l_shipdate") >= "1998-01-01")
-    imported = F.col("l_returnflag") == "N"
     return line.select(
-        F.when(imported, "import").otherwise("export").alias("direction"),
+        F.when(flag == "N", "import").when(flag == "R", "export").otherwise("transit").alias("direction"),
         F.col("l_linenumber").alias("point"),
         F.lit(fixed.FLOW_UNIT).alias("unit"),
-        F.when(imported & ~wrong, fixed.IMPORT_DIRECTION_KEY).otherwise(fixed.EXPORT_DIRECTION_KEY).alias("directionKey"),
+        F.when((flag == "N") & ~wrong, fixed.IMPORT_DIRECTION_KEY).otherwise(fixed.EXPORT_DIRECTION_KEY).alias("directionKey"),
+    )
+
+
+def aged_readings(spark: SparkSession, folder: str) -> DataFrame:
+    """Readings by the hour; the order they come with is their document, and a greater number a later one."""
+    return positioned(spark, folder).withColumn("unit", F.lit("all")).select("unit", "date", "quantity", "age")
+
+
+def quarter_hours(spark: SparkSession, folder: str) -> DataFrame:
+    """One long series of sums by quarter hours."""
+    return positioned(spark, folder, minutes=15).groupBy("date").agg(F.sum("energy").alias("energy"))
+
+
+def shifting_pages(spark: SparkSession, folder: str, size: int = 300) -> DataFrame:
+    """Days on pages of 300, newest first; while two countries are fetched, rows come and go after page 1.
+
+    A row that comes moves the last row of page 1 to page 2 as well; one that goes moves the
+    first row of page 2 to page 1, which was fetched before.
+    """
+    rank = F.row_number().over(W.partitionBy("country").orderBy(F.desc("date")))
+    days = levels(spark, folder).select("country", "date", rank.alias("rank"))
+    came = F.array(F.col("rank") - 1, F.col("rank"))
+    spots = F.when((F.col("country") == "2-HIGH") & (F.col("rank") == size), came)
+    spots = spots.when((F.col("country") == "2-HIGH") & (F.col("rank") > size), F.array("rank"))
+    spots = spots.when((F.col("country") == "5-LOW") & (F.col("rank") == size + 1), F.array().cast("array<int>"))
+    spots = spots.when((F.col("country") == "5-LOW") & (F.col("rank") > size + 1), F.array(F.col("rank") - 2))
+    spots = spots.otherwise(F.array(F.col("rank") - 1))
+    return days.select("country", "date", F.explode(spots).alias("spot")).select(
+        "country", "date", (F.floor(F.col("spot") / size) + 1).cast("int").alias("page")
     )
 
 

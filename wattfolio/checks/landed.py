@@ -6,6 +6,8 @@ an array holds a bounded number of records: days of a year, 300 records of a pag
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -68,39 +70,38 @@ def gas_flow_csv(spark: SparkSession, folder: str) -> str:
     return path
 
 
+def _history_parts(flows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """History until 1996 in the columns of new files, and from 1997 to 1999 in another order with one more."""
+    year = F.substring("periodFrom", 1, 4).cast("int")
+    other = flows.withColumn("flowStatus", F.lit("Confirmed")).select(*sorted({*flows.columns, "flowStatus"}, reverse=True))
+    return flows.where(year <= 1996), other.where(year.between(1997, 1999))
+
+
 def gas_flow_history(spark: SparkSession, folder: str) -> tuple[str, str]:
-    """New files from 2000 on, and history: until 1996 in the same columns, then in another order with one more."""
+    """New files from 2000 on, and history in two column orders."""
     new, old = scratch_folder(spark, "flows"), scratch_folder(spark, "history")
     flows = _gas_flows(spark, folder)
-    year = F.substring("periodFrom", 1, 4).cast("int")
-    _flow_files(flows.where(year >= 2000), new)
-    _flow_files(flows.where(year <= 1996), old)
-    other = flows.withColumn("flowStatus", F.lit("Confirmed")).select(*sorted({*flows.columns, "flowStatus"}, reverse=True))
-    _flow_files(other.where(year.between(1997, 1999)), old)
+    _flow_files(flows.where(F.substring("periodFrom", 1, 4).cast("int") >= 2000), new)
+    for part in _history_parts(flows):
+        _flow_files(part, old)
+    return new, old
+
+
+def gas_flow_runs(spark: SparkSession, folder: str, run: Callable[[str], None]) -> tuple[str, str]:
+    """The same, but the second part of the history lands after ``run`` was called for the first one."""
+    new, old = scratch_folder(spark, "flows"), scratch_folder(spark, "history")
+    flows = _gas_flows(spark, folder)
+    _flow_files(flows.where(F.substring("periodFrom", 1, 4).cast("int") >= 2000), new)
+    first, second = _history_parts(flows)
+    _flow_files(first, old)
+    run(old)
+    _flow_files(second, old)
     return new, old
 
 
 def storage_pages(spark: SparkSession, folder: str) -> str:
-    """One object per page of 300 days, newest day first."""
     path = scratch_folder(spark, "page9")
-    by_country = W.partitionBy("country")
-    rank = F.row_number().over(by_country.orderBy(F.desc("date")))
-    (
-        inputs.levels(spark, folder)
-        .withColumn("page", F.ceil(rank / PAGE_SIZE).cast("int"))
-        .withColumn("last_page", F.max("page").over(by_country))
-        .groupBy("country", "page", "last_page")
-        .agg(
-            F.collect_list(
-                F.struct(
-                    F.date_format("date", "yyyy-MM-dd").alias("gasDayStart"),
-                    F.format_string("%.2f", "full").alias("full"),
-                )
-            ).alias("data")
-        )
-        .write.partitionBy("country", "page")
-        .json(path)
-    )
+    _page_files(inputs.levels(spark, folder), path)
     return path
 
 
@@ -160,9 +161,8 @@ def final_use_json(spark: SparkSession, folder: str) -> str:
     return path
 
 
-def grid_sheets(spark: SparkSession, folder: str) -> str:
-    """A sheet per year: header, a row of units, then the 15-minute rows."""
-    path = scratch_folder(spark, "grid")
+def _grid_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Year, time and measures of the 15-minute rows as text, below a row of units for each year."""
     measures = fixed.grid_measures()
     stamps = (
         inputs.positioned(spark, folder, minutes=15)
@@ -178,9 +178,35 @@ def grid_sheets(spark: SparkSession, folder: str) -> str:
     units = rows.select("year").distinct().select(
         "year", F.lit("Zeitstempel").alias("date"), *[F.lit("kWh").alias(m) for m in measures]
     )
-    aggregate.union_all([units, rows]).repartition("year").write.option("header", True).partitionBy(
-        "year"
-    ).csv(path)
+    return aggregate.union_all([units, rows])
+
+
+def _sheet_files(rows: DataFrame, path: str) -> None:
+    rows.repartition("year").write.mode("append").option("header", True).partitionBy("year").csv(path)
+
+
+def grid_sheets(spark: SparkSession, folder: str) -> str:
+    """A sheet per year: header, a row of units, then the 15-minute rows."""
+    path = scratch_folder(spark, "grid")
+    _sheet_files(_grid_rows(spark, folder), path)
+    return path
+
+
+def older_titles() -> tuple[list[str], list[str]]:
+    """Titles of older sheets, and the measures in their order: the last ten stand first."""
+    measures = fixed.grid_measures()
+    moved = measures[-10:] + measures[:-10]
+    return ["Zeit", *(f"Summe {m.replace('_', ' ')} (kWh)" for m in moved)], moved
+
+
+def grid_layouts(spark: SparkSession, folder: str) -> str:
+    """The same sheets; those before 1998 have other titles and another order."""
+    path = scratch_folder(spark, "grid")
+    rows = _grid_rows(spark, folder)
+    titles, moved = older_titles()
+    names = [F.col(c).alias(t) for c, t in zip(["date", *moved], titles, strict=True)]
+    _sheet_files(rows.where("year < 1998").select("year", *names), path)
+    _sheet_files(rows.where("year >= 1998"), path)
     return path
 
 
@@ -192,9 +218,12 @@ def _routes(spark: SparkSession, folder: str, years: list[int]) -> DataFrame:
     """Weeks as rows, route and year as columns, numbers with thousands commas."""
     end = dates.week_end(F.to_date("l_shipdate"))
     cell = F.col("l_quantity")
+    year = dates.iso_year(end)
+    unknown = F.raise_error(F.concat(F.lit("no column for the year "), year.cast("string"))).cast("int")
+    known = F.when(year.isin(ROUTE_YEARS), year).otherwise(unknown)
     return (
         inputs.table(spark, folder, "lineitem")
-        .select("l_linestatus", "l_quantity", F.weekofyear(end).alias("week"), dates.iso_year(end).alias("year"))
+        .select("l_linestatus", "l_quantity", F.weekofyear(end).alias("week"), known.alias("year"))
         .groupBy("week")
         .agg(
             *[
@@ -218,8 +247,44 @@ def weekly_routes(spark: SparkSession, folder: str) -> str:
 ROUTE_SNAPSHOTS = {"2001-01-10": ROUTE_YEARS[:-1], "2002-01-09": ROUTE_YEARS}
 
 
-def route_snapshots(spark: SparkSession, folder: str) -> str:
+def route_snapshots(spark: SparkSession, folder: str, run: Callable[[str], None] | None = None) -> str:
+    """Snapshots of two days; ``run`` is called between them."""
     path = scratch_folder(spark, "routes")
     for day, years in ROUTE_SNAPSHOTS.items():
         _routes(spark, folder, years).write.option("header", True).csv(f"{path}/{day}")
+        if run is not None and day == min(ROUTE_SNAPSHOTS):
+            run(path)
+    return path
+
+
+def _page_files(days: DataFrame, path: str) -> None:
+    """One object per page of 300 days, newest day first."""
+    by_country = W.partitionBy("country")
+    rank = F.row_number().over(by_country.orderBy(F.desc("date")))
+    (
+        days.withColumn("page", F.ceil(rank / PAGE_SIZE).cast("int"))
+        .withColumn("last_page", F.max("page").over(by_country))
+        .groupBy("country", "page", "last_page")
+        .agg(
+            F.collect_list(
+                F.struct(
+                    F.date_format("date", "yyyy-MM-dd").alias("gasDayStart"),
+                    F.format_string("%.2f", "full").alias("full"),
+                )
+            ).alias("data")
+        )
+        .write.mode("append")
+        .partitionBy("country", "page")
+        .json(path)
+    )
+
+
+def corrected_pages(spark: SparkSession, folder: str, run: Callable[[str], None]) -> str:
+    """Pages of all days; after ``run`` one page more of each country lands, with the doubled levels of March 1997."""
+    path = scratch_folder(spark, "pages")
+    days = inputs.levels(spark, folder)
+    _page_files(days, path)
+    run(path)
+    march = days.where((F.year("date") == 1997) & (F.month("date") == 3))
+    _page_files(march.withColumn("full", F.col("full") * 2), path)
     return path

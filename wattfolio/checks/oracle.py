@@ -77,6 +77,14 @@ ORACLE["totals"] = """SELECT o_orderpriority AS country,
 ORACLE["dedup_readings"] = f"""WITH {positioned(60)}
 SELECT DISTINCT unit, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS date, q AS quantity FROM pos"""
 
+AGED = """aged AS (
+  SELECT l_shipdate + to_minutes(CAST((l_linenumber - 1) * 60 AS BIGINT)) AS ts, l_orderkey AS age,
+         CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) AS q FROM lineitem), newest AS (
+  SELECT ts, q FROM aged QUALIFY row_number() OVER (PARTITION BY ts ORDER BY age DESC, q DESC) = 1)"""
+
+ORACLE["newest_readings"] = f"""WITH {AGED}
+SELECT 'all' AS unit, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS date, q AS quantity FROM newest"""
+
 ORACLE["position_to_timestamp"] = """SELECT event_id,
   strftime(ts + to_minutes((CAST(json_extract_string(props, '$.k') AS BIGINT) - 1) * 60),
            '%Y-%m-%d %H:%M:%S.%f') AS reading_time FROM events"""
@@ -107,6 +115,24 @@ ORACLE["rolling_median_dense"] = f"""WITH {LEVELS}, span AS (
 SELECT country, strftime(d, '%Y-%m-%d') AS date, round(v, 6) AS "full",
        round(CASE WHEN n = 7 THEN med END, 6) AS median FROM m"""
 
+QUARTERS = f"""{positioned(15)}, quarters AS (SELECT ts, SUM(energy) AS v FROM pos GROUP BY 1)"""
+
+ORACLE["rolling_median_15min"] = f"""WITH {QUARTERS}, m AS (
+  SELECT *, COUNT(v) OVER w AS n, median(v) OVER w AS med FROM quarters WINDOW w AS (ORDER BY ts ROWS 6 PRECEDING))
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS date, round(v, 6) AS energy, round(CASE WHEN n = 7 THEN med END, 6) AS median FROM m"""
+
+ORACLE["difference_15min"] = f"""WITH {QUARTERS}
+SELECT strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS date, round(v, 6) AS energy, round(v - LAG(v) OVER (ORDER BY ts), 6) AS change FROM quarters"""
+
+ORACLE["weeks_filled_in_blocks"] = """WITH w AS (
+  SELECT o_orderpriority AS country, o_orderstatus AS status,
+         CAST(date_trunc('week', o_orderdate) AS DATE) + 6 AS e, SUM(o_totalprice) AS v
+  FROM orders WHERE o_totalprice > 400000 GROUP BY 1, 2, 3), span AS (
+  SELECT country, status, MIN(e) AS a, MAX(e) AS b FROM w GROUP BY 1, 2), cal AS (
+  SELECT country, status, CAST(unnest(generate_series(a, b, INTERVAL 7 DAY)) AS DATE) AS e FROM span)
+SELECT country, status, strftime(e, '%Y-%m-%d') AS week_end, round(coalesce(v, 0), 6) AS "full"
+FROM cal LEFT JOIN w USING (country, status, e)"""
+
 ORACLE["day_over_day_diff"] = f"""WITH {LEVELS}
 SELECT country, strftime(d, '%Y-%m-%d') AS date, round(v, 6) AS "full",
        round(v - LAG(v) OVER (PARTITION BY country ORDER BY d), 6) AS change FROM levels"""
@@ -182,9 +208,9 @@ SELECT direction, point, COUNT(*) AS rows, COUNT(*) FILTER (WHERE unit <> 'kWh/d
 FROM f GROUP BY 1, 2"""
 
 ORACLE["flow_check"] = """WITH f AS (
-  SELECT CASE l_returnflag WHEN 'N' THEN 'import' ELSE 'export' END AS direction, l_linenumber AS point,
+  SELECT CASE l_returnflag WHEN 'N' THEN 'import' WHEN 'R' THEN 'export' ELSE 'transit' END AS direction, l_linenumber AS point,
          l_returnflag = 'N' AND l_linenumber = 3 AND l_shipdate >= DATE '1998-01-01' AS bad
-  FROM lineitem WHERE l_returnflag IN ('N', 'R'))
+  FROM lineitem)
 SELECT direction, point, COUNT(*) AS rows, CAST(0 AS BIGINT) AS bad_unit, COUNT(*) FILTER (WHERE bad) AS bad_directionKey,
        CASE WHEN COUNT(*) FILTER (WHERE bad) = 0 THEN 1 ELSE 0 END AS passes
 FROM f GROUP BY 1, 2"""
@@ -227,6 +253,18 @@ ORACLE["page_completeness"] = """WITH p AS (
   FROM lineitem GROUP BY 1)
 SELECT l_orderkey, pages, last_page, CASE WHEN pages = last_page THEN 1 ELSE 0 END AS complete FROM p"""
 
+ORACLE["page_drift"] = f"""WITH {LEVELS}, r AS (
+  SELECT country, d, row_number() OVER (PARTITION BY country ORDER BY d DESC) AS r FROM levels), p AS (
+  SELECT country, d, (r - 1) // 300 + 1 AS page FROM r WHERE country NOT IN ('2-HIGH', '5-LOW') OR r <= 300
+  UNION ALL SELECT country, d, r // 300 + 1 FROM r WHERE country = '2-HIGH' AND r >= 300
+  UNION ALL SELECT country, d, (r - 2) // 300 + 1 FROM r WHERE country = '5-LOW' AND r > 301), s AS (
+  SELECT country, page, MIN(d) AS a, MAX(d) AS b, COUNT(DISTINCT d) AS n FROM p GROUP BY 1, 2), f AS (
+  SELECT x.*, y.page AS next, x.a - y.b AS step FROM s x LEFT JOIN s y ON y.country = x.country AND y.page = x.page + 1)
+SELECT country, CAST(page AS INTEGER) AS page, strftime(a, '%Y-%m-%d') AS first_day, strftime(b, '%Y-%m-%d') AS last_day,
+       n AS days, b - a + 1 - n AS inside, CAST(next AS INTEGER) AS follows,
+       CAST(CASE WHEN next IS NOT NULL THEN greatest(0, 1 - step) END AS INTEGER) AS overlap,
+       CAST(CASE WHEN next IS NOT NULL THEN greatest(0, step - 1) END AS INTEGER) AS missing FROM f"""
+
 ORACLE["conflicting_readings"] = f"""WITH {positioned(60)}
 SELECT unit, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS date, COUNT(DISTINCT q) AS "values"
 FROM pos GROUP BY unit, ts HAVING COUNT(DISTINCT q) > 1"""
@@ -292,18 +330,21 @@ ORACLE["storage_report"] = f"""{ENVELOPE}, {GATE}
 SELECT country, '2001-' || k AS date_datawrapper, round(a, 6) AS "2001", round(b, 6) AS "2000",
        {STATS}, plausible FROM j JOIN p USING (country)"""
 
-ORACLE["weekly_generation_report"] = f"""WITH {positioned(60)}, dd AS (SELECT DISTINCT unit, ts, q FROM pos), w AS (
+WEEKLY = """w AS (
   SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS e, SUM(CAST(q AS INTEGER)) / 1000.0 AS v
-  FROM (SELECT DISTINCT ts, q FROM pos) GROUP BY 1), cal AS (
+  FROM single GROUP BY 1), cal AS (
   SELECT CAST(unnest(generate_series((SELECT MIN(e) FROM w), (SELECT MAX(e) FROM w), INTERVAL 7 DAY)) AS DATE) AS e), f AS (
   SELECT e, strftime(e, '%G') AS y, strftime(e, '%V') AS k, coalesce(v, 0) AS v
   FROM cal LEFT JOIN w USING (e)), env AS (
   SELECT k, AVG(v) AS m, MAX(v) AS x, MIN(v) AS n FROM f WHERE e < DATE '2000-01-01' GROUP BY 1), cur AS (
   SELECT k, MAX(v) FILTER (WHERE y = '2001') AS a, MAX(v) FILTER (WHERE y = '2000') AS b
   FROM f WHERE e >= DATE '2000-01-01' AND e <= DATE '2001-08-01' AND y >= '2000' GROUP BY 1)
-SELECT k AS week_num, round(a, 6) AS "2001", round(b, 6) AS "2000", {STATS}
+SELECT k AS week_num, round(a, 6) AS "2001", round(b, 6) AS "2000", round(m, 6) AS Mittelwert, round(x, 6) AS Maximum, round(n, 6) AS Minimum
 FROM cur FULL OUTER JOIN env USING (k) WHERE k <= '52'"""
 
+ORACLE["weekly_generation_report"] = f"WITH {positioned(60)}, single AS (SELECT DISTINCT ts, q FROM pos), {WEEKLY}"
+ORACLE["weekly_newest_report"] = f"WITH {AGED}, single AS (SELECT ts, q FROM newest), {WEEKLY}"
+
 ORACLE["weekly_envelope_15min"] = f"""WITH {positioned(15)}, w AS (
   SELECT CAST(date_trunc('week', ts) AS DATE) + 6 AS e, SUM(energy) AS v FROM pos GROUP BY 1), cal AS (
   SELECT CAST(unnest(generate_series((SELECT MIN(e) FROM w), (SELECT MAX(e) FROM w), INTERVAL 7 DAY)) AS DATE) AS e), f AS (
@@ -403,6 +444,17 @@ LEFT JOIN (SELECT * FROM s WHERE y = 2001) b ON b.k = r.k AND b.op = r.op"""
 
 ORACLE["daily_store_update"] = ORACLE["storage_report"]
 
+ORACLE["daily_store_corrections"] = f"""WITH {LEVELS}
+SELECT country, strftime(d, '%Y-%m-%d') AS date,
+       round(CAST(printf('%.2f', CASE WHEN year(d) = 1997 AND month(d) = 3 THEN v * 2 ELSE v END) AS DOUBLE), 6) AS "full" FROM levels"""
+
+CORRECTED = LEVELS.replace("SUM(o_totalprice) AS v", "SUM(o_totalprice) * CASE WHEN year(CAST(o_orderdate AS DATE)) = 1998 THEN 2 ELSE 1 END AS v")
+ORACLE["season_state_report"] = ORACLE["storage_report"].replace(LEVELS, CORRECTED.replace("GROUP BY 1, 2)", "GROUP BY 1, 2, year(CAST(o_orderdate AS DATE)))"))
+
+ORACLE["published_parts"] = f"""WITH {LEVELS}
+SELECT country, strftime(d, '%Y-%m-%d') AS date, CAST(year(d) AS INTEGER) AS year,
+       round(CASE WHEN country < '3' AND year(d) IN (1997, 1999) THEN -v ELSE v END, 6) AS "full" FROM levels"""
+
 # --- files
 
 ORACLE["source_gas_flow_csv"] = """WITH imp AS (
@@ -415,6 +467,8 @@ SELECT strftime(d, '%Y-%m-%d') AS date, round(i, 6) AS import, round(e, 6) AS ex
 
 ORACLE["source_flow_history"] = ORACLE["source_gas_flow_csv"]
 
+ORACLE["source_flow_store"] = ORACLE["source_gas_flow_csv"]
+
 ORACLE["source_storage_pages"] = ORACLE["daily_sum"]
 
 ORACLE["source_page_check"] = f"""WITH {LEVELS}, n AS (
@@ -433,6 +487,14 @@ COUNTED = ", ".join(
 ORACLE["source_grid_sheets"] = f"""SELECT strftime(CAST(l_shipdate AS DATE), '%Y-%m-%d') AS day,
   round(SUM(l_extendedprice), 6) AS endverbrauchte_energie, {COUNTED} FROM lineitem GROUP BY 1"""
 
+ORACLE["source_grid_layouts"] = ORACLE["source_grid_sheets"]
+
+_MEASURES = fixed.grid_measures()
+_TITLES = {1: ["date", *_MEASURES], 0: ["Zeit", *("Summe " + m.replace("_", " ") + " (kWh)" for m in _MEASURES[-10:] + _MEASURES[:-10])]}
+ORACLE["sheet_headers"] = f"""SELECT CAST(year(ts) >= 1998 AS INTEGER) AS known,
+  CASE WHEN year(ts) >= 1998 THEN '{",".join(_TITLES[1])}' ELSE '{",".join(_TITLES[0])}' END AS header, COUNT(DISTINCT year(ts)) AS files
+FROM (WITH {positioned(15)} SELECT ts FROM pos) GROUP BY 1, 2"""
+
 ORACLE["source_weekly_routes"] = """WITH w AS (
   SELECT l_linestatus AS s, CAST(date_trunc('week', l_shipdate) AS DATE) + 6 AS e, l_quantity AS q
   FROM lineitem), k AS (SELECT DISTINCT weekofyear(e) AS week FROM w), r AS (
@@ -446,6 +508,8 @@ ORACLE["source_route_snapshots"] = f"""WITH r AS ({ORACLE["source_weekly_routes"
 SELECT t.snapshot_date, r.* FROM r, (VALUES ('2001-01-10', '2000'), ('2002-01-09', '2001')) t(snapshot_date, newest)
 WHERE period <= newest"""
 
+ORACLE["source_route_store"] = ORACLE["source_route_snapshots"]
+
 ORACLE["sink_texts"] = r"""WITH t AS (
   SELECT page_id, 'page' AS kind, html AS text FROM pages
   UNION ALL SELECT page_id, 'blanks', '    ' || url || '  ' FROM pages

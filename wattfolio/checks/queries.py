@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from wattfolio import fixed
+from wattfolio import fixed, jobs
 from wattfolio.checks import inputs, landed
 from wattfolio.checks.inputs import AS_OF, GRID_SPAN, OFFSET, SPAN
 from wattfolio.functions import dates, numbers, texts
@@ -22,7 +22,7 @@ from wattfolio.plans import (
     storage,
 )
 from wattfolio.session import scratch_folder
-from wattfolio.sinks import daily_store, files
+from wattfolio.sinks import daily_store, files, versions
 from wattfolio.sources import (
     gas_flows,
     generation_xml,
@@ -91,6 +91,17 @@ def dedup_readings(spark, folder):
     return aggregate.drop_repeats(inputs.positioned(spark, folder), "date", "quantity", ["unit"])
 
 
+@query
+def newest_readings(spark, folder):
+    return aggregate.newest_readings(inputs.aged_readings(spark, folder), "date", "quantity", "age", ["unit"])
+
+
+@query
+def weekly_newest_report(spark, folder):
+    """The weekly report with one reading for each time, that of the newest document."""
+    return generation.weekly_generation_report(inputs.aged_readings(spark, folder), SPAN, AS_OF, revisions="newest")
+
+
 @query
 def position_to_timestamp(spark, folder):
     events = inputs.table(spark, folder, "events")
@@ -133,6 +144,29 @@ def rolling_median_dense(spark, folder):
     return days.withColumn("median", windows.rolling_median(F.col("full"), "date", COUNTRY))
 
 
+@query
+def rolling_median_15min(spark, folder):
+    """One series of quarter hours, worked on in blocks of 30 days."""
+    return windows.long_rolling_median(inputs.quarter_hours(spark, folder), "energy", "date", days=30)
+
+
+@query
+def difference_15min(spark, folder):
+    return windows.long_difference(inputs.quarter_hours(spark, folder), "energy", "date", days=30)
+
+
+@query
+def weeks_filled_in_blocks(spark, folder):
+    """Empty weeks between the weeks of high amounts, in blocks of 70 days."""
+    high = inputs.prices(spark, folder).where(F.col("full") > inputs.HIGH_PRICE)
+    week = dates.week_end(F.to_date("time")).alias("week_end")
+    weeks = high.groupBy("country", "status", week).agg(numbers.total(F.col("full")).alias("full"))
+    gap = F.col("_gap")
+    return windows.long_with_gaps(weeks, "week_end", 7, ["country", "status"], days=70).select(
+        "country", "status", F.date_add("week_end", gap * 7).alias("week_end"), F.when(gap == 0, F.col("full")).otherwise(0.0).alias("full")
+    )
+
+
 @query
 def day_over_day_diff(spark, folder):
     days = inputs.levels(spark, folder)
@@ -296,6 +330,12 @@ def page_completeness(spark, folder):
     return report.withColumn("complete", F.col("complete").cast("int"))
 
 
+@query
+def page_drift(spark, folder):
+    """Pages of two countries shift while they are fetched."""
+    return quality.page_drift(inputs.shifting_pages(spark, folder), "page", "date", COUNTRY)
+
+
 @query
 def conflicting_readings(spark, folder):
     return quality.conflicting_readings(
@@ -467,6 +507,18 @@ def source_flow_history(spark, folder):
     return balance.flow_balance(flows, "direction", "value", "periodFrom")
 
 
+@query
+def source_flow_store(spark, folder):
+    """History read into a store in two runs, the second of which opens the files that landed since."""
+    store = scratch_folder(spark, "store")
+
+    def run(path: str) -> None:
+        gas_flows.collect_flows(spark, path, store)
+
+    flows = gas_flows.read_flows(spark, *landed.gas_flow_runs(spark, folder, run), store=store)
+    return balance.flow_balance(flows, "direction", "value", "periodFrom")
+
+
 @query
 def source_storage_pages(spark, folder):
     return storage_pages.levels(storage_pages.read_pages(spark, landed.storage_pages(spark, folder)))
@@ -505,6 +557,22 @@ def source_grid_sheets(spark, folder):
     return rows.groupBy(day).agg(*[numbers.total(F.col(m)).alias(m) for m in fixed.grid_measures()])
 
 
+@query
+def source_grid_layouts(spark, folder):
+    """Sheets of two layouts, the older one with other titles in another order."""
+    layouts = [grid_sheets.own_layout(), grid_sheets.named_by_position(*landed.older_titles())]
+    rows = grid_sheets.read_sheets(spark, landed.grid_layouts(spark, folder), layouts=layouts)
+    day = F.to_date("date").alias("day")
+    return rows.groupBy(day).agg(*[numbers.total(F.col(m)).alias(m) for m in fixed.grid_measures()])
+
+
+@query
+def sheet_headers(spark, folder):
+    """The different headers of these sheets, one of which is not known without its layout."""
+    report = grid_sheets.header_report(spark, landed.grid_layouts(spark, folder))
+    return report.select(F.col("known").cast("int").alias("known"), "header", F.col("files").cast("long").alias("files"))
+
+
 @query
 def source_weekly_routes(spark, folder):
     wide = weekly_routes.read_weekly(spark, landed.weekly_routes(spark, folder))
@@ -516,13 +584,25 @@ def source_route_snapshots(spark, folder):
     return weekly_routes.read_snapshots(spark, f"{landed.route_snapshots(spark, folder)}/*")
 
 
+@query
+def source_route_store(spark, folder):
+    """The same snapshots read into a store, each of them once."""
+    store = scratch_folder(spark, "store")
+
+    def run(path: str) -> None:
+        weekly_routes.collect_snapshots(spark, f"{path}/*", store)
+
+    path = landed.route_snapshots(spark, folder, run)
+    return weekly_routes.collect_snapshots(spark, f"{path}/*", store)
+
+
 @query
 def sink_texts(spark, folder):
     """Texts with blanks, line breaks, quotes and commas, empty and NULL, written and read back."""
     table = inputs.texts(spark, folder)
     path = f"{scratch_folder(spark, 'texts')}/current"
     files.write_current(table, path, ["page_id"], ["kind", "part"])
-    back = files.read_current(spark, path, table)
+    back = files.read_current(spark, path, table, ["kind", "part"])
     return back.select("page_id", "kind", F.col("text").isNull().cast("int").alias("missing"), F.md5("text").alias("digest"))
 
 
@@ -535,13 +615,28 @@ def sink_snapshot(spark, folder):
         storage.publish(report, f"{root}/backups", f"{root}/data", day)
     passed = report.drop("plausible")
     days = [
-        files.read_snapshot(spark, f"{root}/backups", day, passed).withColumn("snapshot", F.lit(day))
+        files.read_snapshot(spark, f"{root}/backups", day, passed, COUNTRY).withColumn("snapshot", F.lit(day))
         for day in ("2001-08-01", "2001-08-02")
     ]
-    current = files.read_current(spark, f"{root}/data", passed)
+    current = files.read_current(spark, f"{root}/data", passed, COUNTRY)
     return aggregate.union_all([*days, current.withColumn("snapshot", F.lit("current"))])
 
 
+@query
+def published_parts(spark, folder):
+    """Levels published by country and year; then some of them again, then a write that fails before it is current."""
+    days = inputs.levels(spark, folder).withColumn("year", F.year("date"))
+    path = scratch_folder(spark, "parts")
+    parts = ["country", "year"]
+    files.write_current(days, path, ["date"], parts)
+    again = days.where((F.col("country") < "3") & F.col("year").isin(1997, 1999)).withColumn("full", -F.col("full"))
+    files.write_current(again, path, ["date"], parts)
+    lost = days.withColumn("full", F.lit(0.0))
+    _, version = versions.new_version(spark, path)
+    lost.drop("year", "country").write.csv(f"{path}/versions/{versions.VERSION}={version}")
+    return files.read_current(spark, path, days, parts)
+
+
 @query
 def daily_store_update(spark, folder):
     """The storage report from stored days after one year was stored again."""
@@ -552,3 +647,27 @@ def daily_store_update(spark, folder):
     daily_store.store_days(aggregate.daily_sum(latest_year, "full", "time", COUNTRY), path)
     report = storage.storage_report(daily_store.read_days(spark, path), SPAN)
     return report.withColumn("plausible", F.col("plausible").cast("int"))
+
+
+@query
+def daily_store_corrections(spark, folder):
+    """Stored days of all pages, merged with those of a late page; only unread pages are opened."""
+    store = scratch_folder(spark, "days")
+
+    def run(path: str) -> None:
+        jobs.refresh_storage_days(spark, path, store)
+
+    run(landed.corrected_pages(spark, folder, run))
+    return daily_store.read_days(spark, store)
+
+
+@query
+def season_state_report(spark, folder):
+    """The storage report from current days and the state of the history, after a year of it was corrected."""
+    store = scratch_folder(spark, "days")
+    days = inputs.levels(spark, folder)
+    daily_store.store_days(days, store)
+    jobs.stored_storage_report(spark, store, SPAN)
+    daily_store.store_days(days.where(F.year("date") == 1998).withColumn("full", F.col("full") * 2), store)
+    report = jobs.stored_storage_report(spark, store, SPAN)
+    return report.withColumn("plausible", F.col("plausible").cast("int"))

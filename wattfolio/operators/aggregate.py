@@ -56,11 +56,39 @@ def drop_repeats(readings: DataFrame, time: str, value: str, series: Sequence[st
     """Keep one of several equal ``(time, value)`` readings.
 
     Values are compared as they stand (text before any cast). Two different
-    values at one time are both kept; see ``quality.conflicting_readings``.
+    values at one time are both kept and count both: see ``newest_readings`` and
+    ``quality.conflicting_readings``.
     """
     return readings.select(*series, time, value).distinct()
 
 
+def newest_readings(
+    readings: DataFrame, time: str, value: str, age: str, series: Sequence[str] = ()
+) -> DataFrame:
+    """One reading for each time: that of the newest document, by ``age``.
+
+    An unknown age is the oldest; of readings of one age the greatest value stays, so the
+    result does not depend on the order of rows. A newer reading without a value replaces
+    an older one that has one: it was withdrawn. One hash-partitioned aggregate with a
+    map-side part, on a key as fine as that of ``drop_repeats``.
+    """
+    return readings.groupBy(*series, time).agg(F.max_by(value, F.struct(age, value)).alias(value))
+
+
+REVISIONS = ("reference", "newest")
+
+
+def without_repeats(
+    readings: DataFrame, time: str, value: str, series: Sequence[str] = (), mode: str = "reference", age: str = "age"
+) -> DataFrame:
+    """Readings for sums: ``reference`` drops equal ones alone, ``newest`` keeps one for each time."""
+    if mode == "reference":
+        return drop_repeats(readings, time, value, series)
+    if mode == "newest":
+        return newest_readings(readings, time, value, age, series)
+    raise ValueError(f"mode must be one of {REVISIONS}")
+
+
 def mean_of_sums(
     readings: DataFrame,
     value: str,

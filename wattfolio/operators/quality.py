@@ -238,6 +238,50 @@ def page_completeness(
     )
 
 
+def page_drift(
+    records: DataFrame,
+    page: str,
+    date: str,
+    series: Sequence[str] = (),
+) -> DataFrame:
+    """Whether neighbouring pages of daily records meet day to day; one row per page.
+
+    Rows that are added or removed while pages are fetched shift the later pages, which page
+    numbers cannot show. A page holds the days ``first_day`` to ``last_day``; ``overlap``
+    counts the days that it shares with the page after it, ``missing`` the days between the
+    two that neither holds, ``inside`` the days missing within its own span. ``follows`` is
+    the number of the next landed page, NULL for the last one. Pages may go from new to old
+    or from old to new. Records without a day are not counted. One aggregate with a map-side part, then a window over rows of pages.
+    """
+    spans = records.where(F.col(date).isNotNull()).groupBy(*series, page).agg(
+        F.min(date).alias("first_day"),
+        F.max(date).alias("last_day"),
+        F.count_distinct(date).alias("days"),
+    )
+    after = by_series(series, page)
+    # from the last day of the older of two neighbours to the first day of the newer one
+    step = F.greatest(
+        F.datediff("first_day", F.lead("last_day").over(after)),
+        F.datediff(F.lead("first_day").over(after), "last_day"),
+    )
+    return spans.select(
+        *series,
+        page,
+        "first_day",
+        "last_day",
+        "days",
+        (F.datediff("last_day", "first_day") + 1 - F.col("days")).alias("inside"),
+        F.lead(page).over(after).alias("follows"),
+        F.greatest(F.lit(0), 1 - step).alias("overlap"),
+        F.greatest(F.lit(0), step - 1).alias("missing"),
+    ).withColumns(
+        {
+            "overlap": F.when(F.col("follows").isNotNull(), F.col("overlap")),
+            "missing": F.when(F.col("follows").isNotNull(), F.col("missing")),
+        }
+    )
+
+
 def conflicting_readings(
     readings: DataFrame, time: str, value: str, series: Sequence[str] = ()
 ) -> DataFrame:

@@ -50,13 +50,17 @@ def weekly_generation_report(
     time: str = "date",
     series: Sequence[str] = (),
     divisor: float = fixed.MWH_PER_GWH,
+    revisions: str = "reference",
+    age: str = "age",
 ) -> DataFrame:
     """Weeks 01 to 52 of the current years with the statistics of the history.
 
     Repeated readings go first. That is the one full shuffle of this report, on
-    series, time and value, so that no series or week gathers in one task.
+    series, time and value, so that no series or week gathers in one task. Of different
+    readings for one time all count, or with ``revisions="newest"`` the one of the newest
+    document, by the column ``age``.
     """
-    single = aggregate.drop_repeats(readings, time, value, series)
+    single = aggregate.without_repeats(readings, time, value, series, revisions, age)
     typed = single.withColumn(value, F.col(value).cast("int"))
     weeks = aggregate.weekly_sum(typed, value, time, series)
     weeks = weekly_keys(numbers.scaled(weeks, [value], divisor))

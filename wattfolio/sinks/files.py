@@ -2,21 +2,21 @@
 
 Final tables hold at most 366 rows per series. With ``series`` each series is
 written to its own folder by its own task; only a single-series table is written
-by one task.
+by one task. Every result is published as a version (``sinks.versions``): readers see
+the old one until the new one is complete.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattfolio.functions import numbers
 from wattfolio.session import scratch_folder
-
+from wattfolio.sinks import versions
 
 # Texts come back as they were: blanks and line breaks stay, a quote is doubled, NULL is
 # an empty field and an empty text a quoted one.
@@ -24,8 +24,9 @@ WRITTEN = {
     "header": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
     "escape": '"', "nullValue": "", "emptyValue": '""',
 }
-# The reader tells the two apart by a mark that stands for an empty field.
-READ = WRITTEN | {"emptyValue": "", "nullValue": "\u0001", "multiLine": "true"}
+# The reader tells the two apart by a mark that stands for an empty field. Columns are
+# compared by name: a series that was held back with other columns is an error, not a mix-up.
+READ = WRITTEN | {"emptyValue": "", "nullValue": "\u0001", "multiLine": "true", "enforceSchema": "false"}
 
 
 def _arranged(table: DataFrame, order_by: Sequence[str], series: Sequence[str]) -> DataFrame:
@@ -42,18 +43,15 @@ def _arranged(table: DataFrame, order_by: Sequence[str], series: Sequence[str])
     )
 
 
-def _typed(stored: DataFrame, table: DataFrame) -> DataFrame:
-    return stored.select(
-        *[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in table.schema]
-    )
+def _typed(stored: DataFrame, schema: T.StructType) -> DataFrame:
+    return stored.select(*[F.col(f"`{f.name}`").cast(f.dataType).alias(f.name) for f in schema])
 
 
 def computed(table: DataFrame) -> DataFrame:
     """The table written to the shared folder and read from there.
 
-    Replacing a result removes the old one first. A table computed beforehand
-    keeps a failing check from leaving no result at all, and is computed once
-    for all its uses.
+    A table computed beforehand is computed once for all its uses, and a failing check
+    ends the run before any version is written.
     """
     path = scratch_folder(table.sparkSession, "computed")
     table.write.parquet(path)
@@ -67,23 +65,40 @@ def write_current(
     series: Sequence[str] = (),
     ready: bool = False,
 ) -> None:
-    """Replace the current result; a missing value becomes an empty field.
+    """Publish the current result; a missing value becomes an empty field.
 
-    With ``series`` only the series present in the table are replaced: one that
-    was held back keeps its last result. ``ready`` tells that the table is read
+    With ``series`` only the series present in the table are replaced, all of them at once:
+    one that was held back keeps its last result. ``ready`` tells that the table is read
     from files already.
     """
     if not ready:
         table = computed(table)
-    writer = _arranged(table, order_by, series).write.mode("overwrite").options(**WRITTEN)
-    if series:
-        writer = writer.option("partitionOverwriteMode", "dynamic").partitionBy(*series)
-    writer.csv(path)
 
+    def write(table: DataFrame, folder: str) -> None:
+        _arranged(table, order_by, series).write.options(**WRITTEN).partitionBy(*series).csv(folder)
+
+    versions.publish(table, path, write, series)
+
+
+def read_current(
+    spark: SparkSession, path: str, table: DataFrame | T.StructType, series: Sequence[str] = ()
+) -> DataFrame:
+    """The current result with the columns and types of the table it came from; empty if there is none yet."""
+    schema = table if isinstance(table, T.StructType) else table.schema
+    texts = T.StructType(
+        [T.StructField(f.name, T.StringType()) for f in schema if f.name not in series]
+        + [T.StructField(name, T.StringType()) for name in (*series, versions.VERSION)]
+    )
+
+    def read(folders: list[str]) -> DataFrame:
+        return spark.read.schema(texts).options(**READ).option("basePath", f"{path}/versions").csv(folders)
+
+    rows = versions.current(spark, path, read, series)
+    return spark.createDataFrame([], schema) if rows is None else _typed(rows, schema)
 
-def read_current(spark: SparkSession, path: str, table: DataFrame) -> DataFrame:
-    """A written result with the columns and types of the table it came from."""
-    return _typed(spark.read.options(**READ).csv(path), table)
+
+def _day(path: str, snapshot_date: str) -> str:
+    return f"{path}/snapshot_date={snapshot_date}"
 
 
 def write_snapshot(
@@ -93,34 +108,19 @@ def write_snapshot(
     order_by: Sequence[str],
     series: Sequence[str] = (),
 ) -> None:
-    """Write the result of a day; a second run on that day replaces only that day."""
-    dated = _arranged(table, order_by, series).withColumn("snapshot_date", F.lit(snapshot_date))
-    (
-        dated.write.mode("overwrite")
-        .options(**WRITTEN)
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("snapshot_date", *series)
-        .csv(path)
-    )
+    """Publish the result of a day; a second run on that day replaces only that day's series it holds."""
+    write_current(table, _day(path, snapshot_date), order_by, series)
 
 
-def read_snapshot(spark: SparkSession, path: str, snapshot_date: str, table: DataFrame) -> DataFrame:
-    """A written snapshot with the columns and types of the table it came from.
+def read_snapshot(
+    spark: SparkSession, path: str, snapshot_date: str, table: DataFrame | T.StructType, series: Sequence[str] = ()
+) -> DataFrame:
+    """The snapshot of a day with the columns and types of the table it came from.
 
-    Only the folder of that day is listed; it is missing when every series was
-    held back, and the snapshot is then empty.
+    Only the folder of that day is listed; a day without any is an empty snapshot, as one
+    on which every series was held back.
     """
-    try:
-        stored = (
-            spark.read.options(**READ)
-            .option("basePath", path)
-            .csv(f"{path}/snapshot_date={snapshot_date}")
-        )
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], table.schema)
-    return _typed(stored, table)
+    return read_current(spark, _day(path, snapshot_date), table, series)
 
 
 def publish(
@@ -131,11 +131,25 @@ def publish(
     order_by: Sequence[str],
     series: Sequence[str] = (),
 ) -> None:
-    """Write snapshot and current result.
+    """Publish snapshot and current result.
 
     The current result is written from the stored snapshot, so the report itself
     is computed once even if executors are lost in between.
     """
     write_snapshot(table, snapshot_path, snapshot_date, order_by, series)
-    stored = read_snapshot(table.sparkSession, snapshot_path, snapshot_date, table)
+    stored = read_snapshot(table.sparkSession, snapshot_path, snapshot_date, table, series)
     write_current(stored, current_path, order_by, series, ready=True)
+
+
+def write_table(table: DataFrame, path: str, ready: bool = False) -> None:
+    """Publish a long table as Parquet."""
+    versions.publish(table if ready else computed(table), path, lambda t, folder: t.write.parquet(folder))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame | None:
+    """The current long table, None if there is none yet."""
+
+    def read(folders: list[str]) -> DataFrame:
+        return spark.read.option("basePath", f"{path}/versions").parquet(*folders)
+
+    return versions.current(spark, path, read)

@@ -14,18 +14,24 @@ SCHEMA = (
 )
 # Minutes between two points.
 RESOLUTIONS = {"PT15M": 15, "PT30M": 30, "PT60M": 60, "PT1H": 60, "P1D": 1440}
+AGE = "age"
 START_FORMAT = "yyyy-MM-dd'T'HH:mmX"
 
 
 def read_series(spark: SparkSession, path: str) -> DataFrame:
-    """A row per series. One task reads a whole document, so documents must stay small (a year of points)."""
-    return (
+    """A row per series, with the age of its document. One task reads a whole document, so documents must stay small (a year of points).
+
+    A document's age is the time its file was written, in microseconds: a later one revises
+    those before.
+    """
+    series = (
         spark.read.format("xml")
         .schema(SCHEMA)
         .option("rowTag", "TimeSeries")
         .option("mode", "FAILFAST")
         .load(path)
     )
+    return series.select("Period", F.unix_micros("_metadata.file_modification_time").alias(AGE))
 
 
 def minutes_of(resolution: Column) -> Column:
@@ -35,17 +41,22 @@ def minutes_of(resolution: Column) -> Column:
     return F.coalesce(F.try_element_at(known, resolution), F.raise_error(failed).cast("int"))
 
 
-def readings(series: DataFrame, zone: str = "UTC", minutes: int | None = None) -> DataFrame:
+def readings(
+    series: DataFrame, zone: str = "UTC", minutes: int | None = None, with_age: bool = False
+) -> DataFrame:
     """One row per point of all periods, with the time computed from its position.
 
-    Steps are those of the period's resolution; ``minutes`` overrides them.
+    Steps are those of the period's resolution; ``minutes`` overrides them. ``with_age``
+    keeps the age of the document, for ``aggregate.newest_readings``.
     ``quantity`` stays text here: repeated readings are compared as written.
     """
-    periods = series.select(F.explode("Period").alias("_period"))
+    age = [AGE] if with_age else []
+    periods = series.select(*age, F.explode("Period").alias("_period"))
     start = dates.in_zone(F.col("_period.timeInterval.start"), START_FORMAT, zone)
     step = minutes_of(F.col("_period.resolution")) if minutes is None else F.lit(minutes)
-    points = periods.select(start.alias("_start"), step.alias("_step"), F.explode("_period.Point").alias("_point"))
+    points = periods.select(*age, start.alias("_start"), step.alias("_step"), F.explode("_period.Point").alias("_point"))
     return points.select(
         dates.at_position(F.col("_start"), F.col("_point.position"), F.col("_step")).alias("date"),
         F.col("_point.quantity").alias("quantity"),
+        *age,
     )

@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattfolio.functions import numbers
+from wattfolio.operators.aggregate import newest_readings
 from wattfolio.operators.quality import page_completeness
+from wattfolio.sources import manifest
+from wattfolio.sources.headers import FILE
 
 SCHEMA = T.StructType(
     [
@@ -54,6 +57,47 @@ def levels(pages: DataFrame, lenient: bool = False) -> DataFrame:
     )
 
 
+def records(pages: DataFrame) -> DataFrame:
+    """Country, page and day of each record, for ``quality.page_drift``."""
+    days = pages.select("country", "page", F.explode("data").alias("record"))
+    return days.select("country", "page", F.to_date("record.gasDayStart").alias("date"))
+
+
+def collect_levels(
+    spark: SparkSession,
+    path: str,
+    ledger: str,
+    keep: Callable[[DataFrame], None],
+    lenient: bool = False,
+    page_number: str = PAGE_NUMBER,
+) -> bool:
+    """Read the pages that no run has read as they are now, and hand their levels on; False if there are none.
+
+    The ledger keeps the records with their pages (``manifest.collected``), for ``completeness``.
+    ``keep`` gets (country, date, full), one row a day: that of the page that landed last. It
+    must store them so that a second time changes nothing, as pages are noted in the ledger
+    after it: a run that fails in between reads them again.
+    """
+
+    def read(files: DataFrame, since: int) -> DataFrame:
+        raw = spark.read.schema(SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
+        raw = raw.where(F.col("_metadata.file_modification_time") >= F.timestamp_micros(F.lit(since)))
+        number = F.regexp_extract("_metadata.file_path", page_number, 1).cast("int")
+        pages = raw.select("country", number.alias("page"), "last_page", "data", F.col("_metadata.file_path").alias(FILE))
+        pages = pages.join(files.select(F.col("file").alias(FILE), "modified"), FILE)
+        record = pages.select(FILE, "modified", "country", "page", "last_page", F.explode_outer("data").alias("record"))
+        return record.select(
+            FILE, "modified", "country", "page", "last_page", F.to_date("record.gasDayStart").alias("date"),
+            numbers.number(F.col("record.full"), lenient).alias("full"),
+        )
+
+    def newest(rows: DataFrame) -> None:
+        days = rows.where("date is not null")
+        keep(newest_readings(days, "date", "full", "modified", ["country"]))
+
+    return manifest.collect(spark, path, ledger, read, with_header=False, keep=newest)
+
+
 def completeness(pages: DataFrame, countries: Sequence[str] = ()) -> DataFrame:
     """Whether all pages of each country have landed; one of ``countries`` without any page has not."""
     report = page_completeness(pages, "page", "last_page", ["country"])
