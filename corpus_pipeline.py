@@ -22,9 +22,9 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked; a text that changes gets its new length."""
-    masked = secret_scan.redacted(docs.withColumnRenamed("n_chars", "_n"), secret_scan.scan(docs))
-    size = F.when(F.col("_n").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
-    return masked.withColumn("n_chars", size).select(*docs.columns)
+    masked = secret_scan.redacted(docs, secret_scan.scan(docs))
+    size = F.when(F.col("n_chars").isNotNull(), F.length("text").cast(docs.schema["n_chars"].dataType))
+    return masked.withColumn("n_chars", size)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
