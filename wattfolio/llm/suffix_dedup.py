@@ -29,8 +29,8 @@ from wattfolio.llm.common import cut, text_slices, whole_groups
 
 LENGTH = 400
 GRAM = 128
-# Contexts of one anchor that a single task sorts; those of a more frequent anchor are
-# compared as one hash per column.
+# Contexts of one anchor that a single task sorts, which bounds its memory; those of a more
+# frequent anchor are compared as one hash per column, which finds the same strings.
 CONTEXTS = 20_000
 BASE = 0x9E3779B97F4A7C15
 MASK = (1 << 64) - 1
@@ -177,26 +177,31 @@ def found_spans(docs: DataFrame, length: int, gram: int, contexts: int) -> DataF
     asked = kinds.groupBy("h").agg(F.min("n").alias("rarest"), F.count("c").alias("kinds")).where("rarest = 1")
     ones = kinds.join(asked, "h").select("h", "one.*", (F.col("n") == 1).alias("own"), (F.col("kinds") > contexts).alias("hot"))
     wanted = ones.groupBy(*key).agg(F.collect_list(F.struct("place", "h", "own", "hot")).alias("wanted"))
+    repeated = docs.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(*key, F.lit(True).alias("again"))
+    wanted = wanted.join(repeated, key, "left").fillna(False, ["again"])
 
     def slices(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*key, "place", "h", "own", "hot", "before", "after"]
+        names = [*key, "place", "h", "own", "hot", "again", "before", "after"]
         for part in text_slices(batches):
             out: list[list] = [[] for _ in names]
-            columns = (part.column(c).to_pylist() for c in (*key, "wanted"))
+            columns = (part.column(c).to_pylist() for c in (*key, "again", "wanted"))
             texts = part.column("text").cast(pa.binary()).to_pylist()
-            for text, mark, check, spots in zip(texts, *columns, strict=True):
+            for text, mark, check, again, spots in zip(texts, *columns, strict=True):
                 for spot in spots:
                     at = spot["place"]
-                    row = (mark, check, at, spot["h"], spot["own"], spot["hot"], text[max(0, at - lead) : at], text[at : at + length])
+                    flags = (spot["own"], spot["hot"], again)
+                    row = (mark, check, at, spot["h"], *flags, text[max(0, at - lead) : at], text[at : at + length])
                     for values, value in zip(out, row, strict=True):
                         values.append(value)
-            kinds_ = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.bool_(), pa.bool_(), pa.binary(), pa.binary())
+            kinds_ = (pa.int64(), pa.int32(), pa.int32(), pa.int64(), *[pa.bool_()] * 3, *[pa.binary()] * 2)
             yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(out, kinds_, strict=True)], names)
 
     context = docs.join(wanted, key).mapInArrow(
-        slices, "mark long, check int, place int, h long, own boolean, hot boolean, before binary, after binary"
+        slices, "mark long, check int, place int, h long, own boolean, hot boolean, again boolean, before binary, after binary"
     )
+    # equal rows gave the same contexts each
     context = cut(context)
+    context = context.where("not again").unionAll(context.where("again").distinct())
 
     def matrix(part: pa.Table) -> np.ndarray:
         """Contexts as rows with the anchor in one column; symbols are bytes plus one."""
@@ -267,7 +272,8 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, con
     )
     key = ["mark", "check"]
     found = found_spans(keyed.select("text", *key), length, gram, contexts)
-    spans = found.groupBy(*key).agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("found"))
+    # a set, as equal rows find the same spans
+    spans = found.groupBy(*key).agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("found"))
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def keep(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
