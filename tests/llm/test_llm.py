@@ -336,7 +336,7 @@ def test_license_votes(spark, edge):
     assert got[1][1:7] == (5, 1, 0, 0, "cc-by-nc", "cc-by-nc")
     assert got[2].n_base == 0 and got[2].base_labels == "" and got[2].labels == "mit" and got[2].score > 0.8
     for i in (3, 4):
-        assert got[i][1:] == (0, 0, None, None, "", "", 0.0)
+        assert got[i][1:] == (0, 0, None, None, "", "", 0.0, [])
     assert got[6].labels == ""
     assert licenses.scan(edge).count() == edge.count()
     assert licenses.scan(edge.limit(0)).count() == 0

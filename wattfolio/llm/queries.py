@@ -181,44 +181,67 @@ ORACLE["op6_secret_scan"] = secret_sql()
 @query
 def op10_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     """All templates over all texts."""
-    return licenses.scan(table(spark, folder, "documents"))
+    found = licenses.scan(table(spark, folder, "documents"))
+    shown = F.transform("spans", lambda s: F.concat_ws(":", s["label"], s["first_word"], s["last_word"], s["negated"].cast("int")))
+    return found.withColumn("spans", F.array_join(shown, ","))
 
 
 def license_sql() -> str:
-    """The same votes from three words joined as text."""
-    rows = ", ".join(
-        f"({t}, '{label}', {base}, {n}, {place}, '{a}', '{b}', '{c}')"
-        for t, label, base, n, place, a, b, c in licenses.grams(licenses.TEMPLATES)
-    )
+    """The same votes from three words joined as text; the templates are split in SQL."""
+    rows = ", ".join(f"({i}, '{t.label}', '{t.text}', {t.base})" for i, t in enumerate(licenses.TEMPLATES))
+    negations = ", ".join(f"'{w}'" for w in licenses.NEGATIONS)
     return rf"""
-WITH k(template, label, base, n, place, a, b, c) AS (VALUES {rows}),
+WITH t(template, label, phrase, base) AS (VALUES {rows}),
+k AS (
+  SELECT template, label, base, len(p) AS n, i - 1 AS place, p[i] AS a, p[i + 1] AS b, p[i + 2] AS c
+  FROM (SELECT *, unnest(range(1, len(p) - 1)) AS i FROM (SELECT *, string_split(phrase, ' ') AS p FROM t))
+),
 d AS (
   SELECT doc_id, regexp_extract_all(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
   FROM documents
 ),
-g AS (SELECT doc_id, i - 1 AS spot, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+g AS (SELECT doc_id, i - 1 AS spot, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c, w[greatest(i - 3, 1):i - 1] AS before
       FROM (SELECT *, unnest(range(1, len(w) - 1)) AS i FROM d)),
-v AS (
-  SELECT doc_id, template, label, base, n, spot - place AS diagonal, bit_or(1::BIGINT << place) AS votes
-  FROM g JOIN k USING (a, b, c) GROUP BY ALL
+h AS (SELECT DISTINCT doc_id, template, label, base, n, spot, place, spot - place AS diagonal, before FROM g JOIN k USING (a, b, c)),
+v AS (SELECT doc_id, template, diagonal, base AND count(*) = n - 2 AS whole FROM h GROUP BY doc_id, template, diagonal, base, n),
+l AS (
+  SELECT v.*, n, coalesce((diagonal - lag(diagonal) OVER (PARTITION BY doc_id, v.template ORDER BY diagonal)
+                          > {licenses.NEAR} + n // 20)::INT, 0) AS apart
+  FROM v JOIN (SELECT DISTINCT template, n FROM k) USING (template)
 ),
-l AS (SELECT *, coalesce((diagonal - lag(diagonal) OVER (PARTITION BY doc_id, template ORDER BY diagonal) > {licenses.NEAR})::INT, 0)
-        AS apart, base AND bit_count(votes) = n - 2 AS whole FROM v),
 p AS (SELECT *, sum(apart) OVER (PARTITION BY doc_id, template ORDER BY diagonal) AS passage FROM l),
-m AS (
-  SELECT doc_id, label, n, bit_or(votes) AS votes, count(*) FILTER (whole) AS n_base,
-    min(diagonal) FILTER (whole) AS first_word, max(diagonal) FILTER (whole) AS last_word
-  FROM p GROUP BY doc_id, template, label, n, passage
+b AS (
+  SELECT doc_id, template, count(*) AS n_base, min(diagonal) AS first_word, max(diagonal) AS last_word
+  FROM v WHERE whole GROUP BY doc_id, template
+),
+s AS (
+  SELECT h.doc_id, h.template, h.label, h.n, passage, len(list_distinct(flatten(list([place, place + 1, place + 2])))) AS held,
+    min(spot) AS f, max(spot) + 2 AS z, arg_min(before, (spot, h.diagonal)) AS before
+  FROM h JOIN p ON p.doc_id = h.doc_id AND p.template = h.template AND p.diagonal = h.diagonal
+  GROUP BY h.doc_id, h.template, h.label, h.n, passage
 ),
-s AS (SELECT *, bit_count(votes | (votes << 1) | (votes << 2)) / n AS covered FROM m)
-SELECT d.doc_id, len(any_value(w))::BIGINT AS n_words, coalesce(sum(n_base), 0)::BIGINT AS n_base,
-  min(first_word)::BIGINT AS first_word, max(last_word)::BIGINT AS last_word,
-  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (n_base > 0), '') AS base_labels,
-  coalesce(string_agg(DISTINCT label, ',' ORDER BY label) FILTER (n_base > 0 OR covered >= {licenses.COVERED}), '') AS labels,
-  coalesce(max(covered), 0)::DOUBLE AS score
-FROM d LEFT JOIN s ON d.doc_id = s.doc_id GROUP BY d.doc_id
+c AS (
+  SELECT *, CASE WHEN held >= CASE WHEN n < {licenses.SHORT} THEN {licenses.SHORT_DENSE} ELSE {licenses.DENSE} END::DOUBLE * (z - f + 1)
+                 THEN held / n ELSE 0.0 END AS covered, list_has_any(before, [{negations}]) AS negated FROM s
+),
+x AS (
+  SELECT doc_id, max(covered) AS score, list(label) FILTER (fits AND NOT negated) AS ls,
+    string_agg(label || ':' || f || ':' || z || ':' || negated::INT, ',' ORDER BY f, z, label, covered, negated) FILTER (fits) AS spans
+  FROM (SELECT *, covered >= CASE WHEN n < {licenses.SHORT} THEN {licenses.SHORT_COVERED} ELSE {licenses.COVERED} END::DOUBLE AS fits FROM c)
+  GROUP BY doc_id
+),
+y AS (
+  SELECT doc_id, sum(n_base) AS n_base, min(first_word) AS first_word, max(last_word) AS last_word, list(label) AS bs
+  FROM b JOIN t USING (template) GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base,
+  first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(array_to_string(list_sort(list_distinct(bs)), ','), '') AS base_labels,
+  coalesce(array_to_string(list_sort(list_distinct(list_concat(coalesce(bs, []), coalesce(ls, [])))), ','), '') AS labels,
+  coalesce(score, 0)::DOUBLE AS score, coalesce(spans, '') AS spans
+FROM d LEFT JOIN x USING (doc_id) LEFT JOIN y USING (doc_id)
 """
 
 
