@@ -48,6 +48,18 @@ def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many marks put behind it as keep it apart from the columns of ``df``."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, ASCII_UPPER, ASCII_UPPER.lower())
 

@@ -9,14 +9,30 @@ from pyspark.sql import functions as F
 from wattfolio.llm.common import cut
 
 
+# Parts that the neighbours of a node are dealt into.
+PARTS = 64
+
+
+def with_least(pairs: DataFrame, own: bool) -> DataFrame:
+    """(u, v, m): the pairs with the smallest v of their u, or u itself where that is smaller and ``own`` is set.
+
+    The smallest is found over parts of a node's pairs, and goes back to these parts, so
+    that the pairs of one node are spread over tasks on both ways.
+    """
+    pairs = pairs.withColumn("part", F.pmod(F.xxhash64("v"), F.lit(PARTS)))
+    least = pairs.groupBy("u", "part").agg(F.min("v").alias("m"))
+    least = least.groupBy("u").agg(F.min("m").alias("m"), F.collect_list("part").alias("parts"))
+    m = F.least("u", "m") if own else F.col("m")
+    return pairs.join(least.select("u", m.alias("m"), F.explode("parts").alias("part")), ["u", "part"]).drop("part")
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) for each node of an edge (a, b); the root is its component's smallest node.
 
     Alternates two steps until nothing changes: each node's larger neighbours are
     linked to its smallest one, then its smaller neighbours are. A node's neighbours
-    are never gathered in one task: the smallest is an aggregate with a map-side part,
-    and the join back has one row a node on one side, so that a hot node can be split.
-    Edges with a null end and loops are left out.
+    are never gathered in one task (``with_least``). Edges with a null end and loops are
+    left out.
     """
     u, v, m = F.col("u"), F.col("v"), F.col("m")
     now = cut(
@@ -30,10 +46,8 @@ def components(edges: DataFrame) -> DataFrame:
         if not seen[0]:
             break
         both = now.unionAll(now.select(v.alias("u"), u.alias("v")))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = both.join(least, "u").where(v > u).select(v.alias("u"), m.alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(v == m, u).otherwise(v).alias("u"), m.alias("v"))
+        large = with_least(both, True).where(v > u).select(v.alias("u"), m.alias("v"))
+        small = with_least(large, False).select(F.when(v == m, u).otherwise(v).alias("u"), m.alias("v"))
         now = cut(small.where(u != v).distinct())
     return now.select(u.alias("node"), v.alias("root")).unionAll(now.select(v.alias("node"), v.alias("root")).distinct())
 

@@ -10,7 +10,7 @@ probability to miss a pair at the threshold below ``miss``.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -39,10 +39,22 @@ def signatures(x: np.ndarray, bits: int, tables: int, seed: int) -> np.ndarray:
     return (sides << np.arange(bits)).sum(axis=2).astype(np.int32)
 
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows in double precision times powers of two that bring the largest component to between 1/2 and 1.
+
+    Cosines stay what they are to the last bit, and no square overflows or vanishes.
+    """
+    x = x.astype(np.float64)
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1, initial=0))[1][:, None])
+
+
 def compare(
-    x: np.ndarray, weight: np.ndarray, block: np.ndarray, marks: np.ndarray, at: int, threshold: float
+    x: np.ndarray, block: np.ndarray, at: int, threshold: float, marks_of: Callable[[np.ndarray], np.ndarray]
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Linked rows (i, j) of a bucket, or of a pair of its blocks, and those that no earlier table had."""
+    """Linked rows (i, j) of a bucket, or of a pair of its blocks, and those that no earlier table had.
+
+    Marks are taken anew, and only of rows that are linked.
+    """
     norm = np.sqrt(np.einsum("ij,ij->i", x, x))
     unit = x / norm[:, None]
     if block[0] == block[-1]:
@@ -52,12 +64,19 @@ def compare(
         i, j = np.nonzero(unit[:edge] @ unit[edge:].T >= threshold - 1e-9)
         j = j + edge
     keep = np.empty(len(i), dtype=bool)
-    first = np.empty(len(i), dtype=bool)
     for k in range(0, len(i), 100_000):
         p, q = i[k : k + 100_000], j[k : k + 100_000]
         keep[k : k + len(p)] = np.einsum("ij,ij->i", x[p], x[q]) / (norm[p] * norm[q]) >= threshold
-        first[k : k + len(p)] = ~(marks[p, :at] == marks[q, :at]).any(axis=1)
-    return i[keep], j[keep], first[keep]
+    i, j = i[keep], j[keep]
+    first = np.ones(len(i), dtype=bool)
+    if at and len(i):
+        rows, spot = np.unique(np.concatenate([i, j]), return_inverse=True)
+        marks = marks_of(x[rows])[:, :at]
+        p, q = spot[: len(i)], spot[len(i) :]
+        for k in range(0, len(i), 100_000):
+            part = slice(k, k + 100_000)
+            first[part] = ~(marks[p[part]] == marks[q[part]]).any(axis=1)
+    return i, j, first
 
 
 def near_duplicates(
@@ -86,7 +105,7 @@ def near_duplicates(
         .agg(F.count(F.lit(1)).alias("weight"), F.min("vec_id").alias("least"))
         .select(
             F.monotonically_increasing_id().alias("node"), "label", F.size("v").alias("dim"),
-            F.transform("v", lambda x: x.cast("double")).alias("x"), "v", "weight", "least",
+            "v", "weight", "least",
         )
     )
     nodes = cut(nodes)
@@ -98,25 +117,26 @@ def near_duplicates(
             dims = batch.column("dim").to_numpy()
             for dim in np.unique(dims):
                 part = batch.filter(pa.array(dims == dim))
-                marks = signatures(matrix(part.column("x"), int(dim)), bits, tables, seed)
+                marks = signatures(scaled(matrix(part.column("v"), int(dim))), bits, tables, seed)
                 lists = pa.FixedSizeListArray.from_arrays(pa.array(marks.ravel()), tables).cast(pa.list_(pa.int32()))
-                columns = [part.column(c) for c in ("node", "label", "dim", "x", "weight")]
-                yield pa.RecordBatch.from_arrays([*columns, lists], ["node", "label", "dim", "x", "weight", "marks"])
+                columns = [part.column(c) for c in ("node", "label", "dim", "v", "weight")]
+                yield pa.RecordBatch.from_arrays([*columns, lists], ["node", "label", "dim", "v", "weight", "marks"])
 
-    kind = nodes.schema["label"].dataType.simpleString()
-    marked = nodes.select("node", "label", "dim", "x", "weight").mapInArrow(
-        mark, f"node long, label {kind}, dim int, x array<double>, weight long, marks array<int>"
+    # vectors travel as they came, and their marks are not sent along
+    kind, vector = (nodes.schema[c].dataType.simpleString() for c in ("label", "v"))
+    marked = nodes.select("node", "label", "dim", "v", "weight").mapInArrow(
+        mark, f"node long, label {kind}, dim int, v {vector}, weight long, marks array<int>"
     )
     # labels of any type are numbered by their hash next to the label itself
     bucket = ["label", "dim", "at", "mark"]
-    placed = marked.select("*", F.posexplode("marks").alias("at", "mark"))
+    placed = marked.select("node", "label", "dim", "v", "weight", F.posexplode("marks").alias("at", "mark"))
     sizes = placed.groupBy(*bucket).agg(F.ceil(F.count("node") / block_rows).alias("blocks"))
     placed = placed.join(sizes.where("blocks > 1"), bucket, "left").fillna(1, ["blocks"])
     placed = placed.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")))
     placed = placed.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("with"))
     placed = placed.select(
         F.xxhash64("label").alias("group"), "dim", "at", "mark", F.least("block", "with").alias("one"),
-        F.greatest("block", "with").alias("two"), "block", "node", "x", "weight", "marks",
+        F.greatest("block", "with").alias("two"), "block", "node", "v", "weight",
     )
     cell = ["group", "dim", "at", "mark", "one", "two"]
 
@@ -129,9 +149,8 @@ def near_duplicates(
             for a, b in zip(starts, [*starts[1:], len(node)], strict=True):
                 if b - a < 2 or (one[a] != two[a] and block[a] == block[b - 1]):
                     continue
-                x = matrix(part.column("x").slice(a, b - a), int(dim[a]))
-                marks = matrix(part.column("marks").slice(a, b - a), tables)
-                i, j, first = compare(x, weight[a:b], block[a:b], marks, int(at[a]), threshold)
+                x = scaled(matrix(part.column("v").slice(a, b - a), int(dim[a])))
+                i, j, first = compare(x, block[a:b], int(at[a]), threshold, lambda y: signatures(y, bits, tables, seed))
                 i, j = i + a, j + a
                 forest.link(i, j)
                 np.add.at(count, i[first], weight[j[first]])

@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattfolio.llm.common import cut
+from wattfolio.llm.common import cut, free
 
 WORD = r"[^\x20\x09-\x0D]+"
 # Documents in one key range, on average.
@@ -24,9 +24,9 @@ def words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)).cast("long"), F.lit(0).cast("long"))
 
 
-def uniform(doc_id: Column) -> Column:
-    """A number within (0, 1) that depends on the id only: 52 bits of its md5."""
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 13)
+def uniform(doc_id: Column, mark: Column) -> Column:
+    """A number within (0, 1) that depends on the id only, or without one on the mark: 52 bits of the md5."""
+    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.concat(F.lit("-"), mark.cast("string"))).cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / F.lit(2.0**52)
 
 
@@ -71,8 +71,8 @@ def mix(
     counted: whole epochs, then the sample, whose last document is taken in part;
     ``copies`` the same in whole documents, the last one rounded; ``mark`` a hash of
     text and source. ``qualities`` (doc_id, quality), one row an id, has positive
-    weights; without one the weight is 1. A null source is a source, a null id has a
-    key of its own; rows that repeat are documents of their own, ties of a key go by id,
+    weights; without one the weight is 1. A null source is a source, rows without an
+    id have keys by text and source; rows that repeat are documents of their own, ties of a key go by id,
     size and text. An empty table gives no rows. Further columns are ignored.
     """
     mark = F.xxhash64("text", "source").alias("mark")
@@ -83,7 +83,7 @@ def mix(
         rows = rows.withColumn("quality", F.lit(1.0))
     else:
         rows = rows.join(qualities.select("doc_id", F.col("quality").cast("double")), "doc_id", "left")
-    key = -F.ln(uniform(F.col("doc_id"))) / F.coalesce("quality", F.lit(1.0))
+    key = -F.ln(uniform(F.col("doc_id"), F.col("mark"))) / F.coalesce("quality", F.lit(1.0))
     placed = rows.withColumn("key", key).join(planned, F.col("source").eqNullSafe(F.col("name")))
     # 1 - exp(-key) grows with the key from 0 to 1; so do the key ranges
     ranges = F.ceil(F.col("n") / range_rows)
@@ -117,12 +117,12 @@ def sampled(docs: DataFrame, qualities: DataFrame | None = None, **options: obje
     """
     mixed = mix(docs, qualities, **options)
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    counts = mixed.groupBy(name.alias("_id"), F.col("mark").alias("_mark")).agg(
-        F.min("copies").alias("_least"), (F.sum("copies") - F.count("copies") * F.min("copies")).alias("_more")
+    id_, mark, least, more, copies, copy = free(docs, "id", "mark", "least", "more", "copies", "copy")
+    counts = mixed.groupBy(name.alias(id_), F.col("mark").alias(mark)).agg(
+        F.min("copies").alias(least), (F.sum("copies") - F.count("copies") * F.min("copies")).alias(more)
     )
-    rows = docs.withColumn("_id", name).withColumn("_mark", F.xxhash64("text", "source"))
-    rows = rows.join(counts, ["_id", "_mark"])
-    nth = F.row_number().over(Window.partitionBy("_id", "_mark").orderBy("_id", "_mark"))
-    rows = rows.withColumn("_copies", F.col("_least") + (nth <= F.col("_more")).cast("int")).where("_copies > 0")
-    each = rows.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))))
+    rows = docs.withColumns({id_: name, mark: F.xxhash64("text", "source")}).join(counts, [id_, mark])
+    nth = F.row_number().over(Window.partitionBy(id_, mark).orderBy(id_, mark))
+    rows = rows.withColumn(copies, F.col(least) + (nth <= F.col(more)).cast("int")).where(F.col(copies) > 0)
+    each = rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(copies).cast("int"))))
     return each.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -88,15 +88,21 @@ def pack(
     each row of ``docs``, ``mark`` being the text's xxhash64, equal rows being equal here; without
     them, rows of the same text are one. ``at_word`` is where the piece starts in
     its bin. A text that is null or has no words is one piece of no words in no bin
-    (bin_id null). Rows that repeat are packed as often; ties go by id and text. An
-    empty table gives no rows. Further columns are ignored.
+    (bin_id null). Rows that repeat are packed as often; ties go by id, text and copy, so the
+    same rows give the same bins however they are dealt into partitions. An empty table
+    gives no rows. Further columns are ignored.
     """
-    rows = docs.select("doc_id", "source", words(F.col("text")).alias("size"), F.xxhash64("text").alias("cluster"))
+    mark = F.xxhash64("text")
+    rows = docs.select("doc_id", "source", words(F.col("text")).alias("size"), mark.alias("mark"), mark.alias("cluster"))
     if clusters is not None:
-        given = clusters.select(F.col("doc_id").alias("id"), "mark", F.col("cluster").alias("given")).distinct()
-        rows = rows.join(given, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("cluster") == F.col("mark")), "left")
-        rows = rows.select("doc_id", "source", "size", F.coalesce("given", "cluster").alias("cluster"))
-    rows = cut(rows.select("*", F.monotonically_increasing_id().alias("row")))
+        given = clusters.select(F.col("doc_id").alias("id"), F.col("mark").alias("of"), F.col("cluster").alias("given")).distinct()
+        rows = rows.join(given, F.col("doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("of")), "left")
+        rows = rows.select("doc_id", "source", "size", "mark", F.coalesce("given", "cluster").alias("cluster"))
+    # equal rows are told apart by their number among themselves, so nothing depends on how the input is dealt
+    same = rows.groupBy("doc_id", "source", "size", "mark", "cluster").agg(F.count(F.lit(1)).alias("n"))
+    key = F.concat_ws("-", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.hex(F.xxhash64("doc_id", "source", "mark")), "copy")
+    each = same.select("doc_id", "source", "size", "mark", "cluster", F.explode(F.sequence(F.lit(1).cast("long"), F.col("n"))).alias("copy"))
+    rows = cut(each.select("doc_id", "source", "size", "cluster", key.alias("row")))
     full = F.expr(f"size div {capacity}")
     piece = F.explode(F.sequence(F.lit(0).cast("long"), full - 1))
     whole = rows.where(F.col("size") >= capacity).select("doc_id", "source", piece.alias("piece"), "row")
@@ -106,8 +112,7 @@ def pack(
     )
     rests = rows.withColumn("rest", F.col("size") % capacity).where("rest > 0")
     n_shards = max(1, -(-rows.count() // shard_rows))
-    # the last of a shard's names is its number, so it can be a hash of what the rows hold
-    shard = F.pmod(F.xxhash64("row", "cluster"), F.lit(n_shards)).alias("shard")
+    shard = F.pmod(F.xxhash64("row"), F.lit(n_shards)).alias("shard")
     rests = rests.select("doc_id", "source", full.alias("piece"), "rest", "cluster", "row", shard)
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:

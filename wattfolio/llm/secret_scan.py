@@ -11,9 +11,12 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from wattfolio.llm.common import free
+from wattfolio.sinks import versions
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -100,9 +103,13 @@ def found(texts: DataFrame, rules: tuple[Rule, ...]) -> DataFrame:
 
 
 def scan(
-    docs: DataFrame, earlier: Scan | None = None, rules: tuple[Rule, ...] = RULES
+    docs: DataFrame, earlier: Scan | None = None, rules: tuple[Rule, ...] = RULES, keep_earlier: bool = True
 ) -> Scan:
-    """Scans the texts of (text) that the ledger of the earlier scan lacks, under each rule's version."""
+    """Scans the texts of (text) that the ledger of the earlier scan lacks, under each rule's version.
+
+    The result holds what the earlier scan found under the same versions as well, or only
+    what is new. Rows of all historical versions of a path may be given at once.
+    """
     seen = docs.select(blob(F.col("text")).alias("blob"), F.coalesce("text", F.lit("")).alias("text"))
     every = F.array(*(F.lit(r.kind) for r in rules))
     current = F.array(*(F.struct(F.lit(r.kind).alias("kind"), F.lit(r.version).alias("version")) for r in rules))
@@ -117,12 +124,51 @@ def scan(
     findings = found(texts, rules)
     ledger = texts.select("blob", F.explode(F.filter(current, lambda r: F.array_contains(F.col("due"), r["kind"]))).alias("r"))
     ledger = ledger.select("blob", "r.kind", "r.version")
-    if earlier is not None:
+    if earlier is not None and keep_earlier:
         findings = earlier.findings.where(valid).unionByName(findings)
         ledger = earlier.ledger.unionByName(ledger)
     return Scan(findings, ledger)
 
 
+def blob_versions(history: DataFrame, paths: str = "path", version: str = "version") -> DataFrame:
+    """(blob, path, version): which text each historical version of a path held."""
+    return history.select(blob(F.col("text")).alias("blob"), F.col(paths).alias("path"), F.col(version).alias("version"))
+
+
+def by_path(history: DataFrame, scanned: Scan, paths: str = "path", version: str = "version") -> DataFrame:
+    """(path, version, kind, rule_version, start, end): the findings of every version of every path."""
+    found = scanned.findings.withColumnRenamed("version", "rule_version")
+    return blob_versions(history, paths, version).join(found, "blob").drop("blob")
+
+
+def earlier_scan(spark: SparkSession, ledger: str) -> Scan | None:
+    """What the runs before have left in a ledger's folder; None before the first one."""
+
+    runs = [r[0] for r in versions.pointers(spark, ledger).select(versions.VERSION).orderBy(versions.VERSION).collect()]
+    if not runs:
+        return None
+    folders = [f"{ledger}/versions/{versions.VERSION}={run}" for run in runs]
+    return Scan(*(spark.read.parquet(*(f"{f}/{part}" for f in folders)) for part in ("findings", "pairs")))
+
+
+def scan_into(docs: DataFrame, ledger: str, rules: tuple[Rule, ...] = RULES) -> Scan:
+    """Scan what the ledger in a shared folder lacks, add it there, and return all findings.
+
+    A run adds its findings and its pairs at once (``sinks.versions``): one that fails leaves
+    the ledger as it was, and its texts are scanned again by the next.
+    """
+    spark = docs.sparkSession
+    earlier = earlier_scan(spark, ledger)
+    new = scan(docs, earlier, rules, keep_earlier=False)
+    number, name = versions.new_version(spark, ledger)
+    folder = f"{ledger}/versions/{versions.VERSION}={name}"
+    new.findings.write.parquet(f"{folder}/findings")
+    new.ledger.write.parquet(f"{folder}/pairs")
+    # each run is a part of its own, so all stay current
+    versions.point(spark.range(1).select(F.lit(name).alias("part")), ledger, number, name)
+    return earlier_scan(spark, ledger)
+
+
 def by_document(docs: DataFrame, scanned: Scan, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """(doc_id, n_<kind> of each base rule, base_sha256, spans) for each row of (doc_id, text).
 
@@ -158,8 +204,9 @@ def redacted(docs: DataFrame, scanned: Scan, mask: str = "[secret]") -> DataFram
     Columns and their order stay. Overlapping places are replaced as one. A row without
     findings keeps its text, a null one too.
     """
+    blob_, spots_ = free(docs, "blob", "spots")
     spot = F.sort_array(F.collect_list(F.struct("start", "end")))
-    spots = scanned.findings.groupBy("blob").agg(spot.alias("spots")).withColumnRenamed("blob", "_blob")
+    spots = scanned.findings.groupBy(F.col("blob").alias(blob_)).agg(spot.alias(spots_))
     start = F.struct(F.lit("").alias("out"), F.lit(0).cast("long").alias("at"))
 
     def step(state: Column, p: Column) -> Column:
@@ -171,6 +218,6 @@ def redacted(docs: DataFrame, scanned: Scan, mask: str = "[secret]") -> DataFram
     def end(state: Column) -> Column:
         return F.concat(state["out"], F.substr(F.col("text"), (state["at"] + 1).cast("int")))
 
-    joined = docs.withColumn("_blob", blob(F.col("text"))).join(spots, "_blob", "left")
-    text = F.when(F.col("spots").isNull(), F.col("text")).otherwise(F.aggregate("spots", start, step, end))
+    joined = docs.withColumn(blob_, blob(F.col("text"))).join(spots, blob_, "left")
+    text = F.when(F.col(spots_).isNull(), F.col("text")).otherwise(F.aggregate(spots_, start, step, end))
     return joined.select(*(text.alias("text") if c == "text" else F.col(f"`{c}`") for c in docs.columns))

@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from wattfolio.llm.common import cut, text_slices, whole_groups
+from wattfolio.llm.common import cut, free, text_slices, whole_groups
 from wattfolio.llm.components import Forest, components
 
 SEED = 42
@@ -213,8 +213,10 @@ def one_of_each(docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFra
     """
     found = near_duplicates(docs, shingle, max_bits)
     name = F.coalesce(F.col("doc_id").cast("string"), F.lit(""))
-    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", name.alias("_id"))).alias("first")
-    kept = found.groupBy("root").agg(first).select(F.col("first._id").alias("_id"), F.col("first.mark").alias("_mark"))
-    rows = docs.withColumn("_id", name).withColumn("_mark", F.xxhash64("text")).join(kept, ["_id", "_mark"])
-    nth = F.row_number().over(Window.partitionBy("_id", "_mark").orderBy("_id", "_mark"))
-    return rows.withColumn("_nth", nth).where("_nth = 1").select(*(F.col(f"`{c}`") for c in docs.columns))
+    id_, mark, nth = free(docs, "id", "mark", "nth")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "mark", name.alias("name"))).alias("first")
+    kept = found.groupBy("root").agg(first).select(F.col("first.name").alias(id_), F.col("first.mark").alias(mark))
+    rows = docs.withColumns({id_: name, mark: F.xxhash64("text")}).join(kept, [id_, mark])
+    order = Window.partitionBy(id_, mark).orderBy(id_, mark)
+    rows = rows.withColumn(nth, F.row_number().over(order)).where(F.col(nth) == 1)
+    return rows.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -34,19 +34,20 @@ GROWTH = 8
 GROUPS = 64
 # Integers up to this size, and their sums, are exact in double precision.
 EXACT = 2.0**53
+LIMIT = (1 << 63) - 1
 LEADING = 0.9
 
 
 def integers(vector: str, scale: int) -> F.Column:
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale).cast("long"))
+    return F.transform(vector, lambda x: F.floor(x.cast("double") * scale))
 
 
 def products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of rows, pair by pair or each with each."""
+    """Exact integer inner products of rows, each with each; beyond a long they are cut to its largest value, or less that."""
     reach = max(np.abs(q).max(initial=0), 1) * float(max(np.abs(c).max(initial=0), 1)) * max(q.shape[1], 1)
     if reach < EXACT:
         return (q.astype(np.float64) @ c.astype(np.float64).T).astype(np.int64)
-    return (q.astype(object) @ c.astype(object).T).astype(np.int64)
+    return np.clip(q.astype(object) @ c.astype(object).T, -LIMIT, LIMIT).astype(np.int64)
 
 
 class Best:
@@ -129,7 +130,8 @@ def top_k(
 ) -> DataFrame:
     """(query_id, rank, vec_id, score): the k best candidates of each query row.
 
-    Components become floor(scale * x). Queries are the rows whose vec_id is divisible
+    Components become floor(scale * x), a long; one beyond that is the largest or smallest
+    long. A score beyond a long is cut to 2**63 - 1, or less that; scores that are cut tie. Queries are the rows whose vec_id is divisible
     by ``every``; candidates are all other rows, also those that repeat the query's id
     or vector. Vectors are compared with those of their own length. Rows whose vector is
     null or holds null or non-finite components take no part, nor do rows with a null
