@@ -231,5 +231,9 @@ def test_scratch_folder_is_the_shared_one(spark):
     shared = spark.conf.get("spark.checkpoint.dir")
     first, second = scratch_folder(spark, "x"), scratch_folder(spark, "x")
     assert first.startswith(f"{shared}/x-") and first != second
-    with pytest.raises(ValueError, match="shared folder"):
-        scratch_folder(Cluster, "x")
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        Cluster.sparkContext.master = master
+        with pytest.raises(ValueError, match="shared folder"):
+            scratch_folder(Cluster, "x")
+    Cluster.sparkContext.master = "local[4]"
+    assert Path(scratch_folder(Cluster, "x")).parent.is_dir()

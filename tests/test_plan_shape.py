@@ -6,7 +6,8 @@ import __spark_entry__ as contract
 
 QUERIES = contract.queries()
 # Queries that write files when called; their plans start from those files.
-WRITING = {n for n in QUERIES if n.startswith(("source_", "sink_", "daily_store", "unit_quarantine"))}
+STORED = ("source_", "sink_", "daily_store", "season_state", "sheet_headers", "published_parts", "unit_quarantine")
+WRITING = {n for n in QUERIES if n.startswith(STORED)}
 FORBIDDEN = ["CartesianProduct", "BroadcastNestedLoopJoin", "PythonUDF", "ArrowEvalPython", "MapInPandas"]
 
 
@@ -81,6 +82,16 @@ def test_bounds_reach_the_scan(spark, data, name, bound):
     assert bound in formatted
 
 
+@pytest.mark.parametrize("name", ["rolling_median_15min", "difference_15min", "weeks_filled_in_blocks"])
+def test_long_series_are_cut_into_blocks(spark, data, name):
+    """Values stand in windows of one block; only ranks of block ends and counts of blocks have other windows."""
+    text = plan(spark, data, name)
+    lines = [line for line in text.splitlines() if "Window [" in line]
+    over_rows = [line for line in lines if "row_number" not in line and "collect_list" not in line]
+    assert "WindowGroupLimit" in text and over_rows
+    assert all("windowspecdefinition(" in line and "_block#" in line.split("windowspecdefinition(")[1] for line in over_rows)
+
+
 def test_aggregates_start_before_the_shuffle(spark, data):
     for name in ("daily_sum", "flow_balance", "seasonal_envelope", "unit_check", "latest_value"):
         text = plan(spark, data, name)

@@ -451,6 +451,12 @@ SELECT country, strftime(d, '%Y-%m-%d') AS date,
 CORRECTED = LEVELS.replace("SUM(o_totalprice) AS v", "SUM(o_totalprice) * CASE WHEN year(CAST(o_orderdate AS DATE)) = 1998 THEN 2 ELSE 1 END AS v")
 ORACLE["season_state_report"] = ORACLE["storage_report"].replace(LEVELS, CORRECTED.replace("GROUP BY 1, 2)", "GROUP BY 1, 2, year(CAST(o_orderdate AS DATE)))"))
 
+ORACLE["sink_row_order"] = f"""WITH {SEASON_DAYS}
+SELECT country, 'date' AS ordered_by, CAST(row_number() OVER (PARTITION BY country ORDER BY d) AS INTEGER) AS place,
+       strftime(d, '%Y-%m-%d') AS key FROM levels
+UNION ALL SELECT country, 'season_key', CAST(row_number() OVER (PARTITION BY country ORDER BY k) AS INTEGER), k
+FROM (SELECT DISTINCT country, k FROM days)"""
+
 ORACLE["published_parts"] = f"""WITH {LEVELS}
 SELECT country, strftime(d, '%Y-%m-%d') AS date, CAST(year(d) AS INTEGER) AS year,
        round(CASE WHEN country < '3' AND year(d) IN (1997, 1999) THEN -v ELSE v END, 6) AS "full" FROM levels"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -622,6 +623,26 @@ def sink_snapshot(spark, folder):
     return aggregate.union_all([*days, current.withColumn("snapshot", F.lit("current"))])
 
 
+@query
+def sink_row_order(spark, folder):
+    """The place of each row in its written file: levels by day, and a season table by its key."""
+    season_rows = _season_days(spark, folder).groupBy("country", "season_key").agg(F.count("full").alias("years"))
+    out = []
+    for table, key in ((inputs.levels(spark, folder), "date"), (season_rows, "season_key")):
+        path = scratch_folder(spark, "ordered")
+        files.write_current(table, path, [key], COUNTRY)
+        names = [c for c in table.columns if c != "country"]
+        lines = versions.current(
+            spark, path, lambda folders, p=path: spark.read.option("basePath", f"{p}/versions").text(folders), COUNTRY
+        )
+        # a file is read by one task, in the order of its lines; the header is its first
+        at = F.row_number().over(W.partitionBy("country").orderBy(F.monotonically_increasing_id())) - 1
+        placed = lines.select("country", "value", at.alias("place")).where("place > 0")
+        cell = F.from_csv("value", ", ".join(f"{n} STRING" for n in names))[key]
+        out.append(placed.select("country", F.lit(key).alias("ordered_by"), "place", cell.alias("key")))
+    return aggregate.union_all(out)
+
+
 @query
 def published_parts(spark, folder):
     """Levels published by country and year; then some of them again, then a write that fails before it is current."""

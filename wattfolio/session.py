@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -25,15 +27,26 @@ def recommend(builder: SparkSession.Builder) -> SparkSession.Builder:
     return builder
 
 
-def scratch_folder(spark: SparkSession, name: str) -> str:
-    """A new folder below the shared folder the cluster names for checkpoints.
+@cache
+def own_folder() -> tempfile.TemporaryDirectory:
+    """A folder of this machine for a local session; it goes when the process ends."""
+    return tempfile.TemporaryDirectory(prefix="wattfolio-", ignore_cleanup_errors=True)
+
+
+def shared_root(spark: SparkSession) -> str:
+    """The shared folder the cluster names for checkpoints.
 
-    A machine-local folder is used only by a local session without that setting.
+    A machine-local folder is used only by a local session (one process) without that setting.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     root = root or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
-        root = tempfile.mkdtemp(prefix="wattfolio-")
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+        root = own_folder().name
+    return root.rstrip("/")
+
+
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder below the shared folder."""
+    return f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
