@@ -175,6 +175,16 @@ def test_collocations_of_random_texts(spark, shards, cells, inside):
     assert len(want) > 30 and {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+@pytest.mark.parametrize("cells", [16, 64, 256])
+def test_phrases_that_share_cells_are_counted_whole(spark, cells):
+    """A part's cell may be set by another phrase before the part itself is active."""
+    rng = random.Random(5)
+    rows = [("x", " ".join(f"w{rng.randrange(1 + int(rng.random() ** 2 * 12))}" for _ in range(rng.randrange(30)))) for _ in range(400)]
+    got = phrases.collocations(spark.createDataFrame(rows, "lang string, text string"), least=14, shards=4, cells=cells).collect()
+    want = plain_collocations(rows, 14, 5, 2000, 100)
+    assert len(want) > 100 and {tuple(r) for r in got} == want
+
+
 def test_collocations_on_a_hostile_table(hostile):
     rows = [(r.lang, r.text) for r in hostile.select("lang", "text").collect()]
     got = phrases.collocations(hostile, least=3, cells=1 << 16)

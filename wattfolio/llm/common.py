@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
@@ -12,6 +11,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from wattfolio.session import shared_root
+
 # Bytes of text that one step of a Python task holds at a time; a longer text is a slice of its own.
 SLICE_BYTES = 2 << 20
 
@@ -23,15 +24,10 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; only a local session without one gets a temporary folder."""
+    """Spark's folder for checkpoints, below the shared folder of the session."""
     context = spark.sparkContext
     if not context.getCheckpointDir():
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        if not root:
-            if not context.master.startswith("local["):
-                raise ValueError("spark.checkpoint.dir must name a shared folder")
-            root = tempfile.mkdtemp(prefix="wattfolio-llm-")
-        context.setCheckpointDir(root)
+        context.setCheckpointDir(shared_root(spark))
     return context.getCheckpointDir()
 
 
@@ -41,10 +37,10 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def stored(df: DataFrame, name: str, by: Sequence[str] = ()) -> DataFrame:
+def stored(df: DataFrame, name: str, by: Sequence[str] = (), compression: str = "snappy") -> DataFrame:
     """The same rows written as Parquet below the shared folder, in folders ``by`` columns, and read again."""
     path = f"{shared_folder(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.partitionBy(*by).parquet(path)
+    df.write.partitionBy(*by).parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -14,15 +14,19 @@ one cell can only make a longer one active before its time; it is counted for a
 from then on, and its count is as exact as others.
 
 Phrases are counted as texts. Tasks add up what they find in a slice, Spark adds up
-slices before its shuffle, and the driver sees numbers of cells only.
+slices before its shuffle, and each step's counts are written once and never moved again:
+what reached the threshold within a cycle has a share of it in one of its steps, so the
+counts of the cycle are joined to these few phrases alone. The driver sees numbers of
+cells only.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import reduce
+from hashlib import sha256
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
@@ -31,11 +35,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from wattfolio.llm.common import ASCII_UPPER, stored, text_slices
+from wattfolio.llm.suffix_dedup import Hashes
 
 LONGEST = 5
-SHARDS = 4
+SHARDS = 3
 CELLS = 1 << 24
 UNSET = 255
+# Phrases that are broadcast to the counts of a cycle; more are joined by a shuffle.
+MOST_BROADCAST = 500_000
 UNKNOWN = "und"
 # Bytes of text whose phrases are added up before they leave the task.
 SLICE = 8 << 20
@@ -62,12 +69,28 @@ def pieces(texts: Iterable[bytes | None]) -> tuple[np.ndarray, pa.Array]:
 
 def found(number: np.ndarray, words: pa.Array, seed: int, table: np.ndarray, step: int, shards: int, longest: int) -> Iterator[tuple]:
     """(length, phrases, cells, first steps, counts) of the phrases that are active in the step."""
-    code = pd.util.hash_array(np.array(words.to_pylist(), dtype=object), categorize=False)
-    spot = np.flatnonzero(number >= 0)
-    h = mixed(code[number[spot]] ^ np.uint64(seed))
-    since = np.zeros(len(spot), dtype=np.int64)
-    for length in range(1, longest + 1):
-        cell = (mixed(h) & np.uint64(len(table) - 1)).astype(np.int64)
+
+    def cells(h: np.ndarray) -> np.ndarray:
+        return (mixed(h) & np.uint64(len(table) - 1)).astype(np.int64)
+
+    _, offsets, data = words.buffers()
+    ends = np.frombuffer(offsets, dtype=np.int32)[words.offset : words.offset + len(words) + 1].astype(np.int64)
+    code = Hashes(np.frombuffer(data, dtype=np.uint8)[: ends[-1]]).of(ends[:-1], ends[1:])
+    own = mixed(code ^ np.uint64(seed))
+    cell = cells(own)
+    if step < shards:
+        count = np.bincount(number[number >= 0], minlength=len(words))
+        held = np.flatnonzero(count)
+        yield 1, words.take(pa.array(held)), cell[held], np.zeros(len(held), dtype=np.int64), count[held]
+    # a longer phrase needs both its parts to have reached the threshold: the one here, and the one a word later
+    reached = table[cell].astype(np.int64)
+    there = np.append(reached < UNSET, False)[number]
+    spot = np.flatnonzero(there[:-1] & there[1:])
+    since = np.maximum(reached[number[spot]], reached[number[spot + 1]]) + 1
+    h = own[number[spot]]
+    for length in range(2, longest + 1):
+        h = mixed(h * np.uint64(0x9E3779B97F4A7C15) + code[number[spot + length - 1]])
+        cell = cells(h)
         now = np.flatnonzero((since <= step) & (step < since + shards))
         if len(now):
             # equal phrases are told by the numbers of their words
@@ -78,17 +101,16 @@ def found(number: np.ndarray, words: pa.Array, seed: int, table: np.ndarray, ste
             _, first, count = np.unique(kind, return_index=True, return_counts=True)
             parts = [words.take(pa.array(number[at[first] + k])) for k in range(length)]
             yield length, pc.binary_join_element_wise(*parts, b" "), cell[now[first]], since[now[first]], count
-        if length == longest:
-            return
-        # both parts must have reached the threshold: the phrase here, and the one a word later
         reached = table[cell].astype(np.int64)
         pair = np.flatnonzero((reached[:-1] < UNSET) & (reached[1:] < UNSET) & (spot[1:] == spot[:-1] + 1))
-        since = np.maximum(reached[pair], reached[pair + 1]) + 1
-        h = mixed(h[pair] * np.uint64(0x9E3779B97F4A7C15) + code[number[spot[pair] + length]])
-        spot = spot[pair]
+        # another phrase's cell may be older than the part itself, which must be active first
+        since = np.maximum.reduce([reached[pair] + 1, reached[pair + 1] + 1, since[pair], since[pair + 1]])
+        h, spot = h[pair], spot[pair]
 
 
-ROWS = "lang string, length int, phrase string, cell int, since int, n long"
+# A language and a phrase with a tab between, which no phrase holds; length, first step and cell as one number.
+ROWS = "key string, code long, n long"
+LENGTH, SINCE = 40, 32
 
 
 def counted(shard: DataFrame, held: Broadcast, step: int, shards: int, longest: int) -> DataFrame:
@@ -100,61 +122,69 @@ def counted(shard: DataFrame, held: Broadcast, step: int, shards: int, longest:
             texts = part.column("text").cast(pa.binary())
             for lang in sorted(set(langs)):
                 number, words = pieces(texts.filter(pa.array(langs == lang)).to_pylist())
-                seed = int(pd.util.hash_array(np.array([lang], dtype=object), categorize=False)[0])
-                every = int((number >= 0).sum())
-                rows = [(0, pa.array([b""]), np.zeros(1, dtype=int), np.zeros(1, dtype=int), np.array([every]))] if step < shards else []
-                for length, phrases, cells, since, n in [*rows, *found(number, words, seed, held.value, step, shards, longest)]:
-                    size = len(phrases)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array([lang] * size, pa.string()), pa.array(np.full(size, length, dtype=np.int32)),
-                            phrases.cast(pa.string()), pa.array(cells.astype(np.int32)), pa.array(since.astype(np.int32)), pa.array(n),
-                        ],
-                        ["lang", "length", "phrase", "cell", "since", "n"],
-                    )
+                seed = int.from_bytes(sha256(lang.encode()).digest()[:8], "little")
+                none = np.zeros(1, dtype=np.int64)
+                rows = [(0, pa.array([b""]), none, none, np.array([int((number >= 0).sum())]))] if step < shards else []
+                for length, names, cells, since, n in [*rows, *found(number, words, seed, held.value, step, shards, longest)]:
+                    keys = pc.binary_join_element_wise(pa.scalar(lang.encode()), names, b"\t")
+                    code = (length << LENGTH) | (since << SINCE) | cells
+                    yield pa.RecordBatch.from_arrays([keys.cast(pa.string()), pa.array(code), pa.array(n)], ["key", "code", "n"])
 
     return shard.mapInArrow(count, ROWS)
 
 
+def together(frames: list[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionAll, frames)
+
+
 def frequent(docs: DataFrame, least: int, longest: int, shards: int, cells: int) -> DataFrame:
     """(lang, length, phrase, n) of all phrases with ``least`` occurrences; length 0 counts a language's words."""
     dealt = docs.select(
         F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"),
         F.pmod(F.monotonically_increasing_id(), F.lit(shards)).alias("shard"),
     )
-    every = stored(dealt, "shards", by=["shard"])
+    every = stored(dealt, "shards", by=["shard"], compression="zstd")
     table = np.full(cells, UNSET, dtype=np.uint8)
-    key = ["lang", "length", "phrase", "cell", "since"]
-    counts: DataFrame | None = None
+    share = -(-least // shards)
+    counts: list[DataFrame] = []
+    often: list[DataFrame] = []
     done: list[DataFrame] = []
+    length, since = F.shiftright("code", LENGTH), F.shiftright("code", SINCE).bitwiseAND(F.lit(UNSET))
     step = 0
     while step < shards or ((table < UNSET) & (table > step - 1 - shards)).any():
         if step >= UNSET:
             raise ValueError("too many steps for the table; take fewer shards or shorter phrases")
         held = docs.sparkSession.sparkContext.broadcast(table)
         new = counted(every.where(F.col("shard") == step % shards).select("lang", "text"), held, step, shards, longest)
-        new = new.groupBy(*key).agg(F.sum("n").alias("n")).withColumn("before", F.lit(0).cast("long"))
-        if counts is not None:
-            new = counts.withColumn("before", F.col("n")).unionByName(new).groupBy(*key).agg(F.sum("n").alias("n"), F.sum("before").alias("before"))
-        over = F.col("since") + shards - 1 <= step
-        kept = new.where(~over | (F.col("n") >= least) | (F.col("length") == 0)).withColumn("over", over)
-        written = stored(kept, f"phrases-{step}", by=["over"])
-        done.append(written.where("over"))
-        counts = written.where("not over").drop("over", "before")
-        risen = written.where((F.col("n") >= least) & (F.col("before") < least) & F.col("length").between(1, longest - 1))
+        counts = [*counts, stored(new.groupBy("key", "code").agg(F.sum("n").alias("n")), f"phrases-{step}", compression="zstd")][-shards:]
+        often = [*often, counts[-1].where(F.col("n") >= share).select("key")][-shards:]
+        # of the counts of a cycle those of phrases that have a share of the threshold in one of its steps
+        keys = stored(together(often).distinct(), f"often-{step}")
+        if keys.count() <= MOST_BROADCAST:
+            keys = F.broadcast(keys)
+        rows = together(counts).join(keys, "key", "left_semi").groupBy("key", "code").agg(F.sum("n").alias("n"))
+        rows = stored(rows.where(F.col("n") >= least), f"reached-{step}")
+        # those that started a cycle ago are complete
+        done.append(rows.where(since == step - shards + 1))
         # the table bounds the number of cells
-        at = risen.select("cell").distinct().toArrow().column("cell").to_numpy()
+        cell = F.col("code").bitwiseAND(F.lit((1 << SINCE) - 1)).alias("cell")
+        at = rows.where(length.between(1, longest - 1)).select(cell).distinct().toArrow().column("cell").to_numpy()
         table[at] = np.minimum(table[at], step)
         held.destroy()
         step += 1
-    out = done[0]
-    for part in done[1:]:
-        out = out.unionByName(part)
-    return out.select("lang", "length", "phrase", "n")
+    phrase = F.substring_index("key", "\t", -1)
+    lang = F.expr("substr(key, 1, length(key) - length(substring_index(key, '\t', -1)) - 1)")
+    return together(done).select(lang.alias("lang"), length.cast("int").alias("length"), phrase.alias("phrase"), "n")
 
 
 def collocations(
-    docs: DataFrame, least: int = 100, longest: int = LONGEST, top: int = 2000, inside: int = 100, shards: int = SHARDS, cells: int = CELLS
+    docs: DataFrame,
+    least: int = 100,
+    longest: int = LONGEST,
+    top: int = 2000,
+    inside: int = 100,
+    shards: int = SHARDS,
+    cells: int = CELLS,
 ) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the ``top`` phrases of each language by score, count and text.
 
