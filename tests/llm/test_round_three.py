@@ -333,6 +333,45 @@ def test_equal_rows_beside_other_texts(spark):
         assert Counter((r.doc_id, bytes(r.kept)) for r in got) == want
 
 
+def test_rows_of_a_frequent_anchor_are_split(spark, monkeypatch):
+    """A passage of all texts: its rows, kinds and strings meet their counts in several tasks, with the same result."""
+    from tests.llm.test_llm import plain_removal
+
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcdefgh") for _ in range(32))
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(24)) + passage + "".join(rng.choice("abcdefgh") for _ in range(24)) for _ in range(600)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(8)
+    plans, sizes, cut = [], [], suffix_dedup.cut
+
+    def seen(df):
+        out = cut(df)
+        plans.append(df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+        if set(df.columns) >= {"place", "differ"}:
+            sizes.extend(r["count"] for r in out.groupBy(F.spark_partition_id()).count().collect())
+        return out
+
+    options = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "0",
+    }
+    before = {k: spark.conf.get(k, None) for k in options}
+    monkeypatch.setattr(suffix_dedup, "cut", seen)
+    want = dict(enumerate(plain_removal(texts, 30)))
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        # few contexts a task, so that strings are counted too
+        found = suffix_dedup.without_repeats(docs, length=30, gram=9, contexts=10)
+        assert {r.doc_id: bytes(r.kept) for r in found.collect()} == want
+        plans.append(found._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0])
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    assert sum(sizes) >= 600 and max(sizes) < sum(sizes) / 2
+    # rows and counts, kinds and counts, strings and counts
+    assert sum(p.count("SortMergeJoin(skew=true)") for p in plans) >= 3
+
+
 def test_components_of_a_hot_node(spark):
     from wattfolio.llm.components import components
 
